@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortkit.plans import reports
+from cohortkit.plans import explorations, reports
 
-_MODULES = [reports]
+_MODULES = [reports, explorations]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -69,7 +69,7 @@ _STAYS_SQL = """
 
 SQL = {}
 SQL["rollup_age_gender"] = f"""
-WITH s AS (SELECT CAST(floor(date_sub('year', o.o_orderdate, l.l_shipdate) / {AGE_WIDTH}) * {AGE_WIDTH} AS BIGINT) AS age_group,
+WITH s AS (SELECT CAST(floor(extract(year from age(l.l_shipdate, o.o_orderdate)) / {AGE_WIDTH}) * {AGE_WIDTH} AS BIGINT) AS age_group,
                   c.c_mktsegment AS seg {_STAYS_SQL})
 SELECT age_group,
        CAST(count_if(seg = 'BUILDING') AS BIGINT) AS male_count,
@@ -109,7 +109,7 @@ def age_by_category(spark: SparkSession, base: str) -> DataFrame:
 
 
 SQL["age_by_category"] = f"""
-WITH s AS (SELECT CAST(floor(date_sub('year', o.o_orderdate, l.l_shipdate) / {AGE_WIDTH}) * {AGE_WIDTH} AS BIGINT) AS age_group,
+WITH s AS (SELECT CAST(floor(extract(year from age(l.l_shipdate, o.o_orderdate)) / {AGE_WIDTH}) * {AGE_WIDTH} AS BIGINT) AS age_group,
                   c.c_mktsegment AS seg {_STAYS_SQL})
 SELECT age_group, {", ".join(f"CAST(count_if(seg = '{x}') AS BIGINT) AS {x.lower()}" for x in SEGMENTS)}
 FROM s GROUP BY age_group
