@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortkit.plans import explorations, reports
+from cohortkit.plans import explorations, extracts, reports
 
-_MODULES = [reports, explorations]
+_MODULES = [reports, explorations, extracts]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
