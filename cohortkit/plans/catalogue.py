@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortkit.plans import explorations, extracts, reports
+from cohortkit.plans import explorations, extracts, reports, sequences
 
-_MODULES = [reports, explorations, extracts]
+_MODULES = [reports, explorations, extracts, sequences]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
