@@ -99,12 +99,11 @@ def share_of_total(counts: DataFrame, count_col: str, name: str = "share_pct",
                    digits: int | None = 6) -> DataFrame:
     """Each row's count as a percentage of the column total.
 
-    The total is a one-row aggregate joined back by broadcast — never an
-    unpartitioned window (which would pull every row into one task).
+    The total is a scalar subquery (evaluated once, inlined) — never an
+    unpartitioned window, which would pull every row into one task.
     """
-    total = counts.agg(F.sum(count_col).alias("__total"))
-    out = counts.crossJoin(F.broadcast(total))
-    return out.withColumn(name, rate(F.col(count_col), F.col("__total"), digits=digits)).drop("__total")
+    total = counts.agg(F.sum(count_col)).scalar()
+    return counts.withColumn(name, rate(F.col(count_col), total, digits=digits))
 
 
 def box_stats(df: DataFrame, group: Sequence[str], value: str, digits: int = 6) -> DataFrame:

@@ -2,8 +2,9 @@
 
 * Splits and samples hash the row key (md5), so the same rows are chosen
   whatever the partitioning, after a retry, and in DuckDB.
-* Statistics for scaling are one-row aggregates cross-joined back by
-  broadcast (a 1-row frame) — never an unpartitioned window over the data.
+* Statistics for scaling are scalar subqueries (one-row aggregates that
+  Spark evaluates once and inlines) — never an unpartitioned window and
+  never a join.
 * Class balancing keeps ``row_number() <= n`` per class, which Spark plans
   with a partial ``WindowGroupLimit`` before the shuffle: each task forwards at
   most ``n`` rows per class, so a class holding a third of the data is cut
@@ -36,22 +37,21 @@ def label_encode(df: DataFrame, column: str, name: str = "label_index", start: i
 def minmax_scale(df: DataFrame, column: str, name: str = "scaled", digits: int | None = 6,
                  fit_on: DataFrame | None = None) -> DataFrame:
     """(x − min) / (max − min) with statistics from ``fit_on`` (default ``df``); constant → 0."""
-    stats = (fit_on if fit_on is not None else df).agg(F.min(column).alias("__mn"), F.max(column).alias("__mx"))
-    j = df.crossJoin(F.broadcast(stats))
-    span = F.col("__mx") - F.col("__mn")
-    v = F.when(span > 0, (F.col(column) - F.col("__mn")) / span).otherwise(F.lit(0.0))
+    src = fit_on if fit_on is not None else df
+    mn, mx = src.agg(F.min(column)).scalar(), src.agg(F.max(column)).scalar()
+    span = mx - mn
+    v = F.when(span > 0, (F.col(column) - mn) / span).otherwise(F.lit(0.0))
     v = F.round(v, digits) if digits is not None else v
-    return j.withColumn(name, v).drop("__mn", "__mx")
+    return df.withColumn(name, v)
 
 
 def standard_scale(df: DataFrame, column: str, fit_on: DataFrame, name: str = "scaled",
                    digits: int | None = 6) -> DataFrame:
     """(x − mean) / population std, both fitted on ``fit_on`` (the training rows)."""
-    stats = fit_on.agg(F.avg(column).alias("__mu"), F.stddev_pop(column).alias("__sd"))
-    j = df.crossJoin(F.broadcast(stats))
-    v = F.when(F.col("__sd") > 0, (F.col(column) - F.col("__mu")) / F.col("__sd")).otherwise(F.lit(0.0))
+    mu, sd = fit_on.agg(F.avg(column)).scalar(), fit_on.agg(F.stddev_pop(column)).scalar()
+    v = F.when(sd > 0, (F.col(column) - mu) / sd).otherwise(F.lit(0.0))
     v = F.round(v, digits) if digits is not None else v
-    return j.withColumn(name, v).drop("__mu", "__sd")
+    return df.withColumn(name, v)
 
 
 def hash_split(df: DataFrame, key: str, test_fraction: float = 0.2, seed: str = "42",
@@ -69,10 +69,9 @@ def downsample_majority(df: DataFrame, label: str, key: str, keep: float = 0.25,
                         seed: str = "42") -> DataFrame:
     """Keep ``keep`` of the most frequent class (by key hash) and all other rows."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("__n"))
-    major = counts.orderBy(F.desc("__n"), F.asc(label)).limit(1).select(F.col(label).alias("__major"))
-    j = df.crossJoin(F.broadcast(major))
-    is_major = F.col(label) == F.col("__major")
-    return j.where(~is_major | (hash_fraction(key, seed) < keep)).drop("__major")
+    major = counts.orderBy(F.desc("__n"), F.asc(label)).limit(1).select(label).scalar()
+    is_major = F.col(label) == major
+    return df.where(~is_major | (hash_fraction(key, seed) < keep))
 
 
 def balance_classes(df: DataFrame, label: str, key: str, n: int, seed: str = "42") -> DataFrame:
@@ -93,13 +92,13 @@ def balance_classes(df: DataFrame, label: str, key: str, n: int, seed: str = "42
 def class_weights(df: DataFrame, label: str, digits: int = 6) -> DataFrame:
     """'balanced' weights total / (k · n_class), and the negative/positive ratio for 0/1 labels."""
     counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    tot = counts.agg(F.sum("n").alias("__t"), F.count(F.lit(1)).alias("__k"),
-                     F.sum(F.when(F.col(label) == 1, F.col("n"))).alias("__pos"),
-                     F.sum(F.when(F.col(label) == 0, F.col("n"))).alias("__neg"))
-    j = counts.crossJoin(F.broadcast(tot))
-    return j.select(label, "n",
-                    F.round(F.col("__t") / (F.col("__k") * F.col("n")), digits).alias("weight"),
-                    F.round(F.col("__neg") / F.col("__pos"), digits).alias("pos_weight"))
+    total = counts.agg(F.sum("n")).scalar()
+    k = counts.agg(F.count(F.lit(1))).scalar()
+    pos = counts.agg(F.sum(F.when(F.col(label) == 1, F.col("n")))).scalar()
+    neg = counts.agg(F.sum(F.when(F.col(label) == 0, F.col("n")))).scalar()
+    return counts.select(label, "n",
+                         F.round(total / (k * F.col("n")), digits).alias("weight"),
+                         F.round(neg / pos, digits).alias("pos_weight"))
 
 
 def weight_column(df: DataFrame, label: str, name: str = "weight") -> DataFrame:

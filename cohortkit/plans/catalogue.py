@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortkit.plans import explorations, extracts, reports, sequences
+from cohortkit.plans import explorations, extracts, notes, reports, sequences
 
-_MODULES = [reports, explorations, extracts, sequences]
+_MODULES = [reports, explorations, extracts, sequences, notes]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

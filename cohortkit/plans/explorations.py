@@ -232,8 +232,8 @@ SELECT segment, item, n, CAST(rank AS INTEGER) AS rank FROM rk WHERE rank <= {TO
 def monthly_item_usage(spark: SparkSession, base: str) -> DataFrame:
     """12 months × top items, zero-filled, with the month ordinal for ordering.
 
-    The grid is 12 × k rows (fixed months × a k-row top set), so it is built
-    by a broadcast cross product and left-joined to the counts.
+    The grid is 12 × k rows: each of the k top items is expanded to its 12
+    months by a generator, then left-joined to the counts.
     """
     st = StandIns(spark, base)
     lines = st.t("lineitem", "l_partkey", "l_shipdate").where(F.col("l_shipdate").isNotNull())
@@ -244,8 +244,9 @@ def monthly_item_usage(spark: SparkSession, base: str) -> DataFrame:
     top = top_k_keys(r, "item", TOP_ITEMS).select("item")
     counts = r.join(F.broadcast(top), "item", "left_semi").groupBy("month_no", "item") \
         .agg(F.count(F.lit(1)).alias("n"))
-    months = spark.createDataFrame([(i + 1, m) for i, m in enumerate(MONTHS)], "month_no int, month string")
-    grid = F.broadcast(months).crossJoin(F.broadcast(top))
+    month_names = F.array(*[F.lit(m) for m in MONTHS])
+    grid = top.select("item", F.explode(F.sequence(F.lit(1), F.lit(12))).alias("month_no")) \
+        .withColumn("month", F.element_at(month_names, F.col("month_no")))
     return grid.join(counts, ["month_no", "item"], "left") \
         .select("month_no", "month", "item", F.coalesce("n", F.lit(0)).alias("n"))
 
