@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortkit.plans import explorations, extracts, notes, reports, sequences
+from cohortkit.plans import explorations, extracts, notes, reports, sequences, training
 
-_MODULES = [reports, explorations, extracts, sequences, notes]
+_MODULES = [reports, explorations, extracts, sequences, notes, training]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
