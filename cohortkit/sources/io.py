@@ -23,6 +23,13 @@ from pyspark.sql import types as T
 from cohortkit.session import ensure_checkpoint_dir
 
 
+# Timestamp layouts for text sinks, with microseconds (the
+# writers' defaults keep only milliseconds and would lose precision).
+TS_NTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+TS_LTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+_TS_OPTIONS = {"timestampNTZFormat": TS_NTZ_FORMAT, "timestampFormat": TS_LTZ_FORMAT}
+
+
 def read_table(spark: SparkSession, base: str, name: str,
                columns: Sequence[str] | None = None) -> DataFrame:
     """Parquet table ``base/name.parquet``, pruned to ``columns`` when given."""
@@ -37,7 +44,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
     With no schema, types are inferred — a second pass over the file, kept as
     a convenience for small exports only.
     """
-    reader = (spark.read.option("header", header).option("multiLine", multiline)
+    reader = (spark.read.options(**_TS_OPTIONS).option("header", header).option("multiLine", multiline)
               .option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE"))
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
     return reader.csv(path)
@@ -46,18 +53,18 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
 def write_csv(df: DataFrame, path: str, single_file: bool = False, mode: str = "overwrite") -> str:
     """CSV export with a header. ``single_file`` is for small final results only."""
     out = df.coalesce(1) if single_file else df
-    out.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    out.write.mode(mode).options(**_TS_OPTIONS).option("header", True).option("quote", '"').option("escape", '"').csv(path)
     return path
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     """JSON lines, one record per row (arrays stay arrays)."""
-    df.write.mode(mode).json(path)
+    df.write.mode(mode).options(**_TS_OPTIONS).json(path)
     return path
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    reader = spark.read
+    reader = spark.read.options(**_TS_OPTIONS)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.json(path)
