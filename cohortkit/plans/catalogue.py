@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortkit.plans import explorations, extracts, handoffs, notes, reports, sequences, training
+from cohortkit.plans import explorations, extracts, handoffs, learners, notes, reports, sequences, training
 
-_MODULES = [reports, explorations, extracts, sequences, notes, training, handoffs]
+_MODULES = [reports, explorations, extracts, sequences, notes, training, handoffs, learners]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
