@@ -107,9 +107,12 @@ class RuleTable:
     def matches(self, c) -> Column:
         """True when any rule matches — the cohort filter."""
         c = col_of(c)
-        out = F.lit(False)
-        for r in self.rules:
-            out = out | r.predicate(c)
+        preds = [r.predicate(c) for r in self.rules]
+        if not preds:
+            return F.lit(False)
+        out = preds[0]
+        for p in preds[1:]:
+            out = out | p
         return out
 
     def as_frame(self, spark: SparkSession, label_col: str = "label") -> DataFrame:

@@ -29,8 +29,9 @@ def prefix_filter(df: DataFrame, code_col: str, prefixes: Sequence[str] | str,
     """Rows whose code starts with any prefix (null codes never match)."""
     prefixes = [prefixes] if isinstance(prefixes, str) else list(prefixes)
     cond = RuleTable.prefixes([("x", prefixes)]).matches(code_col)
-    cond = F.coalesce(cond, F.lit(False))
-    return df.where(~cond & F.col(code_col).isNotNull() if negate else cond)
+    # A bare StartsWith (null → row dropped) is what Parquet receives as a pushed
+    # StringStartsWith filter; wrapping it (e.g. in coalesce) would block pushdown.
+    return df.where(F.col(code_col).isNotNull() & ~cond if negate else cond)
 
 
 def semi_join(df: DataFrame, keys: DataFrame, on: Sequence[str] | str,

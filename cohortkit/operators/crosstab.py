@@ -35,8 +35,14 @@ def conditional_counts(df: DataFrame, group: Sequence[Column | str], by,
     aggs = [F.count_if(by == F.lit(v)).alias(name) for name, v in categories.items()]
     gcols = [col_of(g) for g in group]
     if rollup:
-        flag = [F.grouping(gcols[0]).cast("int").alias(total_flag)] if total_flag else []
-        return df.rollup(*gcols).agg(*aggs, *flag)
+        # Aggregate first, then roll up the (small) per-group result: the
+        # rollup's Expand then multiplies groups, not input rows.
+        names = [g for g in group if isinstance(g, str)]
+        if len(names) != len(group):
+            raise ValueError("rollup needs column names as group keys")
+        per_group = df.groupBy(*gcols).agg(*aggs)
+        flag = [F.grouping(names[0]).cast("int").alias(total_flag)] if total_flag else []
+        return per_group.rollup(*names).agg(*[F.sum(n).cast("bigint").alias(n) for n in categories], *flag)
     return df.groupBy(*gcols).agg(*aggs)
 
 

@@ -31,9 +31,18 @@ _TS_OPTIONS = {"timestampNTZFormat": TS_NTZ_FORMAT, "timestampFormat": TS_LTZ_FO
 
 
 def read_table(spark: SparkSession, base: str, name: str,
-               columns: Sequence[str] | None = None) -> DataFrame:
-    """Parquet table ``base/name.parquet``, pruned to ``columns`` when given."""
-    df = spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
+               columns: Sequence[str] | None = None, refresh: bool = False) -> DataFrame:
+    """Parquet table ``base/name.parquet``, pruned to ``columns`` when given.
+
+    The unpruned relation is resolved once per session and path (file listing
+    and footer reads happen on the driver) and reused; every caller still
+    gets its own projection, so scans stay pruned.
+    """
+    path = f"{base.rstrip('/')}/{name}.parquet"
+    cache = spark.__dict__.setdefault("_cohortkit_tables", {})
+    if refresh or path not in cache:
+        cache[path] = spark.read.parquet(path)
+    df = cache[path]
     return df.select(*columns) if columns else df
 
 
