@@ -49,18 +49,21 @@ def token_windows(df: DataFrame, key: str, text: str, size: int, vocab: int) ->
     """All tokens of each text as consecutive ``size``-long windows of ids, zero-padded.
 
     Output: key, chunk (0-based window number), ids, mask (1 = real token), n_tokens.
-    The only grouping is per (text, window), which holds at most ``size``
-    tokens.
+    Windows are cut from each row's own id array (``slice`` per window, then
+    ``posexplode``), so the operator is a narrow map: no token is shuffled
+    and ids are hashed once per token.
     """
-    exploded = df.select(key, F.posexplode(tokens(text)).alias("pos", "tok"))
-    keyed = exploded.select(key, F.floor(F.col("pos") / size).alias("chunk"), "pos",
-                            token_id("tok", vocab).alias("tid"))
-    grouped = keyed.groupBy(key, "chunk").agg(F.array_sort(F.collect_list(F.struct("pos", "tid"))).alias("_w"))
-    ids = F.transform("_w", lambda s: s["tid"])
-    n = F.size("_w")
-    mask = F.transform(F.sequence(F.lit(1), F.lit(size)), lambda i: F.when(i <= n, 1).otherwise(0))
-    return grouped.select(key, "chunk", pad_array(ids, size, 0).alias("ids"), mask.alias("mask"),
-                          n.alias("n_tokens"))
+    ids = F.transform(tokens(text), lambda t: token_id(t, vocab))
+    per_doc = df.select(key, ids.alias("_ids"))
+    n = F.size("_ids")
+    windows = F.when(n > 0, F.transform(F.sequence(F.lit(0), F.ceil(n / size).cast("int") - 1),
+                                        lambda w: F.slice(F.col("_ids"), w * size + 1, size))) \
+        .otherwise(F.array().cast("array<array<bigint>>"))
+    exploded = per_doc.select(key, F.posexplode(windows).alias("chunk", "_w"))
+    m = F.size("_w")
+    mask = F.transform(F.sequence(F.lit(1), F.lit(size)), lambda i: F.when(i <= m, 1).otherwise(0))
+    return exploded.select(key, F.col("chunk").cast("bigint").alias("chunk"),
+                           pad_array("_w", size, 0).alias("ids"), mask.alias("mask"), m.alias("n_tokens"))
 
 
 def _entity_arrays(text: str, patterns: Sequence[tuple[str, str]]) -> Column:

@@ -24,6 +24,7 @@ _TOKENS_SQL = "list_filter(regexp_split_to_array(lower(text), '[^a-z0-9]+'), lam
 
 
 def _docs(spark: SparkSession, base: str, *cols: str) -> DataFrame:
+    """Notes (scans are spread over all task slots: text work is CPU-bound per row)."""
     return StandIns(spark, base).t("documents", *(cols or ("doc_id", "text")))
 
 

@@ -31,19 +31,44 @@ _TS_OPTIONS = {"timestampNTZFormat": TS_NTZ_FORMAT, "timestampFormat": TS_LTZ_FO
 
 
 def read_table(spark: SparkSession, base: str, name: str,
-               columns: Sequence[str] | None = None, refresh: bool = False) -> DataFrame:
+               columns: Sequence[str] | None = None, refresh: bool = False,
+               spread_on: Sequence[str] | None = None) -> DataFrame:
     """Parquet table ``base/name.parquet``, pruned to ``columns`` when given.
 
     The unpruned relation is resolved once per session and path (file listing
     and footer reads happen on the driver) and reused; every caller still
-    gets its own projection, so scans stay pruned.
+    gets its own projection, so scans stay pruned. With ``spread_on`` (a
+    unique key) the pruned rows are spread over all task slots when the file
+    has fewer splits than slots (see ``spread``).
     """
     path = f"{base.rstrip('/')}/{name}.parquet"
     cache = spark.__dict__.setdefault("_cohortkit_tables", {})
     if refresh or path not in cache:
         cache[path] = spark.read.parquet(path)
     df = cache[path]
-    return df.select(*columns) if columns else df
+    cols = list(columns) if columns else list(df.columns)
+    if spread_on and all(k in df.columns for k in spread_on):
+        keep = list(dict.fromkeys([*cols, *spread_on]))
+        return spread(df.select(*keep), list(spread_on)).select(*cols)
+    return df.select(*cols) if columns else df
+
+
+def spread(df: DataFrame, key: Sequence[str] | str) -> DataFrame:
+    """Hash-repartition by ``key`` when the input has fewer splits than task slots.
+
+    Scan-side pipelines (scan → broadcast joins → partial aggregation, or
+    per-row text work) run one task per split; a file with few row groups
+    would leave slots idle. Large inputs already have more splits than slots
+    and come back unchanged — no shuffle is added at scale. ``key`` should be
+    unique (a hot value would otherwise gather in one partition); hashing it
+    is deterministic, so a retried task rebuilds the same partition.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    spark = df.sparkSession
+    slots = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= slots:
+        return df
+    return df.repartition(slots * 2, *keys)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
