@@ -104,7 +104,8 @@ def class_weights(df: DataFrame, label: str, digits: int = 6) -> DataFrame:
 def weight_column(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
     """Attach the balanced class weight to every row (for ``weightCol``)."""
     w = class_weights(df, label).select(label, F.col("weight").alias(name))
-    return df.join(F.broadcast(w), label, "left")
+    # one row per class; AQE broadcasts it when its measured size allows
+    return df.join(w, label, "left")
 
 
 def global_index(df: DataFrame, order: list[str], name: str = "pos") -> DataFrame:
