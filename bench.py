@@ -5,7 +5,7 @@ produced, nothing is collected to the driver). One warm-up key runs first so
 JVM start-up and code generation are not charged to the first measured key.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_RUNS (runs per key, median reported; default 1), BENCH_KEYS
+BENCH_RUNS (runs per key, median reported; default 3), BENCH_KEYS
 (comma-separated subset), BENCH_WITH_MODELS=1 to include the model keys.
 """
 
@@ -28,7 +28,7 @@ from cohortkit.session import local_session  # noqa: E402
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "1"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     spark = local_session(cores=cpus, shuffle_partitions=int(cpus) * 2, app="cohortkit-bench")
     qs = catalogue.queries()
     keys = [k for k in os.environ.get("BENCH_KEYS", "").split(",") if k] or list(qs)

@@ -105,3 +105,12 @@ def first_n_per_key(df: DataFrame, keys: Sequence[str] | str, order: Sequence[Co
     keys = [keys] if isinstance(keys, str) else list(keys)
     w = Window.partitionBy(*keys).orderBy(*[col_of(o) for o in order])
     return df.withColumn(position, F.row_number().over(w)).where(F.col(position) <= n)
+
+
+def join_with_suffix(left: DataFrame, right: DataFrame, on: Sequence[str] | str, how: str = "inner",
+                     suffix: str = "_right") -> DataFrame:
+    """Join keeping both copies of overlapping non-key columns; the right ones get ``suffix``."""
+    on = [on] if isinstance(on, str) else list(on)
+    clash = (set(left.columns) & set(right.columns)) - set(on)
+    renamed = right.select(*[F.col(c).alias(c + suffix) if c in clash else F.col(c) for c in right.columns])
+    return left.join(renamed, on, how)

@@ -128,3 +128,24 @@ def box_stats(df: DataFrame, group: Sequence[str], value: str, digits: int = 6)
     out = q.join(w, list(group), "left")
     return out.select(*group, *[F.round(c, digits).alias(c) for c in
                                 ("q1", "median", "q3", "whisker_low", "whisker_high")])
+
+
+def columns_by_total(wide: DataFrame, keys: Sequence[str], value_cols: Sequence[str]) -> DataFrame:
+    """Reorder value columns by their column totals, largest first (ties by name).
+
+    Reads one row of k totals to the driver — bounded by the number of
+    columns — and selects in that order.
+    """
+    totals = wide.agg(*[F.sum(F.col(f"`{c}`")).alias(c) for c in value_cols]).first()
+    order = sorted(value_cols, key=lambda c: (-(totals[c] or 0), c))
+    return wide.select(*keys, *[F.col(f"`{c}`") for c in order])
+
+
+def approx_quantiles(value, probs: Mapping[str, float], accuracy: int = 10000) -> list[Column]:
+    """Approximate quantiles (``percentile_approx``) with a bounded per-group sketch.
+
+    The exact form keeps a value → count map per group, sized by the group's
+    distinct values; for continuous values on very large groups use this one.
+    """
+    v = col_of(value)
+    return [F.percentile_approx(v, p, accuracy).alias(name) for name, p in probs.items()]

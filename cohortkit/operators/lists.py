@@ -63,3 +63,10 @@ def count_vector(df: DataFrame, keys: Sequence[str] | str, index: str, size: int
         c = F.coalesce(F.col(f"`{i}`"), F.lit(0))
         cols.append((F.least(c, F.lit(1)) if binary else c).cast("bigint").alias(f"{prefix}{i}"))
     return wide.select(*keys, *cols)
+
+
+def explode_vector(df: DataFrame, array_col: str, size: int, prefix: str | None = None) -> DataFrame:
+    """One column per position of a fixed-length array (``apply(pd.Series)``)."""
+    prefix = prefix if prefix is not None else f"{array_col}_"
+    others = [c for c in df.columns if c != array_col]
+    return df.select(*others, *[F.col(array_col)[i].alias(f"{prefix}{i}") for i in range(size)])

@@ -113,3 +113,17 @@ def mean_word_vectors(df: DataFrame, key: str, text: str, table: DataFrame, dims
     j = j.select(key, v.alias("_v"))
     agg = j.groupBy(key).agg(*[F.avg(F.col("_v")[i]).alias(f"_d{i}") for i in range(dims)])
     return agg.select(key, F.array(*[F.round(F.col(f"_d{i}"), digits) for i in range(dims)]).alias("mean_vector"))
+
+
+def tag_with(df: DataFrame, tagger, schema: str) -> DataFrame:
+    """Extension point for a user's own entity tagger (e.g. a statistical NER model).
+
+    ``tagger`` maps a pandas DataFrame batch of ``df`` rows to a pandas
+    DataFrame with ``schema``; Spark feeds it Arrow batches per partition
+    (``mapInPandas``), so the model is loaded once per task, not per row.
+    """
+    def run(batches):
+        for b in batches:
+            yield tagger(b)
+
+    return df.mapInPandas(run, schema)

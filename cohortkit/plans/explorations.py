@@ -193,7 +193,7 @@ def two_way_stack(spark: SparkSession, base: str) -> DataFrame:
 
 
 SQL["two_way_stack"] = _ITEMS_SQL + f"""
-, rk AS (SELECT ethnicity, row_number() OVER (ORDER BY group_total DESC, ethnicity) AS group_rank FROM tg)
+, rk AS (SELECT ethnicity, CAST(row_number() OVER (ORDER BY group_total DESC, ethnicity) AS INTEGER) AS group_rank FROM tg)
 SELECT gi.item, gi.ethnicity, rk.group_rank, CASE WHEN rk.group_rank <= {NAMED_GROUPS} THEN 'named' ELSE 'other' END AS stack, gi.n
 FROM gi JOIN rk ON gi.ethnicity = rk.ethnicity
 """

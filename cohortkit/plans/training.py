@@ -182,12 +182,12 @@ WITH s AS (SELECT l.quality AS y, CASE WHEN {_hf_sql('d.doc_id', 'pred')} < {PRE
                     (SELECT count(*) FROM s WHERE y = c AND p = c) AS tp FROM cls),
      m AS (SELECT c, support, tp, coalesce(tp / nullif(npred, 0), 0.0) AS pr, coalesce(tp / nullif(support, 0), 0.0) AS rc FROM per),
      f AS (SELECT *, coalesce(2 * pr * rc / nullif(pr + rc, 0), 0.0) AS f1 FROM m),
-     t AS (SELECT sum(support) AS total, sum(tp) AS correct, count(*) AS k FROM f)
+     t AS (SELECT CAST(sum(support) AS BIGINT) AS total, sum(tp) AS correct, count(*) AS k FROM f)
 SELECT CAST(c AS VARCHAR) AS cls, round(pr, 6) AS precision, round(rc, 6) AS recall, round(f1, 6) AS f1, support FROM f
 UNION ALL SELECT 'accuracy', NULL, NULL, round(correct / total, 6), total FROM t
-UNION ALL SELECT 'macro avg', round(sum(pr) / k, 6), round(sum(rc) / k, 6), round(sum(f1) / k, 6), sum(support) FROM f, t GROUP BY k
+UNION ALL SELECT 'macro avg', round(sum(pr) / k, 6), round(sum(rc) / k, 6), round(sum(f1) / k, 6), CAST(sum(support) AS BIGINT) FROM f, t GROUP BY k
 UNION ALL SELECT 'weighted avg', round(sum(pr * support) / total, 6), round(sum(rc * support) / total, 6),
-                 round(sum(f1 * support) / total, 6), sum(support) FROM f, t GROUP BY total
+                 round(sum(f1 * support) / total, 6), CAST(sum(support) AS BIGINT) FROM f, t GROUP BY total
 """
 
 

@@ -104,6 +104,20 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return reader.json(path)
 
 
+def read_json_array(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
+    """A file holding one JSON array of records (``json.dump(list)``), one row per element."""
+    reader = spark.read.option("multiLine", True)
+    if schema is not None:
+        reader = reader.schema(schema)
+    return reader.json(path)
+
+
+def register_tables(spark: SparkSession, base: str, names: Sequence[str]) -> None:
+    """Expose tables as temporary views so SQL texts can name them (``FROM t``)."""
+    for n in names:
+        read_table(spark, base, n).createOrReplaceTempView(n)
+
+
 def write_text(df: DataFrame, path: str, column: str, mode: str = "overwrite") -> str:
     """Plain text sink of one string column, one line per row."""
     df.select(column).write.mode(mode).text(path)

@@ -191,3 +191,35 @@ def test_box_stats_whiskers(spark):
     r = X.box_stats(df, ["g"], "v").first()
     assert (r.q1, r.median, r.q3) == (3.0, 5.0, 7.0)
     assert (r.whisker_low, r.whisker_high) == (1.0, 8.0)     # 100 is beyond q3 + 1.5 IQR
+
+
+def test_helpers_suffix_vector_columns_and_order(spark):
+    from cohortkit.operators.cohort import join_with_suffix
+
+    a = spark.createDataFrame([(1, "x", 5)], "k int, name string, v int")
+    b = spark.createDataFrame([(1, "y", 7)], "k int, name string, w int")
+    j = join_with_suffix(a, b, "k", suffix="_adm")
+    assert j.columns == ["k", "name", "v", "name_adm", "w"]
+    v = spark.createDataFrame([(1, [0.5, 1.5, 2.5])], "id int, e array<double>")
+    assert L.explode_vector(v, "e", 3).first().asDict() == {"id": 1, "e_0": 0.5, "e_1": 1.5, "e_2": 2.5}
+    wide = spark.createDataFrame([("i", 1, 9, 3), ("j", 2, 1, 3)], "item string, a int, b int, c int")
+    assert X.columns_by_total(wide, ["item"], ["a", "b", "c"]).columns == ["item", "b", "c", "a"]
+
+
+def test_approx_quantiles_close_to_exact(spark):
+    df = spark.range(10001).select((F.col("id") * 1.0).alias("v"))
+    r = df.agg(*X.approx_quantiles("v", {"med": 0.5}), *X.exact_quantiles("v", {"emed": 0.5})).first()
+    assert abs(r.med - r.emed) <= 10
+
+
+def test_user_tagger_hook(spark):
+    import pandas as pd
+
+    docs = spark.createDataFrame([(1, "aspirin and heparin"), (2, "none")], "id long, text string")
+
+    def tagger(pdf):
+        rows = [(i, w) for i, t in zip(pdf["id"], pdf["text"]) for w in t.split() if w.endswith("in")]
+        return pd.DataFrame(rows, columns=["id", "entity"])
+
+    got = sorted(map(tuple, T.tag_with(docs, tagger, "id long, entity string").collect()))
+    assert got == [(1, "aspirin"), (1, "heparin")]
