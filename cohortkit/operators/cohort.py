@@ -6,16 +6,17 @@ Design rules (scale):
 * a top-k set is ``orderBy(...).limit(k)`` (``TakeOrderedAndProject``: each
   task keeps k rows, one task merges k × tasks) and is therefore bounded by
   ``k`` — the only kind of computed frame this module broadcasts;
-* "first row per key" is a ``min`` over a struct whose leading fields are the
-  sort keys: an aggregate with a map-side partial step, so a key holding a
-  third of all rows is reduced before the shuffle instead of being sorted in
-  one task;
+* "first row per key" is an aggregate with a map-side partial step (``min_by``
+  over a packed fixed-width order key, or ``min`` over a struct), so a key
+  holding a third of all rows is reduced before the shuffle instead of being
+  sorted in one task;
 * every top-k and first-row carries a total order (explicit tie-breakers).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -61,22 +62,58 @@ def restrict_to_top_k(df: DataFrame, key: str, k: int, weight: str | None = None
     return df.join(F.broadcast(top), key, "left_semi")
 
 
+_MAJOR_TYPES = ("TimestampType", "TimestampNTZType", "DateType", "IntegerType", "ShortType", "ByteType")
+_MINOR_TYPES = ("LongType", "IntegerType", "ShortType", "ByteType")
+_PACKED = "decimal(38,0)"
+
+
+def _packed_order(df: DataFrame, order: Sequence[str]) -> Column | None:
+    """One ``decimal(38,0)`` sorting like (major, minor), or None when the types do not allow it.
+
+    major (a timestamp in microseconds, a date in days, or an int) is scaled by
+    10^20 and minor (an integer id, shifted by 2^63 to be non-negative) added:
+    |major| < 2.6·10^17 and 0 ≤ minor' < 10^20 keep the pair's order and fit.
+    """
+    if len(order) != 2:
+        return None
+    types = {f.name: type(f.dataType).__name__ for f in df.schema.fields}
+    major, minor = order
+    if types.get(major) not in _MAJOR_TYPES or types.get(minor) not in _MINOR_TYPES:
+        return None
+    m = F.col(major)
+    if types[major] in ("TimestampType", "TimestampNTZType"):
+        m = F.unix_micros(m.cast("timestamp"))
+    elif types[major] == "DateType":
+        m = F.unix_date(m)
+    shifted = F.col(minor).cast(_PACKED) + F.lit(Decimal(2 ** 63)).cast(_PACKED)
+    return (m.cast(_PACKED) * F.lit(Decimal(10 ** 20)).cast(_PACKED) + shifted).cast(_PACKED)
+
+
 def first_per_key(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str],
                   payload: Sequence[str]) -> DataFrame:
     """Earliest row per key by ``order`` (ascending); returns keys + order + payload.
 
-    Implemented as ``min(struct(order..., payload...))`` grouped by key: ties in
-    ``order`` fall to the payload fields, so the pick is deterministic. Null
-    order values sort first in a struct, so rows with a null order field are
-    dropped beforehand (they cannot be "earliest").
+    An aggregate, never a sort of whole groups, so a key holding a third of
+    all rows is reduced map-side before the shuffle:
+
+    * order = (timestamp/date/int, integer id): the pair is packed into one
+      fixed-width decimal and every output column is ``min_by(col, packed)`` —
+      a hash aggregate with a partial step; the id makes the pick unique;
+    * otherwise ``min(struct(order..., payload...))`` (a sort-based aggregate,
+      still partial), where ties in ``order`` fall to the payload fields.
+
+    Rows with a null order field are dropped (they cannot be "earliest").
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     fields = list(order) + [p for p in payload if p not in order]
     cond = F.lit(True)
     for o in order:
         cond = cond & F.col(o).isNotNull()
-    picked = (df.where(cond).groupBy(*keys)
-              .agg(F.min(F.struct(*[F.col(f) for f in fields])).alias("__first")))
+    rows = df.where(cond)
+    packed = _packed_order(rows, list(order))
+    if packed is not None:
+        return rows.groupBy(*keys).agg(*[F.min_by(f, packed).alias(f) for f in fields])
+    picked = rows.groupBy(*keys).agg(F.min(F.struct(*[F.col(f) for f in fields])).alias("__first"))
     return picked.select(*keys, *[F.col(f"__first.{f}").alias(f) for f in fields])
 
 

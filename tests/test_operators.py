@@ -223,3 +223,26 @@ def test_user_tagger_hook(spark):
 
     got = sorted(map(tuple, T.tag_with(docs, tagger, "id long, entity string").collect()))
     assert got == [(1, "aspirin"), (1, "heparin")]
+
+
+def test_first_per_key_packed_path_is_a_hash_aggregate(spark):
+    import datetime as dt
+
+    t0 = dt.datetime(1960, 1, 1)
+    rows = [(1, t0 + dt.timedelta(days=d), -5 + d, float(d)) for d in (3, 1, 2)] + \
+           [(1, t0 + dt.timedelta(days=1), -9, 99.0), (2, dt.datetime(2030, 5, 5), 2 ** 62, 7.0)]
+    df = spark.createDataFrame(rows, "k int, ts timestamp_ntz, id long, v double")
+    out = C.first_per_key(df, "k", ["ts", "id"], ["v"])
+    got = {r.k: (r.ts, r.id, r.v) for r in out.collect()}
+    assert got == {1: (t0 + dt.timedelta(days=1), -9, 99.0), 2: (dt.datetime(2030, 5, 5), 2 ** 62, 7.0)}
+    p = plan_of(out)
+    assert "HashAggregate" in p and "SortAggregate" not in p
+
+
+def test_scalar_vector_helpers(spark):
+    from cohortkit.functions.scalar import argmax, clip, cosine, euclidean
+
+    df = spark.createDataFrame([([0.2, 0.9, 0.9], [1.0, 0.0, 0.0], 1.7)], "a array<double>, b array<double>, x double")
+    r = df.select(argmax("a").alias("am"), clip("x").alias("c"), cosine("b", "b").alias("cs"),
+                  euclidean("a", "a").alias("e")).first()
+    assert (r.am, r.c, r.cs, r.e) == (1, 1.0, 1.0, 0.0)
