@@ -52,6 +52,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     current = sc.getConf().get(CHECKPOINT_KEY, None) or sc.getCheckpointDir()
     if not current:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder shared by all executors "
+                               "(a machine-local folder would not survive executor loss)")
         current = tempfile.mkdtemp(prefix="cohortkit-ckpt-",
                                    dir=os.environ.get("TMPDIR", "/tmp"))
     if sc.getCheckpointDir() is None:
