@@ -28,34 +28,45 @@ def classification_report(df: DataFrame, label: str, pred: str, digits: int = 6)
 
     Rows: one per class (``cls`` as text), then 'accuracy' (its value in
     ``f1``, precision/recall null), 'macro avg' and 'weighted avg'.
+
+    The scored rows are reduced once to the confusion table (≤ classes²
+    rows). Each confusion cell contributes to its actual class (support), its
+    predicted class and, on the diagonal, to tp — one exploded aggregation
+    gives the per-class counts; one more aggregation gives all summary values.
     """
     c = confusion(df, label, pred)
-    actual = c.groupBy(F.col("label").alias("cls")).agg(F.sum("n").alias("support"))
-    predicted = c.groupBy(F.col("pred").alias("cls")).agg(F.sum("n").alias("npred"))
-    tp = c.where(F.col("label") == F.col("pred")).select(F.col("label").alias("cls"), F.col("n").alias("tp"))
-    per = actual.join(predicted, "cls", "full").join(tp, "cls", "left").na.fill(0, ["support", "npred", "tp"])
-    per = per.select(F.col("cls"), _safe_div(F.col("tp"), F.col("npred")).alias("precision"),
-                     _safe_div(F.col("tp"), F.col("support")).alias("recall"), "support", "tp")
+    contrib = F.explode(F.array(
+        F.struct(F.col("label").alias("cls"), F.col("n").alias("support"), F.lit(0).cast("bigint").alias("npred"),
+                 F.when(F.col("label") == F.col("pred"), F.col("n")).otherwise(0).cast("bigint").alias("tp")),
+        F.struct(F.col("pred").alias("cls"), F.lit(0).cast("bigint").alias("support"), F.col("n").alias("npred"),
+                 F.lit(0).cast("bigint").alias("tp"))))
+    counts = c.select(contrib.alias("x")).groupBy(F.col("x.cls").alias("cls")).agg(
+        F.sum("x.support").alias("support"), F.sum("x.npred").alias("npred"), F.sum("x.tp").alias("tp"))
+    per = counts.select("cls", "support", "tp",
+                        _safe_div(F.col("tp"), F.col("npred")).alias("precision"),
+                        _safe_div(F.col("tp"), F.col("support")).alias("recall"))
     per = per.withColumn("f1", _f1(F.col("precision"), F.col("recall")))
-    total = per.agg(F.sum("support")).scalar()
-    correct = per.agg(F.sum("tp")).scalar()
-    k = per.agg(F.count(F.lit(1))).scalar()
     r = lambda x: F.round(x, digits)
     classes = per.select(F.col("cls").cast("string").alias("cls"), r(F.col("precision")).alias("precision"),
                          r(F.col("recall")).alias("recall"), r(F.col("f1")).alias("f1"),
                          F.col("support").cast("bigint").alias("support"))
-    acc = per.agg(F.lit("accuracy").alias("cls"), F.lit(None).cast("double").alias("precision"),
-                  F.lit(None).cast("double").alias("recall"), r(correct / total).alias("f1"),
-                  F.lit(total).cast("bigint").alias("support"))
-    macro = per.agg(F.lit("macro avg").alias("cls"), r(F.sum("precision") / k).alias("precision"),
-                    r(F.sum("recall") / k).alias("recall"), r(F.sum("f1") / k).alias("f1"),
-                    F.sum("support").cast("bigint").alias("support"))
-    weighted = per.agg(F.lit("weighted avg").alias("cls"),
-                       r(F.sum(F.col("precision") * F.col("support")) / total).alias("precision"),
-                       r(F.sum(F.col("recall") * F.col("support")) / total).alias("recall"),
-                       r(F.sum(F.col("f1") * F.col("support")) / total).alias("f1"),
-                       F.sum("support").cast("bigint").alias("support"))
-    return classes.unionByName(acc).unionByName(macro).unionByName(weighted)
+    t = per.agg(F.sum("support").alias("total"), F.sum("tp").alias("correct"), F.count(F.lit(1)).alias("k"),
+                F.sum("precision").alias("sp"), F.sum("recall").alias("sr"), F.sum("f1").alias("sf"),
+                F.sum(F.col("precision") * F.col("support")).alias("wp"),
+                F.sum(F.col("recall") * F.col("support")).alias("wr"),
+                F.sum(F.col("f1") * F.col("support")).alias("wf"))
+    tot = F.col("total")
+    none = F.lit(None).cast("double")
+    summary = F.explode(F.array(
+        F.struct(F.lit("accuracy").alias("cls"), none.alias("precision"), none.alias("recall"),
+                 r(F.col("correct") / tot).alias("f1")),
+        F.struct(F.lit("macro avg").alias("cls"), r(F.col("sp") / F.col("k")).alias("precision"),
+                 r(F.col("sr") / F.col("k")).alias("recall"), r(F.col("sf") / F.col("k")).alias("f1")),
+        F.struct(F.lit("weighted avg").alias("cls"), r(F.col("wp") / tot).alias("precision"),
+                 r(F.col("wr") / tot).alias("recall"), r(F.col("wf") / tot).alias("f1"))))
+    rows = t.select(summary.alias("s"), tot.cast("bigint").alias("support")) \
+        .select("s.cls", "s.precision", "s.recall", "s.f1", "support")
+    return classes.unionByName(rows)
 
 
 def multilabel_counts(df: DataFrame, actual: str, pred: str, by: list[str] | None = None) -> DataFrame:

@@ -92,10 +92,14 @@ def entity_corpus(df: DataFrame, key: str, text: str, patterns=ENTITY_PATTERNS)
 
 
 def word_vector(word, dims: int) -> Column:
-    """A deterministic ``dims``-d vector from the md5 of a word (values in [-1, 1))."""
+    """A deterministic ``dims``-d vector from the md5 of a word (values in about [-1, 1]).
+
+    Bytes are scaled by 1/127 rather than a power of two, so means of these
+    values do not fall exactly on decimal rounding ties.
+    """
     h = F.md5(col_of(word))
     return F.transform(F.sequence(F.lit(0), F.lit(dims - 1)),
-                       lambda i: (F.conv(F.substring(h, i * 2 + 1, 2), 16, 10).cast("int") - 128) / 128.0)
+                       lambda i: (F.conv(F.substring(h, i * 2 + 1, 2), 16, 10).cast("int") - 128) / 127.0)
 
 
 def mean_word_vectors(df: DataFrame, key: str, text: str, table: DataFrame, dims: int,

@@ -11,8 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortkit.functions.temporal import (bucket_floor, completed_years, decimal_hour,
-                                          month_abbrev, whole_days)
+from cohortkit.functions.temporal import bucket_floor, completed_years, decimal_hour, whole_days
 from cohortkit.operators.cohort import first_per_key, restrict_to_top_k, top_k_keys, top_k_per_group
 from cohortkit.plans.standins import StandIns
 

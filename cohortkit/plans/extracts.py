@@ -15,9 +15,9 @@ from cohortkit.functions.rules import Rule, RuleTable, value_map
 from cohortkit.functions.scalar import code_truncate as truncate_code
 from cohortkit.functions.scalar import coerce_numeric as to_number
 from cohortkit.functions.temporal import completed_years, flag_between, parse_timestamp, whole_days
-from cohortkit.operators.cohort import prefix_filter, restrict_to_top_k, semi_join, top_k_keys
+from cohortkit.operators.cohort import restrict_to_top_k, semi_join, top_k_keys
 from cohortkit.operators.crosstab import box_stats as box_stats_op
-from cohortkit.operators.crosstab import rate, share_of_total
+from cohortkit.operators.crosstab import share_of_total
 from cohortkit.operators.crosstab import value_counts as value_counts_op
 from cohortkit.plans.standins import SEGMENTS, StandIns
 

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortkit.functions.rules import value_map
 from cohortkit.functions.scalar import hash_bucket, hash_fraction
 from cohortkit.plans import extracts
 from cohortkit.plans.extracts import GLUCOSE_BANDS, _sql_case

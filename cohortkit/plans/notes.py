@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from cohortkit.operators import text as T
 from cohortkit.operators import vectors as V
-from cohortkit.operators.cohort import semi_join
 from cohortkit.plans.standins import StandIns
 
 SQL: dict[str, str] = {}
@@ -111,7 +110,7 @@ SQL["mean_word_vectors"] = f"""
 WITH t AS (SELECT doc_id, unnest(CASE WHEN len({_TOKENS_SQL}) = 0 THEN [NULL] ELSE {_TOKENS_SQL} END) AS word FROM documents),
      c AS (SELECT word, count(*) AS n FROM t WHERE word IS NOT NULL GROUP BY word ORDER BY n DESC, word LIMIT {WORD_TABLE_SIZE}),
      v AS (SELECT word, list_transform(range(0, {WORD_DIMS}),
-                  lambda i: (('0x' || substr(md5(word), i * 2 + 1, 2))::INTEGER - 128) / 128.0) AS vector FROM c),
+                  lambda i: (('0x' || substr(md5(word), i * 2 + 1, 2))::INTEGER - 128) / 127.0) AS vector FROM c),
      j AS (SELECT t.doc_id, coalesce(v.vector, [{", ".join(["0.0"] * WORD_DIMS)}]) AS vec FROM t LEFT JOIN v ON t.word = v.word)
 SELECT doc_id, [{", ".join(f"round(avg(vec[{i + 1}]), 6)" for i in range(WORD_DIMS))}] AS mean_vector FROM j GROUP BY doc_id
 """
