@@ -37,9 +37,13 @@ def prefix_filter(df: DataFrame, code_col: str, prefixes: Sequence[str] | str,
 
 def semi_join(df: DataFrame, keys: DataFrame, on: Sequence[str] | str,
               anti: bool = False) -> DataFrame:
-    """Rows of ``df`` whose key appears (``anti``: does not appear) in ``keys``."""
+    """Rows of ``df`` whose key appears (``anti``: does not appear) in ``keys``.
+
+    The key side is de-duplicated first (a partial aggregate, combined
+    map-side), so a key repeated in a third of its rows enters the join once.
+    """
     on = [on] if isinstance(on, str) else list(on)
-    return df.join(keys.select(*on), on, "left_anti" if anti else "left_semi")
+    return df.join(keys.select(*on).distinct(), on, "left_anti" if anti else "left_semi")
 
 
 def top_k_keys(df: DataFrame, key: str | Sequence[str], k: int, weight: str | None = None,
