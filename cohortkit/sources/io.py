@@ -56,7 +56,7 @@ def read_table(spark: SparkSession, base: str, name: str,
 def spread(df: DataFrame, key: Sequence[str] | str) -> DataFrame:
     """Hash-repartition by ``key`` when the input has fewer splits than task slots.
 
-    Scan-side pipelines (scan → broadcast joins → partial aggregation, or
+    Scan-side work (scan → broadcast joins → partial aggregation, or
     per-row text work) run one task per split; a file with few row groups
     would leave slots idle. Large inputs already have more splits than slots
     and come back unchanged — no shuffle is added at scale. ``key`` should be
