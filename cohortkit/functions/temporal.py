@@ -43,10 +43,17 @@ def age_at(birth, end=None, as_of=None) -> Column:
 
 
 def parse_timestamp(text, formats: Sequence[str] = DEFAULT_TIMESTAMP_FORMATS) -> Column:
-    """Parse text trying each layout in turn; unparsable text becomes null."""
+    """Parse text trying each layout in turn; unparsable text becomes null.
+
+    Returns the wall-clock value as ``timestamp_ntz`` whatever the session
+    time zone: the text is parsed with an explicit UTC offset and the instant's
+    microseconds are added to the zone-free epoch (a plain cast would move
+    wall-clock times that fall in a daylight-saving gap).
+    """
     c = col_of(text)
-    tried = [F.try_to_timestamp(c, F.lit(fmt)) for fmt in formats]
-    return F.coalesce(*tried).cast("timestamp_ntz")
+    tried = [F.try_to_timestamp(F.concat(c, F.lit(" +00:00")), F.lit(f"{fmt} XXX")) for fmt in formats]
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", F.unix_micros(F.coalesce(*tried)), epoch)
 
 
 def decimal_hour(ts) -> Column:

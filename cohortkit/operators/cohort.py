@@ -85,8 +85,15 @@ def _packed_order(df: DataFrame, order: Sequence[str]) -> Column | None:
     if types.get(major) not in _MAJOR_TYPES or types.get(minor) not in _MINOR_TYPES:
         return None
     m = F.col(major)
-    if types[major] in ("TimestampType", "TimestampNTZType"):
-        m = F.unix_micros(m.cast("timestamp"))
+    if types[major] == "TimestampType":
+        m = F.unix_micros(m)
+    elif types[major] == "TimestampNTZType":
+        # micros from the wall-clock fields themselves: no session time zone involved
+        days = F.datediff(m.cast("date"), F.lit("1970-01-01").cast("date")).cast(_PACKED)
+        minutes = (F.hour(m) * 60 + F.minute(m)).cast(_PACKED)
+        micros = (F.date_part(F.lit("SECOND"), m) * F.lit(Decimal(1_000_000))).cast(_PACKED)
+        m = days * F.lit(Decimal(86_400_000_000)).cast(_PACKED) \
+            + minutes * F.lit(Decimal(60_000_000)).cast(_PACKED) + micros
     elif types[major] == "DateType":
         m = F.unix_date(m)
     shifted = F.col(minor).cast(_PACKED) + F.lit(Decimal(2 ** 63)).cast(_PACKED)

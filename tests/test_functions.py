@@ -105,3 +105,14 @@ def test_hash_fraction_is_stable_and_matches_duckdb(spark):
 def test_pad_array(spark):
     df = spark.createDataFrame([([1, 2, 3],), ([],)], "a array<bigint>")
     assert [r.p for r in df.select(pad_array("a", 4, 0).alias("p")).collect()] == [[1, 2, 3, 0], [0, 0, 0, 0]]
+
+
+def test_parse_is_independent_of_session_time_zone(spark):
+    df = spark.createDataFrame([("2021-03-14 02:30:00",), ("1969-07-20",)], "s string")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        got = [r.t for r in df.select(parse_timestamp("s").alias("t")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert got == [ts(2021, 3, 14, 2, 30), ts(1969, 7, 20)]

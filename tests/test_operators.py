@@ -246,3 +246,18 @@ def test_scalar_vector_helpers(spark):
     r = df.select(argmax("a").alias("am"), clip("x").alias("c"), cosine("b", "b").alias("cs"),
                   euclidean("a", "a").alias("e")).first()
     assert (r.am, r.c, r.cs, r.e) == (1, 1.0, 1.0, 0.0)
+
+
+def test_first_per_key_independent_of_session_time_zone(spark):
+    import datetime as dt
+
+    # 02:30 on 2021-03-14 does not exist in New York (clocks jump 02:00 → 03:00)
+    rows = [(1, dt.datetime(2021, 3, 14, 3, 15), 1, "later"), (1, dt.datetime(2021, 3, 14, 2, 30), 2, "earlier")]
+    df = spark.createDataFrame(rows, "k int, ts timestamp_ntz, id long, tag string")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        got = C.first_per_key(df, "k", ["ts", "id"], ["tag"]).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert (got.ts, got.tag) == (dt.datetime(2021, 3, 14, 2, 30), "earlier")
