@@ -48,12 +48,14 @@ def read_table(spark: SparkSession, base: str, name: str,
     df = cache[path]
     cols = list(columns) if columns else list(df.columns)
     if spread_on and all(k in df.columns for k in spread_on):
+        if (path, "splits") not in cache:          # depends on the files only
+            cache[(path, "splits")] = df.rdd.getNumPartitions()
         keep = list(dict.fromkeys([*cols, *spread_on]))
-        return spread(df.select(*keep), list(spread_on)).select(*cols)
+        return spread(df.select(*keep), list(spread_on), splits=cache[(path, "splits")]).select(*cols)
     return df.select(*cols) if columns else df
 
 
-def spread(df: DataFrame, key: Sequence[str] | str) -> DataFrame:
+def spread(df: DataFrame, key: Sequence[str] | str, splits: int | None = None) -> DataFrame:
     """Hash-repartition by ``key`` when the input has fewer splits than task slots.
 
     Scan-side work (scan → broadcast joins → partial aggregation, or
@@ -66,7 +68,7 @@ def spread(df: DataFrame, key: Sequence[str] | str) -> DataFrame:
     keys = [key] if isinstance(key, str) else list(key)
     spark = df.sparkSession
     slots = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
+    if (splits if splits is not None else df.rdd.getNumPartitions()) >= slots:
         return df
     return df.repartition(slots * 2, *keys)
 
