@@ -116,7 +116,9 @@ def global_index(df: DataFrame, order: list[str], name: str = "pos") -> DataFram
     per-partition row counts (one row per partition) give each partition's
     offset. ``order`` must be a total order (unique key) for a stable result.
     """
-    parts = max(1, df.sparkSession.sparkContext.defaultParallelism)
+    spark = df.sparkSession
+    parts = max(1, spark.sparkContext.defaultParallelism,
+                int(spark.conf.get("spark.sql.shuffle.partitions", "1")))
     sorted_df = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     tagged = sorted_df.withColumn("__mid", F.monotonically_increasing_id()) \
         .withColumn("__pid", F.shiftright("__mid", 33)) \

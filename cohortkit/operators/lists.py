@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortkit.functions.scalar import col_of
+from cohortkit.operators.features import global_index
 
 
 def ordered_list(df: DataFrame, keys: Sequence[str] | str, value: str | Column,
@@ -70,3 +71,31 @@ def explode_vector(df: DataFrame, array_col: str, size: int, prefix: str | None
     prefix = prefix if prefix is not None else f"{array_col}_"
     others = [c for c in df.columns if c != array_col]
     return df.select(*others, *[F.col(array_col)[i].alias(f"{prefix}{i}") for i in range(size)])
+
+
+def ordered_chunks(df: DataFrame, keys: Sequence[str] | str, value: str, order: Sequence[str],
+                   size: int, name: str = "items") -> DataFrame:
+    """All values per key in ``order`` as consecutive lists of at most ``size`` values.
+
+    Output rows: keys, ``chunk`` (0, 1, ...), ``name`` — concatenating a key's
+    chunks in chunk order gives its whole ordered list. No task ever holds more
+    than ``size`` values of one key, even when a key has a third of all rows:
+    positions come from a range-partitioned global index over (keys, order,
+    value) (a hot key is split across range partitions), a key's first
+    position is a partial aggregate, and only (key, chunk) groups are collected.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    rows = df.where(F.col(value).isNotNull()).select(*keys, *order, value)
+    indexed = global_index(rows, [*keys, *order, value], "__g")
+    first = indexed.groupBy(*keys).agg(F.min("__g").alias("__f"))
+    j = indexed.join(first, keys).withColumn("chunk", F.floor((F.col("__g") - F.col("__f")) / size))
+    grouped = j.groupBy(*keys, "chunk").agg(F.array_sort(F.collect_list(F.struct("__g", value))).alias("__l"))
+    return grouped.select(*keys, "chunk", F.transform("__l", lambda x: x[value]).alias(name))
+
+
+def chunked_text(df: DataFrame, keys: Sequence[str] | str, text: str, order: Sequence[str], size: int,
+                 sep: str = " ", name: str = "text") -> DataFrame:
+    """Texts per key joined by ``sep`` in ``order``, ``size`` texts per output row (see ``ordered_chunks``)."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    parts = ordered_chunks(df, keys, text, order, size, "__parts")
+    return parts.select(*keys, "chunk", F.array_join("__parts", sep).alias(name))

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from cohortkit.functions.scalar import pad_array
 from cohortkit.operators.cohort import first_n_per_key, first_per_key, top_k_keys
 from cohortkit.operators.features import global_index, label_index, minmax_scale
-from cohortkit.operators.lists import (concat_text, count_vector, distinct_sorted_list, explode_counts,
-                                       ordered_list)
+from cohortkit.operators.lists import (chunked_text, count_vector, distinct_sorted_list, explode_counts,
+                                       ordered_chunks)
 from cohortkit.plans.standins import StandIns
 
 SQL: dict[str, str] = {}
@@ -23,6 +23,8 @@ SQL: dict[str, str] = {}
 SEQ_LEN = 100
 N_TARGETS = 20
 TOP_EXPLODED = 20
+LIST_CHUNK = 1000        # values per output row of a per-patient list
+NOTE_CHUNK = 100         # turns per output row of a concatenated note
 
 
 def _patient_items(st: StandIns) -> DataFrame:
@@ -38,13 +40,16 @@ _ITEMS_SQL = """r AS (SELECT o.o_custkey, o.o_orderdate, l.l_orderkey, l.l_linen
 
 
 def collect_sequences(spark: SparkSession, base: str) -> DataFrame:
-    """Every item of a patient in admission order (date, admission, line)."""
+    """Every item of a patient in admission order (date, admission, line), in chunks of LIST_CHUNK."""
     r = _patient_items(StandIns(spark, base))
-    return ordered_list(r, "o_custkey", "p_name", ["o_orderdate", "l_orderkey", "l_linenumber"])
+    return ordered_chunks(r, "o_custkey", "p_name", ["o_orderdate", "l_orderkey", "l_linenumber"], LIST_CHUNK)
 
 
-SQL["collect_sequences"] = f"""WITH {_ITEMS_SQL}
-SELECT o_custkey, list(p_name ORDER BY o_orderdate, l_orderkey, l_linenumber, p_name) AS items FROM r GROUP BY o_custkey"""
+SQL["collect_sequences"] = f"""WITH {_ITEMS_SQL},
+  n AS (SELECT o_custkey, p_name, row_number() OVER (PARTITION BY o_custkey
+               ORDER BY o_orderdate, l_orderkey, l_linenumber, p_name) - 1 AS pos FROM r WHERE p_name IS NOT NULL)
+SELECT o_custkey, CAST(floor(pos / {LIST_CHUNK}) AS BIGINT) AS chunk, list(p_name ORDER BY pos) AS items
+FROM n GROUP BY o_custkey, chunk"""
 
 
 def items_per_patient(spark: SparkSession, base: str) -> DataFrame:
@@ -68,13 +73,16 @@ SELECT p_name AS item, count(*) AS n FROM r GROUP BY p_name ORDER BY n DESC, ite
 
 
 def concat_notes(spark: SparkSession, base: str) -> DataFrame:
-    """All turns of a conversation joined by a space, in turn order."""
+    """All turns of a conversation joined by a space, in turn order, NOTE_CHUNK turns per row."""
     c = StandIns(spark, base).t("conversations", "conv_id", "turn", "text")
-    return concat_text(c, "conv_id", "text", ["turn"])
+    return chunked_text(c, "conv_id", "text", ["turn"], NOTE_CHUNK)
 
 
-SQL["concat_notes"] = """SELECT conv_id, string_agg(text, ' ' ORDER BY turn, text) AS text
-FROM conversations WHERE text IS NOT NULL GROUP BY conv_id"""
+_NOTES_SQL = f"""nn AS (SELECT conv_id, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, text) - 1 AS pos
+                FROM conversations WHERE text IS NOT NULL),
+  notes AS (SELECT conv_id, CAST(floor(pos / {NOTE_CHUNK}) AS BIGINT) AS chunk, string_agg(text, ' ' ORDER BY pos) AS text
+            FROM nn GROUP BY conv_id, chunk)"""
+SQL["concat_notes"] = f"WITH {_NOTES_SQL} SELECT conv_id, chunk, text FROM notes"
 
 
 def first_admission(spark: SparkSession, base: str) -> DataFrame:
@@ -88,7 +96,7 @@ SQL["first_admission"] = """SELECT o_custkey, min(o_orderdate) AS o_orderdate,
 
 
 def patient_note_items(spark: SparkSession, base: str) -> DataFrame:
-    """First admission + concatenated note + item list per patient (shared id)."""
+    """First admission + concatenated note (per note chunk) + item list per patient (shared id)."""
     first = first_admission(spark, base)
     notes = concat_notes(spark, base).withColumnRenamed("conv_id", "o_custkey").withColumnRenamed("text", "note")
     items = items_per_patient(spark, base)
@@ -98,11 +106,10 @@ def patient_note_items(spark: SparkSession, base: str) -> DataFrame:
 SQL["patient_note_items"] = f"""
 WITH {_ITEMS_SQL},
   f AS ({SQL['first_admission']}),
-  n AS (SELECT conv_id AS o_custkey, string_agg(text, ' ' ORDER BY turn, text) AS note
-        FROM conversations WHERE text IS NOT NULL GROUP BY conv_id),
+  {_NOTES_SQL},
   i AS (SELECT o_custkey, list_sort(list_distinct(list(p_name))) AS items FROM r WHERE p_name IS NOT NULL GROUP BY o_custkey)
-SELECT f.o_custkey, f.o_orderdate, f.o_orderkey, n.note, i.items
-FROM f JOIN n ON f.o_custkey = n.o_custkey JOIN i ON f.o_custkey = i.o_custkey
+SELECT f.o_custkey, f.o_orderdate, f.o_orderkey, notes.chunk, notes.text AS note, i.items
+FROM f JOIN notes ON f.o_custkey = notes.conv_id JOIN i ON f.o_custkey = i.o_custkey
 """
 
 

@@ -261,3 +261,22 @@ def test_first_per_key_independent_of_session_time_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
     assert (got.ts, got.tag) == (dt.datetime(2021, 3, 14, 2, 30), "earlier")
+
+
+def test_ordered_chunks_split_a_hot_key_and_keep_everything(spark):
+    import random
+
+    rnd = random.Random(7)
+    rows = [(1, rnd.randint(0, 500), f"v{i}") for i in range(2500)] + [(2, 3, "b"), (2, 1, "a"), (3, 1, None)]
+    df = spark.createDataFrame(rows, "k int, o int, v string")
+    got = L.ordered_chunks(df, "k", "v", ["o"], 300).collect()
+    by_key = {}
+    for r in sorted(got, key=lambda r: (r.k, r.chunk)):
+        assert len(r["items"]) <= 300
+        by_key.setdefault(r.k, []).extend(r["items"])
+    want = sorted(((o, v) for k, o, v in rows if k == 1), key=lambda t: (t[0], t[1]))
+    assert by_key[1] == [v for _, v in want]
+    assert len([r for r in got if r.k == 1]) == 9
+    assert by_key[2] == ["a", "b"] and 3 not in by_key
+    text = {(r.k, r.chunk): r.text for r in L.chunked_text(df.where("k = 2"), "k", "v", ["o"], 1).collect()}
+    assert text == {(2, 0): "a", (2, 1): "b"}
