@@ -111,15 +111,15 @@ def weight_column(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
 def global_index(df: DataFrame, order: list[str], name: str = "pos") -> DataFrame:
     """Consecutive 0-based position in ``order`` without a single-partition window.
 
-    Range-partition and sort by ``order``; within a partition
+    Range-partition and sort by ``order`` (a hot key is split across range
+    partitions by the later order columns); within a partition
     ``monotonically_increasing_id`` counts rows in sorted order, and the
     per-partition row counts (one row per partition) give each partition's
     offset. ``order`` must be a total order (unique key) for a stable result.
     """
-    spark = df.sparkSession
-    parts = max(1, spark.sparkContext.defaultParallelism,
-                int(spark.conf.get("spark.sql.shuffle.partitions", "1")))
-    sorted_df = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    # partition count from spark.sql.shuffle.partitions (sized for the cluster),
+    # coalescable by AQE; each range partition is sorted locally
+    sorted_df = df.repartitionByRange(*order).sortWithinPartitions(*order)
     tagged = sorted_df.withColumn("__mid", F.monotonically_increasing_id()) \
         .withColumn("__pid", F.shiftright("__mid", 33)) \
         .withColumn("__local", F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1)))
