@@ -57,15 +57,17 @@ def pivot_counts(df: DataFrame, group: Sequence[str], pivot_col: str,
 
 def distinct_pivot_counts(df: DataFrame, group: Sequence[str], pivot_col: str,
                           values: Sequence, key: str,
-                          names: Sequence[str] | None = None) -> DataFrame:
+                          names: Sequence[str] | None = None,
+                          already_distinct: bool = False) -> DataFrame:
     """``COUNT(DISTINCT CASE WHEN pivot = v THEN key END)`` for every v, without ``Expand``.
 
     The direct form plans an ``Expand`` that multiplies rows by the number of
     distinct aggregates. Deduplicating (group, key, pivot) first and then
     counting per pivot value gives the same numbers in two plain aggregations.
     """
-    slim = df.select(*group, key, pivot_col).where(F.col(key).isNotNull()
-                                                   & F.col(pivot_col).isNotNull()).distinct()
+    slim = df.select(*group, key, pivot_col).where(F.col(key).isNotNull() & F.col(pivot_col).isNotNull())
+    if not already_distinct:      # callers that built distinct triples skip a shuffle
+        slim = slim.distinct()
     return pivot_counts(slim, group, pivot_col, values, names)
 
 

@@ -2,8 +2,8 @@
 
 Row-level keys (ages, stay lengths, flags, parsed values) are narrow
 projections over whole tables: one scan, one or two joins, no shuffle beyond
-the joins. Lookup tables are fixed literal frames (bounded by construction)
-and are the only frames broadcast explicitly.
+the joins. Explicit broadcasts are limited to fixed literal lookup frames and
+top-k sets (both bounded by construction).
 """
 
 from __future__ import annotations
