@@ -28,7 +28,8 @@ class Rule:
     prefixes: tuple[str, ...] = ()
     equals: tuple[str, ...] = ()
     low: float | None = None       # inclusive
-    high: float | None = None      # exclusive
+    high: float | None = None      # exclusive, or inclusive with high_inclusive
+    high_inclusive: bool = False   # SQL BETWEEN bounds (legacy bands may leave gaps)
 
     def predicate(self, c: Column) -> Column:
         parts: list[Column] = [c.startswith(p) for p in self.prefixes]
@@ -39,7 +40,7 @@ class Rule:
             if self.low is not None:
                 cond = cond & (c >= F.lit(self.low))
             if self.high is not None:
-                cond = cond & (c < F.lit(self.high))
+                cond = cond & ((c <= F.lit(self.high)) if self.high_inclusive else (c < F.lit(self.high)))
             parts.append(cond)
         if not parts:
             return F.lit(False)
@@ -77,6 +78,15 @@ class RuleTable:
             rules.append(Rule(lab, low=low, high=high))
         return RuleTable(rules)
 
+    @staticmethod
+    def between(bounds: Sequence[tuple[str, float | None, float | None]], default=None) -> RuleTable:
+        """Bands written as inclusive ``BETWEEN low AND high`` (legacy form).
+
+        Values between one band's ``high`` and the next band's ``low`` (e.g.
+        49.95 between 40–49.9 and 50–59.9) match no band and get ``default``.
+        """
+        return RuleTable([Rule(lab, low=lo, high=hi, high_inclusive=True) for lab, lo, hi in bounds], default)
+
     @property
     def labels(self) -> list[str]:
         out: list[str] = []
@@ -104,6 +114,17 @@ class RuleTable:
             expr = F.when(r.predicate(c), F.lit(i)) if expr is None else expr.when(r.predicate(c), F.lit(i))
         return expr.otherwise(F.lit(len(self.rules))) if expr is not None else F.lit(0)
 
+    def select_labelled(self, df: DataFrame, c: str, out: str = "label",
+                        strict_filter: RuleTable | None = None) -> DataFrame:
+        """Rows matching the table, labelled by it (filter and label from one definition).
+
+        ``strict_filter`` selects rows with a different (narrower) table while
+        labels still come from this one — the reference's mismatch where some
+        labelled codes can never pass its WHERE clause.
+        """
+        keep = (strict_filter or self).matches(c)
+        return df.where(keep).withColumn(out, self.label(c))
+
     def matches(self, c) -> Column:
         """True when any rule matches — the cohort filter."""
         c = col_of(c)

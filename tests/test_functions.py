@@ -116,3 +116,20 @@ def test_parse_is_independent_of_session_time_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
     assert got == [ts(2021, 3, 14, 2, 30), ts(1969, 7, 20)]
+
+
+def test_legacy_between_bands_leave_gaps(spark):
+    legacy = RuleTable.between([("40-49", 40, 49.9), ("50-59", 50, 59.9)], default="none")
+    df = spark.createDataFrame([(45.0,), (49.95,), (50.0,), (59.9,)], "w double")
+    assert [r.b for r in df.select(legacy.label("w").alias("b")).collect()] == ["40-49", "none", "50-59", "50-59"]
+
+
+def test_strict_filter_reproduces_unreachable_labels(spark):
+    labels = RuleTable([Rule("Sepsis", prefixes=("038",)), Rule("Skin", prefixes=("680", "681", "682"))],
+                       default="Other")
+    narrow = RuleTable([Rule("Sepsis", prefixes=("038",)), Rule("Skin", prefixes=("680",))])
+    df = spark.createDataFrame([("0381",), ("6801",), ("6811",), ("4010",)], "c string")
+    full = sorted((r.c, r.label) for r in labels.select_labelled(df, "c").collect())
+    legacy = sorted((r.c, r.label) for r in labels.select_labelled(df, "c", strict_filter=narrow).collect())
+    assert full == [("0381", "Sepsis"), ("6801", "Skin"), ("6811", "Skin")]
+    assert legacy == [("0381", "Sepsis"), ("6801", "Skin")]
