@@ -157,3 +157,15 @@ def test_json_array_source(spark, scratch):
 
     rows = read_json_array(spark, path, "id long, v array<double>").orderBy("id").collect()
     assert [r.v for r in rows] == [[0.1, 0.2], [0.3, 0.4]]
+
+
+def test_model_keys_are_deterministic(spark):
+    """Fixed seeds and md5 splits: the same report twice (survey §5 f)."""
+    from cohortkit.plans import learners
+
+    for key in ("clf_logreg", "clf_forest", "pca_projection"):
+        a = sorted(map(tuple, learners.QUERIES[key](spark, SMOKE).collect()), key=repr)
+        b = sorted(map(tuple, learners.QUERIES[key](spark, SMOKE).collect()), key=repr)
+        assert a == b and len(a) > 0, key
+    rep = {r.cls: r for r in learners.clf_logreg(spark, SMOKE).collect()}
+    assert rep["accuracy"].support > 0 and 0.0 <= rep["accuracy"].f1 <= 1.0
