@@ -169,3 +169,17 @@ def test_model_keys_are_deterministic(spark):
         assert a == b and len(a) > 0, key
     rep = {r.cls: r for r in learners.clf_logreg(spark, SMOKE).collect()}
     assert rep["accuracy"].support > 0 and 0.0 <= rep["accuracy"].f1 <= 1.0
+
+
+def test_single_file_csv_and_text_sinks(spark):
+    from cohortkit.sources.io import read_csv, read_text, write_text
+
+    df = spark.createDataFrame([(i, f"line {i}") for i in range(50)], "id int, text string").repartition(4)
+    path = write_csv(df, stage_path(spark, "single"), single_file=True)
+    assert len(glob.glob(os.path.join(path.replace("file:", ""), "part-*.csv"))) == 1
+    assert read_csv(spark, path, "id int, text string").count() == 50
+    tpath = write_text(df, stage_path(spark, "text"), "text")
+    lines = read_text(spark, tpath)
+    assert sorted(r.value for r in lines.collect()) == sorted(f"line {i}" for i in range(50))
+    whole = read_text(spark, tpath, whole_file=True)
+    assert sum(len(r.value.splitlines()) for r in whole.collect()) == 50
