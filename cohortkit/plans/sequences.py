@@ -130,8 +130,8 @@ def patient_sequences(spark: SparkSession, base: str) -> DataFrame:
     """
     st = StandIns(spark, base)
     ev = st.t("events", "event_id", "user_id", "ts", "event_type", "value")
+    ev = minmax_scale(ev, "value", "sv")      # statistics over the plain scan
     ev = ev.join(label_index(ev, "event_type", "item_idx", start=1), "event_type")
-    ev = minmax_scale(ev, "value", "sv")
     first = first_n_per_key(ev, "user_id", ["ts", "event_id"], SEQ_LEN)
     packed = first.groupBy("user_id").agg(
         F.array_sort(F.collect_list(F.struct("pos", "item_idx", "sv"))).alias("_s"))
