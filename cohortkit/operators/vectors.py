@@ -4,8 +4,9 @@
   fetched once and becomes a literal, so scoring is a pure map; similarities are a per-row expression, the answer a top-k;
 * label cohesion (the all-pairs contrastive loss) is computed exactly from
   per-label sums instead of pairs: for unit vectors u and a label with m rows,
-  Σ_{i,j} (1 − u_i·u_j)² = m² − 2‖Σu‖² + ‖Σ u uᵀ‖²_F, an O(m·d²) aggregate
-  (``Summarizer.sum`` of the flattened outer products) — no pair is emitted;
+  Σ_{i,j} (1 − u_i·u_j)² = m² − 2‖Σu‖² + ‖Σ u uᵀ‖²_F, an O(m·d²/2) aggregate
+  (``Summarizer.sum`` of the upper triangle of each outer product) — no pair
+  is emitted;
 * adjacent-row agreement joins each row to the next one in key order through
   a global position (no single-partition window).
 """
@@ -38,7 +39,13 @@ def label_cohesion(df: DataFrame, label: str, vec: str, digits: int = 6) -> Data
     n = norm2(v)
     unit = F.transform(v, lambda x: x / n)
     rows = df.where(n > 0).select(label, unit.alias("u"))
-    outer = F.flatten(F.transform("u", lambda a: F.transform("u", lambda b: a * b)))
+    # upper triangle of u uᵀ only (the Gram sum is symmetric): off-diagonal products
+    # are scaled by √2 so that the sum of squares still equals ‖Σ u uᵀ‖²_F
+    dims = F.size("u")
+    root2 = F.lit(2.0 ** 0.5)
+    outer = F.flatten(F.transform(F.sequence(F.lit(0), dims - 1), lambda i: F.transform(
+        F.slice("u", i + 1, dims - i),
+        lambda b, k: F.when(k == 0, F.col("u")[i] * b).otherwise(root2 * F.col("u")[i] * b))))
     sums = rows.groupBy(label).agg(
         F.count(F.lit(1)).alias("n"),
         Summarizer.sum(array_to_vector("u")).alias("_s"),
