@@ -183,3 +183,22 @@ def test_single_file_csv_and_text_sinks(spark):
     assert sorted(r.value for r in lines.collect()) == sorted(f"line {i}" for i in range(50))
     whole = read_text(spark, tpath, whole_file=True)
     assert sum(len(r.value.splitlines()) for r in whole.collect()) == 50
+
+
+def test_keys_do_not_depend_on_session_time_zone(spark):
+    keys = ["rollup_age_gender", "first_event_time", "parse_dates", "died_during_stay", "monthly_item_usage",
+            "first_admission", "los_mortality"]
+    qs = catalogue.queries()
+
+    def run():
+        return {k: sorted(map(repr, map(tuple, qs[k](spark, SMOKE).collect()))) for k in keys}
+
+    utc = run()
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        other = run()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    for k in keys:
+        assert utc[k] == other[k], k
