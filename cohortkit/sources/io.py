@@ -49,8 +49,13 @@ def read_table(spark: SparkSession, base: str, name: str,
     cols = list(columns) if columns else list(df.columns)
     if spread_on and all(k in df.columns for k in spread_on):
         if (path, "splits") not in cache:          # depends on the files only
-            cache[(path, "splits")] = df.rdd.getNumPartitions()
+            try:
+                cache[(path, "splits")] = df.rdd.getNumPartitions()
+            except Exception:  # noqa: BLE001 — no RDD access (e.g. Spark Connect)
+                cache[(path, "splits")] = None
         keep = list(dict.fromkeys([*cols, *spread_on]))
+        if cache[(path, "splits")] is None:
+            return df.select(*cols) if columns else df
         return spread(df.select(*keep), list(spread_on), splits=cache[(path, "splits")]).select(*cols)
     return df.select(*cols) if columns else df
 
@@ -66,9 +71,11 @@ def spread(df: DataFrame, key: Sequence[str] | str, splits: int | None = None) -
     is deterministic, so a retried task rebuilds the same partition.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    spark = df.sparkSession
-    slots = spark.sparkContext.defaultParallelism
-    if (splits if splits is not None else df.rdd.getNumPartitions()) >= slots:
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        if (splits if splits is not None else df.rdd.getNumPartitions()) >= slots:
+            return df
+    except Exception:  # noqa: BLE001 — no SparkContext/RDD access (e.g. Spark Connect): leave as is
         return df
     return df.repartition(slots * 2, *keys)
 
