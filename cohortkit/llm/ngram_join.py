@@ -13,7 +13,7 @@ Nothing is compared all against all:
   n-grams decides; only survivors' texts are read a second time;
 * survivors are indexed by prefixes in rarest-first order (n-grams of one
   document never match, common passages come last);
-* in each bucket of the index all members are first compared with one hub per
+* in each bucket of the index members are first compared with a few hubs per
   size class, in rounds; only pairs whose ends are still in different
   components are then listed. Links inside a component add nothing to the
   classes, so no link between classes is lost and a group of near copies costs
@@ -23,7 +23,6 @@ Nothing is compared all against all:
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -129,16 +128,22 @@ def overlapping(pairs: DataFrame, segs: DataFrame, percent: int) -> DataFrame:
     return both.where(F.col("o") * 100 >= percent * (F.col("size_a") + F.col("size_b") - F.col("o"))).select("a", "b")
 
 
-def components(links: DataFrame) -> DataFrame:
-    """(v, comp): for every end of a link the smallest vertex reachable.
+def components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """(v, comp): for every end of a link the smallest vertex reachable; ``known`` is the answer before these links.
 
     Rounds of hooking each vertex to its smallest neighbour, shortening the
     hooks to their roots, and contracting the links; each round is written, so
     lineage stays short. Vertices of any degree only meet aggregates and joins
     on written tables.
     """
-    edges = stage(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "cc-edges")
-    found = stage(edges.select(F.col("a").alias("v")).distinct().withColumn("comp", F.col("v")), "cc-found")
+    edges = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    ends = edges.select(F.col("a").alias("v")).distinct().withColumn("comp", F.col("v"))
+    if known is not None:
+        at = lambda c: known.select(F.col("v").alias(c), F.col("comp").alias(f"{c}_comp"))
+        edges = (edges.join(at("a"), "a", "left").join(at("b"), "b", "left")
+                 .select(F.coalesce("a_comp", "a").alias("a"), F.coalesce("b_comp", "b").alias("b")).where("a != b"))
+        ends = known.union(ends.join(known, "v", "left_anti").select("v", "comp"))
+    edges, found = stage(edges.distinct(), "cc-edges"), stage(ends, "cc-found")
     while not edges.isEmpty():
         hook = stage(edges.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("p")), "cc-hook")
         while True:
@@ -156,7 +161,7 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 4, percent: int = 85,
-                 fragments: int = 4, hub_rounds: int = 6, row_col: str | None = None) -> DataFrame:
+                 fragments: int = 4, hub_rounds: int = 3, row_col: str | None = None) -> DataFrame:
     """One row per input row: ``id_col``, n_shingles, component_id, first (and ``row_col`` if given).
 
     Words are runs without ASCII white space, A-Z lower-cased. component_id is
@@ -200,9 +205,8 @@ def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     index = stage(ranked.select("tok", "sid", "size", "pos", "class"), "ngram-index")
 
     size_ok = (100 * F.least("size_a", "size_b") >= percent * F.greatest("size_a", "size_b"))
-    links: list[DataFrame] = []
     comps = None
-    before = None
+    listed = before = 0
     for r in range(hub_rounds + 1):
         held = index if comps is None else index.join(comps, index["sid"] == comps["v"], "left")
         held = held.withColumn("comp", F.col("sid") if comps is None else F.coalesce("comp", "sid")).select(*index.columns, "comp")
@@ -214,7 +218,8 @@ def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         entries_left, pairs_left = open_.agg(F.count(F.lit(1)), F.sum((F.col("all") - F.col("within") / F.col("all")) / 2)).first()
         if not entries_left:
             break
-        last = r == hub_rounds or (r > 0 and (pairs_left <= 2 * entries_left or pairs_left > 0.9 * before))
+        listed = listed or entries_left
+        last = r == hub_rounds or (r > 0 and (pairs_left <= 4 * listed or pairs_left > 0.9 * before))
         before = pairs_left
         a = open_.select("tok", "class", F.col("sid").alias("a"), F.col("size").alias("size_a"),
                          F.col("pos").alias("pos_a"), F.col("comp").alias("comp_a"))
@@ -226,15 +231,19 @@ def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             fits = room * (100 + percent) >= percent * (F.col("size_a") + F.col("size_b"))
             pairs = a.join(b, (a["tok"] == b["tok"]) & (F.col("a") < F.col("b")) & (F.col("comp_a") != F.col("comp_b")) & size_ok & fits)
         else:
-            # one hub per bucket and size class, another one in each round
-            hubs = stage(open_.groupBy("tok", "class").agg(F.min_by(F.struct("sid", "size", "comp"), F.xxhash64(F.lit(r), "sid")).alias("h"))
-                         .select("tok", "class", F.col("h.sid").alias("b"), F.col("h.size").alias("size_b"), F.col("h.comp").alias("comp_b")), "ngram-hubs")
+            # a few hubs per bucket and size class, others and more in each round; two buckets stand for a member
+            order = F.xxhash64(F.lit(r), "tok")
+            probe = stage(open_.withColumn("k", F.row_number().over(Window.partitionBy("sid").orderBy(order, "tok")))
+                          .where("k <= 2").drop("k"), "ngram-probe")
+            first = Window.partitionBy("tok", "class").orderBy(F.xxhash64(F.lit(r), "sid"), "sid")
+            hubs = stage(probe.withColumn("k", F.row_number().over(first)).where(F.col("k") <= 4 ** (r + 1)).select(
+                "tok", "class", F.col("sid").alias("b"), F.col("size").alias("size_b"), F.col("comp").alias("comp_b")), "ngram-hubs")
+            a = probe.select("tok", "class", F.col("sid").alias("a"), F.col("size").alias("size_a"), F.col("comp").alias("comp_a"))
             pairs = a.join(hubs, ["tok", "class"]).where((F.col("comp_a") != F.col("comp_b")) & size_ok)
         pairs = stage(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "ngram-pairs")
         met = stage(overlapping(pairs, segs, percent), "ngram-links")
         if not met.isEmpty():
-            links.append(met)
-            comps = components(reduce(DataFrame.union, links))
+            comps = components(met, comps)
         drop_stage(open_)
         if last:
             break
