@@ -17,7 +17,6 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -64,18 +63,17 @@ class WordBpe:
         self.table = PieceTable(self.merge_words)
         self.library = None
 
-    def merge_words(self, words: list[str]) -> list[np.ndarray]:
-        """Token ids of each word."""
+    def merge_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(token ids of all words in a row, ids per word)."""
         raw = [w.encode("utf-8") for w in words]
         size = np.fromiter(map(len, raw), np.int64, len(raw))
         data = np.frombuffer(b"".join(raw), np.uint8)
         ends = np.cumsum(size)
         sym = self.inner[data]
         sym[ends - 1] = self.last[data[ends - 1]]
-        for i, w in enumerate(words):
-            if w in self.specials:
-                sym[ends[i] - size[i]:ends[i]] = -1
-                sym[ends[i] - size[i]] = self.specials[w]
+        for i in (words.index(w) for w in self.specials if w in words):
+            sym[ends[i] - size[i]:ends[i]] = -1
+            sym[ends[i] - size[i]] = self.specials[words[i]]
         word = np.repeat(np.arange(len(words)), size)[sym >= 0]     # a byte without a symbol gives no token
         sym = sym[sym >= 0]
         done_word, done_sym = [], []
@@ -104,8 +102,7 @@ class WordBpe:
             done_sym.append(sym[over])
             sym, word = sym[keep], word[keep]
         all_word, all_sym = np.concatenate([*done_word, word]), np.concatenate([*done_sym, sym])
-        order = np.argsort(all_word, kind="stable")
-        return np.split(all_sym[order].astype(np.int32), np.searchsorted(all_word[order], np.arange(1, len(words))))
+        return all_sym[np.argsort(all_word, kind="stable")], np.bincount(all_word, minlength=len(words))
 
     def words(self, text: str) -> list[str]:
         if self.special is not None and "<|" in text and self.special.search(text):
@@ -156,16 +153,12 @@ def encode_documents(docs: DataFrame, vocabulary: str, text_col: str = "text", t
     """
     file = docs.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
 
-    @F.pandas_udf("array<int>")
-    def encode(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<int>")
+    def encode(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bpe = coder(file.value)
         for part in parts:
-            batch = pa.RecordBatch.from_arrays([pa.array(part, pa.string(), from_pandas=True)], ["text"])
-            out: list[np.ndarray] = []
-            for _, _, texts in text_chunks(batch, 0):
-                flat, edges = bpe.table.ids_of([bpe.words(t) for t in texts])
-                out += np.split(flat, edges[1:-1])
-            yield pd.Series(out, dtype=object)
+            batch = pa.RecordBatch.from_arrays([part], ["text"])
+            yield pa.concat_arrays([bpe.encode(texts) for _, _, texts in text_chunks(batch, 0)] or [pa.array([], pa.list_(pa.int32()))])
 
     return docs.withColumn(to, encode(F.col(text_col).cast("string")))
 
@@ -174,10 +167,10 @@ def decode_documents(docs: DataFrame, vocabulary: str, ids_col: str = "ids", to:
     """``docs`` with the decoded text of ``ids_col`` (special tokens kept) as column ``to``; no ids give an empty text."""
     file = docs.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
 
-    @F.pandas_udf("string")
-    def decode(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("string")
+    def decode(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bpe = coder(file.value)
         for part in parts:
-            yield bpe.decode(pa.array(part, pa.list_(pa.int32()))).to_pandas()
+            yield bpe.decode(part)
 
     return docs.withColumn(to, decode(F.coalesce(F.col(ids_col), F.array().cast("array<int>"))))

@@ -23,6 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortkit.llm.bpe import WordBpe
 from cohortkit.llm.common import text_chunks, worker_cache
 from cohortkit.llm.pieces import UNUSUAL, PieceTable
 
@@ -33,7 +34,7 @@ SENTENCE, CLAUSE, ANYWHERE = 4.0, 16.0, 96.0
 
 
 class ByteTokens:
-    """Token ids of whole texts under a tokenizers file; each distinct word is encoded once."""
+    """Token ids of whole texts under a byte-level tokenizers file; each distinct word is merged once."""
 
     def __init__(self, file: str) -> None:
         import os
@@ -43,7 +44,7 @@ class ByteTokens:
 
         self.library = Tokenizer.from_str(file)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.table = PieceTable(lambda words: [e.ids for e in self.library.encode_batch(words, add_special_tokens=False)])
+        self.table = PieceTable(WordBpe(file).merge_words)
         names = [self.library.decode([i], skip_special_tokens=False) for i in range(self.library.get_vocab_size())]
         self.ends = np.full(len(names), np.inf)
         self.ends[[i for i, t in enumerate(names) if t.rstrip(" ")[-1:] in (",", ";", ":", ")")]] = CLAUSE

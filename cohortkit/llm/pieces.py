@@ -19,9 +19,9 @@ UNUSUAL = re.compile("[^\t\n\r -~¡-±´-¸º-»¿-ɏ]")
 
 
 class PieceTable:
-    """Word → token ids, filled by ``encode`` (new words → lists of ids); emptied beyond ``limit`` words."""
+    """Word → token ids, filled by ``encode`` (new words → ids in a row, ids per word); emptied beyond ``limit`` words."""
 
-    def __init__(self, encode: Callable[[list[str]], list], limit: int = 400_000) -> None:
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int = 300_000) -> None:
         self.encode, self.limit = encode, limit
         self.clear()
 
@@ -31,9 +31,8 @@ class PieceTable:
         self.offset = np.zeros(1, np.int64)
 
     def _add(self, words: list[str]) -> None:
-        ids = self.encode(words)
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        self.flat = np.concatenate([self.flat, *(np.asarray(x, np.int32) for x in ids)])
+        ids, sizes = self.encode(words)
+        self.flat = np.concatenate((self.flat, ids.astype(np.int32)))
         self.offset = np.concatenate((self.offset, self.offset[-1] + np.cumsum(sizes)))
         self.index.update(zip(words, range(len(self.index), len(self.index) + len(words)), strict=True))
 
