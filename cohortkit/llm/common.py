@@ -45,6 +45,11 @@ def drop_stage(df: DataFrame) -> None:
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Ask the JVM to collect garbage, so that Spark's cleaner drops the shuffle files of finished stages now."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def worker_cache() -> dict:
     """A dict that lives as long as the Python worker, across its tasks (functions by value are new in each)."""
     return sys.modules.setdefault("_cohortkit_worker", types.ModuleType("_cohortkit_worker")).__dict__

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortkit.llm.common import drop_stage, stage, text_chunks
+from cohortkit.llm.common import drop_stage, release, stage, text_chunks
 from cohortkit.llm.words import find_words, mix, shingle_hashes
 
 
@@ -187,10 +187,15 @@ def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     need = F.greatest(F.lit(1), F.floor(F.ceil(F.col("size") * percent / 100) / 20))
     alive = (entries.join(shared, "tok", "left_semi").groupBy("sid", "size").count().where(F.col("count") >= need).select("sid"))
     alive = stage(alive.join(rows.select(F.col("rid").alias("sid"), "id", "d1", "d2"), "sid"), "ngram-alive")
+    # the prefixes have served
+    full, rows = rows, stage(rows.drop("head"), "ngram-rows")
+    drop_stage(full)
+    release(docs.sparkSession)
 
     again = docs.select(F.col(id_col).alias("id"), text.alias("text")).join(
         alive.withColumnRenamed("id", "alive_id"), F.col("id").eqNullSafe(F.col("alive_id")))
     segs = stage(segments(again, n, fragments).dropDuplicates(["sid", "frag"]), "ngram-segments")
+    release(docs.sparkSession)
 
     # rarest-first order among survivors: document frequency, then hash
     toks = segs.select("sid", "size", F.explode("seg").alias("tok"))
@@ -203,6 +208,7 @@ def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
               .where(F.col("pos") <= F.col("size") - t)
               .withColumn("class", F.floor(F.log("size") / F.lit(float(np.log(100 / percent))))))
     index = stage(ranked.select("tok", "sid", "size", "pos", "class"), "ngram-index")
+    release(docs.sparkSession)
 
     size_ok = (100 * F.least("size_a", "size_b") >= percent * F.greatest("size_a", "size_b"))
     comps = None
