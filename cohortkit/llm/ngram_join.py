@@ -128,6 +128,14 @@ def overlapping(pairs: DataFrame, segs: DataFrame, percent: int) -> DataFrame:
     return both.where(F.col("o") * 100 >= percent * (F.col("size_a") + F.col("size_b") - F.col("o"))).select("a", "b")
 
 
+def promising(pairs: DataFrame, segs: DataFrame, percent: int, slack: int = 10) -> DataFrame:
+    """The pairs whose first segments alone come within ``slack`` percent of a link (for hub rounds, which may miss)."""
+    head = segs.where("frag = 0")
+    left, right = (head.select(F.col("sid").alias(c), F.col("seg").alias(f"seg_{c}")) for c in ("a", "b"))
+    met = pairs.join(left, "a").join(right, "b").withColumn("o", F.size(F.array_intersect("seg_a", "seg_b")))
+    return met.where(F.col("o") * 100 >= (percent - slack) * (F.size("seg_a") + F.size("seg_b") - F.col("o"))).select("a", "b")
+
+
 def components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """(v, comp): for every end of a link the smallest vertex reachable; ``known`` is the answer before these links.
 
@@ -161,7 +169,7 @@ def components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
 
 
 def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 4, percent: int = 85,
-                 fragments: int = 4, hub_rounds: int = 3, row_col: str | None = None) -> DataFrame:
+                 fragments: int = 4, hub_rounds: int = 2, row_col: str | None = None) -> DataFrame:
     """One row per input row: ``id_col``, n_shingles, component_id, first (and ``row_col`` if given).
 
     Words are runs without ASCII white space, A-Z lower-cased. component_id is
@@ -247,6 +255,8 @@ def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             a = probe.select("tok", "class", F.col("sid").alias("a"), F.col("size").alias("size_a"), F.col("comp").alias("comp_a"))
             pairs = a.join(hubs, ["tok", "class"]).where((F.col("comp_a") != F.col("comp_b")) & size_ok)
         pairs = stage(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "ngram-pairs")
+        if not last:
+            pairs = stage(promising(pairs, segs, percent), "ngram-promising")
         met = stage(overlapping(pairs, segs, percent), "ngram-links")
         if not met.isEmpty():
             comps = components(met, comps)
