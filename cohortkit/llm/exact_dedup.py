@@ -31,8 +31,7 @@ def chunk_pattern(min_chars: int, max_chars: int) -> str:
 
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                     min_chars: int = 512, max_chars: int = 8192, fingerprint=None,
-                     row_col: str | None = None) -> DataFrame:
+                     min_chars: int = 512, max_chars: int = 8192, fingerprint=None) -> DataFrame:
     """One row per input row: ``id_col``, keep_id, group_size, kept, text_sha256, n_chunks.
 
     Texts are equal when identical after white-space normalisation; null
@@ -40,12 +39,10 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     with the smallest id stays (a null id loses against any other; of rows
     that share the smallest id exactly one stays). Other columns are ignored.
     ``fingerprint`` (column → bigint column) replaces the 64-bit chunk
-    fingerprint; a poor one costs time, never correctness. ``row_col`` names a
-    unique row number that ``docs`` already has; it is then returned as well.
+    fingerprint; a poor one costs time, never correctness.
     """
     fp = fingerprint or (lambda c: F.xxhash64(c))
-    rid = F.col(row_col) if row_col else F.monotonically_increasing_id()
-    norm = docs.select(rid.alias("rid"), F.col(id_col).alias("id"), normalised(text_of(docs, text_col)).alias("t"))
+    norm = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("id"), normalised(text_of(docs, text_col)).alias("t"))
     cut = norm.select("rid", "id", F.sha2("t", 256).alias("text_sha256"),
                       F.regexp_extract_all("t", F.lit(chunk_pattern(min_chars, max_chars)), F.lit(0)).alias("chunks"))
     recipes = stage(cut.select(
@@ -73,9 +70,8 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     groups = stage(lists.groupBy("ids").agg(F.min(key).alias("first"), F.count(F.lit(1)).alias("group_size"))
                    .where("group_size > 1"), "recipe-groups")
     return (lists.join(groups, "ids", "left")
-            .select(*(["rid"] if row_col else []), F.col("id").alias(id_col),
+            .select(F.col("id").alias(id_col),
                     F.when(F.col("group_size").isNull(), F.col("id")).otherwise(F.col("first.id")).alias("keep_id"),
                     F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
                     F.coalesce(F.col("rid") == F.col("first.rid"), F.lit(True)).alias("kept"),
-                    "text_sha256", "n_chunks")
-            .withColumnsRenamed({"rid": row_col} if row_col else {}))
+                    "text_sha256", "n_chunks"))

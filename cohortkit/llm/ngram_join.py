@@ -78,7 +78,7 @@ def lists(parts: list[np.ndarray]) -> pa.ListArray:
 
 
 def heads(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """(rid, id, size, d1, d2, head) per row of (rid, id, text)."""
+    """(rid, id, carry, size, d1, d2, head) per row of (rid, id, text, carry)."""
     kind = docs.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,13 +87,13 @@ def heads(docs: DataFrame, n: int, percent: int) -> DataFrame:
                 sets = text_sets(texts, n)
                 marks = [digest(s) for s in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(lo, hi - lo), b.column(1).slice(lo, hi - lo),
+                    [b.column(0).slice(lo, hi - lo), b.column(1).slice(lo, hi - lo), b.column(3).slice(lo, hi - lo),
                      pa.array([len(s) for s in sets], pa.int64()), pa.array([m[0] for m in marks], pa.int64()),
                      pa.array([m[1] for m in marks], pa.int64()),
-                     lists([s[:head_size(len(s), percent)[0]] for s in sets])], ["rid", "id", "size", "d1", "d2", "head"])
+                     lists([s[:head_size(len(s), percent)[0]] for s in sets])], ["rid", "id", "carry", "size", "d1", "d2", "head"])
 
-    return docs.select("rid", "id", "text").mapInArrow(
-        run, f"rid bigint, id {kind}, size bigint, d1 bigint, d2 bigint, head array<bigint>")
+    return docs.select("rid", "id", "text", "carry").mapInArrow(
+        run, f"rid bigint, id {kind}, carry string, size bigint, d1 bigint, d2 bigint, head array<bigint>")
 
 
 def segments(docs: DataFrame, n: int, fragments: int) -> DataFrame:
@@ -169,20 +169,21 @@ def components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
 
 
 def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 4, percent: int = 85,
-                 fragments: int = 4, hub_rounds: int = 2, row_col: str | None = None) -> DataFrame:
-    """One row per input row: ``id_col``, n_shingles, component_id, first (and ``row_col`` if given).
+                 fragments: int = 4, hub_rounds: int = 2, carry: str | None = None) -> DataFrame:
+    """One row per input row: ``id_col``, n_shingles, component_id, first (and the column ``carry`` if given).
 
     Words are runs without ASCII white space, A-Z lower-cased. component_id is
     the smallest id reachable by links, the row's own included; ``first`` marks
     one row of each component, one with that id. A text without words, and a
     null text, has no n-grams, links with nothing and is its own component.
     Repeated rows and equal texts share a component. A null id counts after
-    every other id. Other columns are ignored. ``row_col`` names a unique row
-    number that ``docs`` already has.
+    every other id. Other columns are ignored. ``carry`` names a string column
+    that is to be returned with each row.
     """
-    rid = F.col(row_col) if row_col else F.monotonically_increasing_id()
+    carried = F.col(carry).cast("string") if carry else F.lit(None).cast("string")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = stage(heads(docs.select(rid.alias("rid"), F.col(id_col).alias("id"), text.alias("text")), n, percent), "ngram-heads")
+    rows = stage(heads(docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("id"),
+                                   text.alias("text"), carried.alias("carry")), n, percent), "ngram-heads")
     mark = ["size", "d1", "d2"]
     key = F.struct(F.col("id").isNull().alias("no_id"), "id", "rid")
     classes = stage(rows.where("size > 0").groupBy(*mark).agg(
@@ -200,8 +201,9 @@ def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     drop_stage(full)
     release(docs.sparkSession)
 
+    # the survivors grow with the corpus: a merge join at every size
     again = docs.select(F.col(id_col).alias("id"), text.alias("text")).join(
-        alive.withColumnRenamed("id", "alive_id"), F.col("id").eqNullSafe(F.col("alive_id")))
+        alive.withColumnRenamed("id", "alive_id").hint("merge"), F.col("id").eqNullSafe(F.col("alive_id")))
     segs = stage(segments(again, n, fragments).dropDuplicates(["sid", "frag"]), "ngram-segments")
     release(docs.sparkSession)
 
@@ -273,7 +275,7 @@ def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     leads = named.groupBy("comp").agg(F.min("lead").alias("best"), F.sum("copies").alias("rows")).where("rows > 1")
     final = stage(named.join(leads, "comp").select(*mark, "best"), "ngram-final")
     alone = F.col("best").isNull()
-    return (rows.select("rid", "id", *mark).join(final, mark, "left")
-            .select(*([F.col("rid").alias(row_col)] if row_col else []), F.col("id").alias(id_col), F.col("size").alias("n_shingles"),
+    return (rows.select("rid", "id", "carry", *mark).join(final, mark, "left")
+            .select(*([F.col("carry").alias(carry)] if carry else []), F.col("id").alias(id_col), F.col("size").alias("n_shingles"),
                     F.when(alone, F.col("id")).otherwise(F.col("best.id")).alias("component_id"),
                     (alone | (F.col("rid") == F.col("best.rid"))).alias("first")))

@@ -19,12 +19,24 @@ GOOD_FROM = 0.3
 TOXIC_FROM = 0.3
 
 
-def numbered(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """``docs`` written with a row number, and the number's column (a name that ``docs`` doesn't use)."""
-    col = "row_number"
-    while col in [c.lower() for c in docs.columns]:
-        col += "_"
-    return stage(docs.withColumn(col, F.monotonically_increasing_id()), name), col
+def kept_rows(docs: DataFrame, judged: DataFrame, digest, name: str) -> DataFrame:
+    """The rows of ``docs`` that ``judged`` (doc_id, sha, keep; one row each) keeps; a row is known by doc_id and digest.
+
+    Rows that agree in both are copies, of which one stays if any is kept.
+    Only the keys that lose rows are written and joined; their table grows
+    with the corpus, so the join is a merge join at every size.
+    """
+    keys = judged.groupBy("doc_id", "sha").agg(F.max("keep").alias("keep"), F.count(F.lit(1)).alias("n"))
+    odd = stage(keys.where("not keep or n > 1").select(F.col("doc_id").alias("odd_id"), F.col("sha").alias("odd_sha"), "keep"), name)
+    met = docs["doc_id"].eqNullSafe(F.col("odd_id")) & (digest == F.col("odd_sha"))
+    out = docs.join(odd.hint("merge"), met, "left_anti")
+    again = odd.where("keep")
+    if not again.isEmpty():
+        col = "sha"
+        while col in [c.lower() for c in docs.columns]:
+            col += "_"
+        out = out.unionByName(docs.join(again, met, "left_semi").withColumn(col, digest).dropDuplicates(["doc_id", col]).drop(col))
+    return out
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,17 +53,16 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts: the one with the smallest doc_id."""
-    rows, row = numbered(docs, "pipeline-exact")
-    dropped = stage(exact_dedup.exact_duplicates(rows, row_col=row).where("not kept").select(row), "pipeline-exact-dropped")
-    return rows.join(dropped, row, "left_anti").drop(row)
+    groups = exact_dedup.exact_duplicates(docs).select("doc_id", F.col("text_sha256").alias("sha"), F.col("kept").alias("keep"))
+    digest = F.sha2(exact_dedup.normalised(F.coalesce(docs["text"], F.lit(""))), 256)
+    return kept_rows(docs, groups, digest, "pipeline-exact")
 
 
 def distinct_ngrams(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates (five-word n-grams, similarity 0.8): the smallest doc_id."""
-    rows, row = numbered(docs, "pipeline-near")
-    classes = ngram_join.link_classes(rows, n=5, percent=80, row_col=row)
-    dropped = stage(classes.where(~F.col("first")).select(row), "pipeline-near-dropped")
-    return rows.join(dropped, row, "left_anti").drop(row)
+    digest = F.sha2(F.coalesce(docs["text"], F.lit("")), 256)
+    classes = ngram_join.link_classes(docs.select("doc_id", "text", digest.alias("sha")), n=5, percent=80, carry="sha")
+    return kept_rows(docs, classes.select("doc_id", "sha", F.col("first").alias("keep")), digest, "pipeline-near")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
