@@ -21,7 +21,7 @@ UNUSUAL = re.compile("[^\t\n\r -~¡-±´-¸º-»¿-ɏ]")
 class PieceTable:
     """Word → token ids, filled by ``encode`` (new words → ids in a row, ids per word); emptied beyond ``limit`` words."""
 
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int = 300_000) -> None:
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int = 500_000) -> None:
         self.encode, self.limit = encode, limit
         self.clear()
 
