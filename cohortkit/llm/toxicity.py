@@ -120,10 +120,11 @@ def token_scores(counts: pd.DataFrame, n_toxic: float, n_clean: float, prior: fl
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  label: str = "toxic", folds: int = 4, held_out: int = 2, max_rows: int = 16000,
-                 prior: float = 1000.0, min_z: float = 3.0, min_odds: float = 1.0,
+                 prior: float = 0.0625, min_z: float = 3.0, min_odds: float = 1.0,
                  min_docs: int = 5) -> ToxicModel:
     """Fit on at most ``max_rows`` labelled documents outside the held-out fold.
 
+    ``prior`` is the prior's weight as a share of the sample.
     Token counts are aggregated by Spark and filtered to ``min_docs``
     documents there; the driver gets the remaining vocabulary of the sample,
     then four numbers per sampled document for the link. Without rows of both
@@ -155,7 +156,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     if not n_toxic or not n_clean:
         return model
     tokens = counted[counted["token"] != ""].sort_values("token").reset_index(drop=True)
-    model.scores = token_scores(tokens, n_toxic, n_clean, prior, min_z, min_odds)
+    model.scores = token_scores(tokens, n_toxic, n_clean, prior * (n_toxic + n_clean), min_z, min_odds)
 
     # scores of clean text: how often each scoring token comes, per token of text
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
