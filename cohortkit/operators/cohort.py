@@ -51,7 +51,7 @@ def top_k_keys(df: DataFrame, key: str | Sequence[str], k: int, weight: str | No
     """The ``k`` most frequent keys (or heaviest by ``weight``), ties by key ascending."""
     keys = [key] if isinstance(key, str) else list(key)
     agg = F.sum(weight) if weight else F.count(F.lit(1))
-    counted = df.where(F.coalesce(*[F.col(c).isNotNull() for c in keys])) \
+    counted = df.dropna(how="any", subset=keys) \
         .groupBy(*keys).agg(agg.alias(name))
     return counted.orderBy(F.desc(name), *[F.asc(c) for c in keys]).limit(k)
 

@@ -70,7 +70,7 @@ def downsample_majority(df: DataFrame, label: str, key: str, keep: float = 0.25,
     """Keep ``keep`` of the most frequent class (by key hash) and all other rows."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("__n"))
     major = counts.orderBy(F.desc("__n"), F.asc(label)).limit(1).select(label).scalar()
-    is_major = F.col(label) == major
+    is_major = F.col(label).eqNullSafe(major)
     return df.where(~is_major | (hash_fraction(key, seed) < keep))
 
 

@@ -228,10 +228,10 @@ SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_partkey IN (
 def coerce_numeric(spark: SparkSession, base: str) -> DataFrame:
     """Numeric parse of a text field; text that is not a number becomes null."""
     e = StandIns(spark, base).t("events", "event_id", "props")
-    return e.select("event_id", to_number(F.substring("props", 7, 2), "int").alias("k"))
+    return e.select("event_id", to_number(F.get_json_object("props", "$.k"), "int").alias("k"))
 
 
-SQL["coerce_numeric"] = "SELECT event_id, TRY_CAST(substr(props, 7, 2) AS INTEGER) AS k FROM events"
+SQL["coerce_numeric"] = "SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events"
 
 
 def dropna_subset(spark: SparkSession, base: str) -> DataFrame:
