@@ -118,14 +118,24 @@ def segments(docs: DataFrame, n: int, fragments: int) -> DataFrame:
     return docs.select("sid", "d1", "d2", "text").mapInArrow(run, "sid bigint, size bigint, frag int, seg array<bigint>")
 
 
-def overlapping(pairs: DataFrame, segs: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that link: partial overlaps per fragment, summed per pair."""
-    left = segs.select(F.col("sid").alias("a"), F.col("size").alias("size_a"), "frag", F.col("seg").alias("seg_a"))
-    right = segs.select(F.col("sid").alias("b"), F.col("size").alias("size_b"), "frag", F.col("seg").alias("seg_b"))
-    part = (pairs.select("a", "b").join(left, "a").join(right, ["b", "frag"])
-            .select("a", "b", "size_a", "size_b", F.size(F.array_intersect("seg_a", "seg_b")).cast("long").alias("o")))
-    both = part.groupBy("a", "b", "size_a", "size_b").agg(F.sum("o").alias("o"))
-    return both.where(F.col("o") * 100 >= percent * (F.col("size_a") + F.col("size_b") - F.col("o"))).select("a", "b")
+def overlapping(pairs: DataFrame, segs: DataFrame, percent: int, fragments: int) -> DataFrame:
+    """The pairs (a, b) of (a, size_a, b, size_b) that link: partial overlaps, one fragment after the other, summed per pair.
+
+    After each fragment the pairs go whose sum cannot reach a link any more,
+    even if all that is left of the smaller rest were shared.
+    """
+    at = pairs.select("a", "b", "size_a", "size_b", F.lit(0).cast("long").alias("o"),
+                      F.col("size_a").alias("rest_a"), F.col("size_b").alias("rest_b"))
+    for k in range(fragments):
+        part = segs.where(F.col("frag") == k)
+        left, right = (part.select(F.col("sid").alias(c), F.col("seg").alias(f"seg_{c}")) for c in ("a", "b"))
+        met = at.join(left, "a", "left").join(right, "b", "left")
+        # a set without n-grams in this fragment has no segment there
+        length = lambda c: F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(0))
+        at = met.select("a", "b", "size_a", "size_b", (F.col("o") + length(F.array_intersect("seg_a", "seg_b"))).alias("o"),
+                        (F.col("rest_a") - length("seg_a")).alias("rest_a"), (F.col("rest_b") - length("seg_b")).alias("rest_b"))
+        at = at.where((F.col("o") + F.least("rest_a", "rest_b")) * (100 + percent) >= percent * (F.col("size_a") + F.col("size_b")))
+    return at.select("a", "b")
 
 
 def promising(pairs: DataFrame, segs: DataFrame, percent: int, slack: int = 10) -> DataFrame:
@@ -133,7 +143,7 @@ def promising(pairs: DataFrame, segs: DataFrame, percent: int, slack: int = 10)
     head = segs.where("frag = 0")
     left, right = (head.select(F.col("sid").alias(c), F.col("seg").alias(f"seg_{c}")) for c in ("a", "b"))
     met = pairs.join(left, "a").join(right, "b").withColumn("o", F.size(F.array_intersect("seg_a", "seg_b")))
-    return met.where(F.col("o") * 100 >= (percent - slack) * (F.size("seg_a") + F.size("seg_b") - F.col("o"))).select("a", "b")
+    return met.where(F.col("o") * 100 >= (percent - slack) * (F.size("seg_a") + F.size("seg_b") - F.col("o"))).select(*pairs.columns)
 
 
 def components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
@@ -256,10 +266,13 @@ def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 "tok", "class", F.col("sid").alias("b"), F.col("size").alias("size_b"), F.col("comp").alias("comp_b")), "ngram-hubs")
             a = probe.select("tok", "class", F.col("sid").alias("a"), F.col("size").alias("size_a"), F.col("comp").alias("comp_a"))
             pairs = a.join(hubs, ["tok", "class"]).where((F.col("comp_a") != F.col("comp_b")) & size_ok)
-        pairs = stage(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "ngram-pairs")
+        ends = [F.struct(F.col(c).alias("v"), F.col(f"size_{c}").alias("n")) for c in ("a", "b")]
+        pairs = pairs.select(F.least(*ends).alias("l"), F.greatest(*ends).alias("g")).select(
+            F.col("l.v").alias("a"), F.col("l.n").alias("size_a"), F.col("g.v").alias("b"), F.col("g.n").alias("size_b"))
+        pairs = stage(pairs.distinct(), "ngram-pairs")
         if not last:
             pairs = stage(promising(pairs, segs, percent), "ngram-promising")
-        met = stage(overlapping(pairs, segs, percent), "ngram-links")
+        met = stage(overlapping(pairs, segs, percent, fragments), "ngram-links")
         if not met.isEmpty():
             comps = components(met, comps)
         drop_stage(open_)
