@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -40,11 +41,13 @@ class PieceTable:
         """(ids of all texts in a row, where each text's ids start and the last ones end)."""
         if len(self.index) > self.limit:
             self.clear()
-        words = [w for t in texts for w in t]
-        new = sorted(set(words).difference(self.index))
-        if new:
-            self._add(new)
-        at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+        words = list(chain.from_iterable(texts))
+        at = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
+        gaps = np.flatnonzero(at < 0)
+        if len(gaps):
+            unknown = [words[i] for i in gaps.tolist()]
+            self._add(sorted(set(unknown)))
+            at[gaps] = np.fromiter(map(self.index.__getitem__, unknown), np.int64, len(gaps))
         size = self.offset[at + 1] - self.offset[at]
         ends = np.cumsum(size)
         total = int(ends[-1]) if len(ends) else 0
