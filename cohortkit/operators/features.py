@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortkit.functions.scalar import col_of, hash_fraction
+from cohortkit.sources.io import materialize
 
 
 def label_index(df: DataFrame, column: str, name: str = "label_index", start: int = 0) -> DataFrame:
@@ -113,9 +114,12 @@ def global_index(df: DataFrame, order: list[str], name: str = "pos") -> DataFram
 
     Range-partition and sort by ``order`` (a hot key is split across range
     partitions by the later order columns); within a partition
-    ``monotonically_increasing_id`` counts rows in sorted order, and the
-    per-partition row counts (one row per partition) give each partition's
-    offset. ``order`` must be a total order (unique key) for a stable result.
+    ``monotonically_increasing_id`` counts rows in sorted order. The numbered
+    rows are written once as a stage under ``spark.checkpoint.dir``: the
+    per-partition row counts (one row per partition, giving each partition's
+    offset) and the rows themselves both come from that stage, so they cannot
+    stem from two different range samples. ``order`` must be a total order
+    (unique key) for a stable result.
     """
     # partition count from spark.sql.shuffle.partitions (sized for the cluster),
     # coalescable by AQE; each range partition is sorted locally
@@ -123,11 +127,12 @@ def global_index(df: DataFrame, order: list[str], name: str = "pos") -> DataFram
     tagged = sorted_df.withColumn("__mid", F.monotonically_increasing_id()) \
         .withColumn("__pid", F.shiftright("__mid", 33)) \
         .withColumn("__local", F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1)))
+    tagged = materialize(tagged.drop("__mid"), name="global-index")
     sizes = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     offsets = sizes.withColumn("__off", F.coalesce(F.sum("__n").over(
         Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     out = tagged.join(F.broadcast(offsets.select("__pid", "__off")), "__pid")
-    return out.withColumn(name, F.col("__off") + F.col("__local")).drop("__mid", "__pid", "__local", "__off")
+    return out.withColumn(name, F.col("__off") + F.col("__local")).drop("__pid", "__local", "__off")
 
 
 def as_double_array(c) -> Column:

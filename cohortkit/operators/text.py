@@ -91,32 +91,35 @@ def entity_corpus(df: DataFrame, key: str, text: str, patterns=ENTITY_PATTERNS)
     return df.select(key, F.regexp_extract_all(F.col(text), F.lit(combined), 0).alias("entities"))
 
 
-def word_vector(word, dims: int) -> Column:
-    """A deterministic ``dims``-d vector from the md5 of a word (values in about [-1, 1]).
-
-    Bytes are scaled by 1/127 rather than a power of two, so means of these
-    values do not fall exactly on decimal rounding ties.
-    """
+def word_steps(word, dims: int) -> Column:
+    """A deterministic ``dims``-d vector of whole numbers -128..127 from the md5 of a word (in steps of 1/127)."""
     h = F.md5(col_of(word))
     return F.transform(F.sequence(F.lit(0), F.lit(dims - 1)),
-                       lambda i: (F.conv(F.substring(h, i * 2 + 1, 2), 16, 10).cast("int") - 128) / 127.0)
+                       lambda i: F.conv(F.substring(h, i * 2 + 1, 2), 16, 10).cast("long") - 128)
 
 
-def mean_word_vectors(df: DataFrame, key: str, text: str, table: DataFrame, dims: int,
-                      word: str = "word", vector: str = "vector", digits: int = 6) -> DataFrame:
-    """Mean of the word vectors of each text's tokens; unknown words and empty texts count as zeros.
+def word_counts(df: DataFrame, key: str, text: str, word: str = "word") -> DataFrame:
+    """(key, word, n): how often each text has each token; a text without tokens has one null word."""
+    return df.select(key, F.explode_outer(tokens(text)).alias(word)).groupBy(key, word).agg(F.count(F.lit(1)).alias("n"))
+
 
-    ``table`` (word, vector) is joined on the token; ``dims`` separate ``avg``
-    aggregates keep the aggregation buffer fixed-width (hash aggregate with a
-    map-side partial step).
+def mean_of_counts(counts: DataFrame, key: str, table: DataFrame, dims: int, word: str = "word",
+                   vector: str = "vector", digits: int = 6, steps: int = 1) -> DataFrame:
+    """Mean vector of each text of ``word_counts``; unknown and null words count as zeros.
+
+    Entries of ``vector`` are in units of 1 / ``steps``. Whole numbers are summed
+    exactly and divided once, so the mean does not depend on the summing order.
     """
-    toks = df.select(key, F.explode_outer(tokens(text)).alias(word))
-    j = toks.join(table.select(word, vector), word, "left")
-    zeros = F.array_repeat(F.lit(0.0), dims)
-    v = F.when(F.col(word).isNull(), zeros).otherwise(F.coalesce(F.col(vector), zeros))
-    j = j.select(key, v.alias("_v"))
-    agg = j.groupBy(key).agg(*[F.avg(F.col("_v")[i]).alias(f"_d{i}") for i in range(dims)])
-    return agg.select(key, F.array(*[F.round(F.col(f"_d{i}"), digits) for i in range(dims)]).alias("mean_vector"))
+    j = counts.join(table.select(word, vector), word, "left")
+    total = F.sum("n") * steps
+    means = [F.coalesce(F.sum(F.col("n") * F.col(vector)[i]), F.lit(0)) / total for i in range(dims)]
+    return j.groupBy(key).agg(F.array(*[F.round(m, digits) for m in means]).alias("mean_vector"))
+
+
+def mean_word_vectors(df: DataFrame, key: str, text: str, table: DataFrame, dims: int,
+                      word: str = "word", vector: str = "vector", digits: int = 6) -> DataFrame:
+    """Mean of the word vectors of each text's tokens; unknown words and empty texts count as zeros."""
+    return mean_of_counts(word_counts(df, key, text, word), key, table, dims, word, vector, digits)
 
 
 def tag_with(df: DataFrame, tagger, schema: str) -> DataFrame:

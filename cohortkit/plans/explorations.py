@@ -1,13 +1,13 @@
 """Exploratory aggregates (length of stay, ages, first chart time, drug use).
 
 Top-k group sets are DataFrames of at most k rows, applied with a broadcast
-``left_semi`` join — never collected to the driver. The only driver round
-trip is ``mean_los_pivot`` reading the list of two-year periods (one row per
-period) to fix the pivot's columns.
+``left_semi`` join — never collected to the driver.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +18,7 @@ from cohortkit.plans.standins import StandIns
 # Month order for the monthly table.
 MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
 PERIOD_WIDTH = 2
+PERIODS = tuple(range(1992, 2002, PERIOD_WIDTH))    # columns of the wide table
 TOP_GROUPS = 6
 TOP_ITEMS = 10
 BIN_MINUTES = 5
@@ -63,18 +64,21 @@ WITH s AS (SELECT n.n_name AS ethnicity, CAST(floor(year(o.o_orderdate) / {PERIO
 SQL["mean_los_by_period"] = _LOS_SQL + "SELECT * FROM m"
 
 
-def mean_los_pivot(spark: SparkSession, base: str) -> DataFrame:
-    """Wide form: one row per group, one column per period (absent cells 0)."""
-    long = mean_los_by_period(spark, base)
-    periods = sorted(r[0] for r in long.select("period").distinct().collect())
-    wide = long.groupBy("ethnicity").pivot("period", periods).agg(F.first("mean_los"))
-    return wide.select("ethnicity", *[F.coalesce(F.col(f"`{p}`"), F.lit(0.0)).alias(f"p{p}")
-                                      for p in periods])
+def mean_los_pivot(spark: SparkSession, base: str, periods: Sequence[int] = PERIODS) -> DataFrame:
+    """Wide form: one row per group, one column per period and one for all others (absent cells 0)."""
+    s = _los_rows(spark, base)
+
+    def cell(inside):
+        return F.coalesce(F.round(F.avg(F.when(inside, F.col("los"))), 6), F.lit(0.0))
+
+    return s.groupBy("ethnicity").agg(*[cell(F.col("period") == p).alias(f"p{p}") for p in periods],
+                                      cell(~F.col("period").isin(*periods)).alias("p_other"))
 
 
-SQL["mean_los_pivot"] = "PIVOT (" + _LOS_SQL + """
-    SELECT ethnicity, 'p' || CAST(period AS VARCHAR) AS pcol, mean_los FROM m)
-ON pcol USING first(mean_los) GROUP BY ethnicity
+SQL["mean_los_pivot"] = _LOS_SQL + "SELECT ethnicity, " + ", ".join(
+    f"coalesce(round(avg(los) FILTER (WHERE period = {p}), 6), 0.0) AS p{p}" for p in PERIODS) + f""",
+    coalesce(round(avg(los) FILTER (WHERE period NOT IN ({", ".join(map(str, PERIODS))})), 6), 0.0) AS p_other
+FROM s WHERE ethnicity IN (SELECT ethnicity FROM t) GROUP BY ethnicity
 """
 
 

@@ -8,14 +8,16 @@ from pyspark.sql import functions as F
 from cohortkit.operators import text as T
 from cohortkit.operators import vectors as V
 from cohortkit.plans.standins import StandIns
+from cohortkit.sources.io import materialize
 
 SQL: dict[str, str] = {}
 
 WINDOW = 128
 VOCAB = 30000
 NOTE_SOURCE_PREFIX = "src1"
-WORD_TABLE_SIZE = 1000
 WORD_DIMS = 8
+WORD_STEPS = 127          # vectors hold whole multiples of 1 / WORD_STEPS
+UNKNOWN_ONE_IN = 10
 QUERY_VEC = 0
 TOP_SIMILAR = 10
 
@@ -23,7 +25,6 @@ _TOKENS_SQL = "list_filter(regexp_split_to_array(lower(text), '[^a-z0-9]+'), lam
 
 
 def _docs(spark: SparkSession, base: str, *cols: str) -> DataFrame:
-    """Notes (scans are spread over all task slots: text work is CPU-bound per row)."""
     return StandIns(spark, base).t("documents", *(cols or ("doc_id", "text")))
 
 
@@ -92,27 +93,28 @@ SQL["entity_corpus"] = ("SELECT doc_id, regexp_extract_all(text, '" + "|".join(p
                         + "') AS entities FROM documents")
 
 
-def _word_table(docs: DataFrame) -> DataFrame:
-    """The most frequent tokens with a deterministic vector each (a pre-trained table's stand-in)."""
-    counts = T.token_counts(docs, "text", "word")
-    top = counts.orderBy(F.desc("n"), F.asc("word")).limit(WORD_TABLE_SIZE)
-    return top.select("word", T.word_vector("word", WORD_DIMS).alias("vector"))
-
-
 def mean_word_vectors(spark: SparkSession, base: str) -> DataFrame:
-    """Mean word vector per note; unknown words and empty notes contribute zeros."""
-    docs = _docs(spark, base)
-    table = _word_table(docs)
-    return T.mean_word_vectors(docs, "doc_id", "text", F.broadcast(table), WORD_DIMS)
+    """Mean word vector per note; words outside the table and empty notes contribute zeros.
+
+    Every word of the corpus has a vector but for a tenth (by hash) that
+    stands for words a pre-trained table does not know.
+    """
+    counts = materialize(T.word_counts(_docs(spark, base), "doc_id", "text"), name="note-words")
+    words = counts.where(F.col("word").isNotNull()).select("word").distinct()
+    known = F.conv(F.substring(F.md5(F.concat(F.lit("oov"), "word")), 1, 4), 16, 10).cast("long") % UNKNOWN_ONE_IN != 0
+    table = words.where(known).select("word", T.word_steps("word", WORD_DIMS).alias("vector"))
+    return T.mean_of_counts(counts, "doc_id", table, WORD_DIMS, steps=WORD_STEPS)
 
 
 SQL["mean_word_vectors"] = f"""
 WITH t AS (SELECT doc_id, unnest(CASE WHEN len({_TOKENS_SQL}) = 0 THEN [NULL] ELSE {_TOKENS_SQL} END) AS word FROM documents),
-     c AS (SELECT word, count(*) AS n FROM t WHERE word IS NOT NULL GROUP BY word ORDER BY n DESC, word LIMIT {WORD_TABLE_SIZE}),
+     c AS (SELECT DISTINCT word FROM t WHERE word IS NOT NULL),
      v AS (SELECT word, list_transform(range(0, {WORD_DIMS}),
-                  lambda i: (('0x' || substr(md5(word), i * 2 + 1, 2))::INTEGER - 128) / 127.0) AS vector FROM c),
-     j AS (SELECT t.doc_id, coalesce(v.vector, [{", ".join(["0.0"] * WORD_DIMS)}]) AS vec FROM t LEFT JOIN v ON t.word = v.word)
-SELECT doc_id, [{", ".join(f"round(avg(vec[{i + 1}]), 6)" for i in range(WORD_DIMS))}] AS mean_vector FROM j GROUP BY doc_id
+                  lambda i: ('0x' || substr(md5(word), i * 2 + 1, 2))::INTEGER - 128) AS vector FROM c
+           WHERE ('0x' || substr(md5('oov' || word), 1, 4))::INTEGER % {UNKNOWN_ONE_IN} <> 0),
+     j AS (SELECT t.doc_id, v.vector AS vec FROM t LEFT JOIN v ON t.word = v.word)
+SELECT doc_id, [{", ".join(f"round(CAST(coalesce(sum(vec[{i + 1}]), 0) AS DOUBLE) / CAST({WORD_STEPS} * count(*) AS DOUBLE), 6)" for i in range(WORD_DIMS))}] AS mean_vector
+FROM j GROUP BY doc_id
 """
 
 

@@ -354,7 +354,7 @@ FROM i JOIN d ON i.o_custkey = d.o_custkey GROUP BY infection_type
 
 
 # ---------------------------------------------------------------- table 9
-WEIGHT_BANDS = (0, 10, 20, 30, 40, 50)
+WEIGHT_BANDS = (0, 10, 20, 30, 40, 50)      # the first also holds what lies below, the last all above
 
 
 def comorbidity_buckets(spark: SparkSession, base: str, k: int = 10) -> DataFrame:
@@ -369,7 +369,9 @@ def comorbidity_buckets(spark: SparkSession, base: str, k: int = 10) -> DataFram
         .join(adm, F.col("l_orderkey") == F.col("o_orderkey"))
     other = semi_join(other, cohort_pat, "o_custkey") \
         .select(F.col("p_name").alias("comorbidity"), "o_custkey",
-                bucket_floor("p_size", 10).alias("band")).distinct()
+                F.when(F.col("p_size") < WEIGHT_BANDS[1], F.lit(WEIGHT_BANDS[0]))
+                .when(F.col("p_size") >= WEIGHT_BANDS[-1], F.lit(WEIGHT_BANDS[-1]))
+                .otherwise(bucket_floor("p_size", 10)).cast("long").alias("band")).distinct()
     totals = other.groupBy("comorbidity").agg(F.countDistinct("o_custkey").alias("patient_count"))
     top = totals.orderBy(F.desc("patient_count"), F.asc("comorbidity")).limit(k)
     bands = distinct_pivot_counts(other.join(F.broadcast(top.select("comorbidity")), "comorbidity", "left_semi"),
@@ -383,7 +385,8 @@ def comorbidity_buckets(spark: SparkSession, base: str, k: int = 10) -> DataFram
 SQL["comorbidity_buckets"] = """
 WITH coh AS (SELECT DISTINCT o.o_custkey FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
              JOIN orders o ON l.l_orderkey = o.o_orderkey WHERE p.p_name LIKE 'blue%'),
-     x AS (SELECT p.p_name AS comorbidity, o.o_custkey, CAST(floor(p.p_size / 10) * 10 AS BIGINT) AS band
+     x AS (SELECT p.p_name AS comorbidity, o.o_custkey, CASE WHEN p.p_size < 10 THEN 0 WHEN p.p_size >= 50 THEN 50
+                                                               ELSE CAST(floor(p.p_size / 10) * 10 AS BIGINT) END AS band
            FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey JOIN orders o ON l.l_orderkey = o.o_orderkey
            WHERE p.p_name NOT LIKE 'blue%' AND o.o_custkey IN (SELECT o_custkey FROM coh))
 SELECT comorbidity, count(DISTINCT o_custkey) AS patient_count, """ + ", ".join(

@@ -1,9 +1,8 @@
 """Per-patient lists, notes, sequences and count vectors.
 
-Lists are one row per key by definition; each is built by ``collect_list``
-over (sort key, value) structs with map-side partial aggregation. Model
-sequences are cut to their fixed length (``first_n_per_key``) before the
-collect, so a list never exceeds the model's input length.
+Distinct lists are one row per key. Ordered lists, notes and model sequences
+come as consecutive chunks of bounded length, so nothing is cut off and no
+task holds all of a hot key.
 """
 
 from __future__ import annotations
@@ -12,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortkit.functions.scalar import pad_array
-from cohortkit.operators.cohort import first_n_per_key, first_per_key, top_k_keys
+from cohortkit.operators.cohort import first_per_key, top_k_keys
 from cohortkit.operators.features import global_index, label_index, minmax_scale
 from cohortkit.operators.lists import (chunked_text, count_vector, distinct_sorted_list, explode_counts,
                                        ordered_chunks)
@@ -122,21 +121,21 @@ def _top_items(st: StandIns) -> DataFrame:
 
 
 def patient_sequences(spark: SparkSession, base: str) -> DataFrame:
-    """Per user: first 100 events as (item index, scaled value), zero-padded, and 20 targets.
+    """Per user: all events as windows of 100 (item index, scaled value), zero-padded, and 20 targets.
 
-    Item index = sorted event-type vocabulary + 1 (0 is padding); values are
-    min–max scaled over all events; targets = whether the patient has each
-    of the 20 most frequent items (multi-hot, in frequency order).
+    ``chunk`` numbers a user's windows from 0. Item index = sorted event-type
+    vocabulary + 1 (0 is padding); values are min–max scaled over all events;
+    targets = whether the patient has each of the 20 most frequent items
+    (multi-hot, in frequency order).
     """
     st = StandIns(spark, base)
     ev = st.t("events", "event_id", "user_id", "ts", "event_type", "value")
     ev = minmax_scale(ev, "value", "sv")      # statistics over the plain scan
     ev = ev.join(label_index(ev, "event_type", "item_idx", start=1), "event_type")
-    first = first_n_per_key(ev, "user_id", ["ts", "event_id"], SEQ_LEN)
-    packed = first.groupBy("user_id").agg(
-        F.array_sort(F.collect_list(F.struct("pos", "item_idx", "sv"))).alias("_s"))
+    steps = ev.select("user_id", "ts", "event_id", F.struct("item_idx", "sv").alias("step"))
+    packed = ordered_chunks(steps, "user_id", "step", ["ts", "event_id"], SEQ_LEN, "_s")
     seqs = packed.select(
-        "user_id",
+        "user_id", "chunk",
         pad_array(F.transform("_s", lambda s: s["item_idx"].cast("bigint")), SEQ_LEN, 0).alias("item_seq"),
         pad_array(F.transform("_s", lambda s: s["sv"]), SEQ_LEN, 0.0).alias("value_seq"),
         F.size("_s").alias("seq_len"))
@@ -146,7 +145,7 @@ def patient_sequences(spark: SparkSession, base: str) -> DataFrame:
     targets = F.transform(F.sequence(F.lit(0), F.lit(N_TARGETS - 1)),
                           lambda i: F.when(F.array_contains(F.coalesce("_t", F.array().cast("array<int>")), i), 1)
                           .otherwise(0))
-    return seqs.join(have, "user_id", "left").select("user_id", "item_seq", "value_seq", "seq_len",
+    return seqs.join(have, "user_id", "left").select("user_id", "chunk", "item_seq", "value_seq", "seq_len",
                                                      targets.alias("targets"))
 
 
@@ -159,12 +158,12 @@ WITH {_ITEMS_SQL},
                round(CASE WHEN mx > mn THEN (value - mn) / (mx - mn) ELSE 0.0 END, 6) AS sv,
                row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pos
         FROM events JOIN idx USING (event_type) CROSS JOIN mm),
-  s AS (SELECT user_id, list(item_idx ORDER BY pos) AS it, list(sv ORDER BY pos) AS vs, count(*) AS n
-        FROM e WHERE pos <= {SEQ_LEN} GROUP BY user_id),
+  s AS (SELECT user_id, (pos - 1) // {SEQ_LEN} AS chunk, list(item_idx ORDER BY pos) AS it, list(sv ORDER BY pos) AS vs, count(*) AS n
+        FROM e GROUP BY ALL),
   top AS (SELECT p_name, row_number() OVER (ORDER BY n DESC, p_name) - 1 AS target
           FROM (SELECT p_name, count(*) AS n FROM r GROUP BY p_name ORDER BY n DESC, p_name LIMIT {N_TARGETS})),
   h AS (SELECT r.o_custkey AS user_id, list(DISTINCT top.target) AS t FROM r JOIN top ON r.p_name = top.p_name GROUP BY r.o_custkey)
-SELECT s.user_id,
+SELECT s.user_id, s.chunk,
        list_transform(range(1, {SEQ_LEN + 1}), lambda i: CAST(coalesce(it[i], 0) AS BIGINT)) AS item_seq,
        list_transform(range(1, {SEQ_LEN + 1}), lambda i: coalesce(vs[i], 0.0)) AS value_seq,
        CAST(n AS INTEGER) AS seq_len,

@@ -85,6 +85,23 @@ def test_count_vector_and_multi_hot(spark):
     assert mh == {1: [1, 0, 1], 2: [0, 1, 0]}
 
 
+def test_global_index_keeps_rows_with_a_payload_over_many_partitions(spark):
+    conf = {"spark.sql.shuffle.partitions": "16", "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m",
+            "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        n = 600_000
+        df = spark.range(n).select(F.xxhash64("id").alias("key"), F.array_repeat(F.rand(1), 16).alias("payload"))
+        got = FE.global_index(df, ["key"]).agg(F.count(F.lit(1)), F.countDistinct("pos"), F.max("pos")).first()
+        assert tuple(got) == (n, n, n - 1)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_global_index_is_consecutive(spark):
     df = spark.range(0, 5000, 3).withColumnRenamed("id", "key").repartition(7)
     got = sorted((r.pos, r.key) for r in FE.global_index(df, ["key"]).collect())

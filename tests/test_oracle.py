@@ -18,7 +18,7 @@ def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
-        return None if math.isnan(v) else round(v, 6) + 0.0
+        return None if math.isnan(v) else round(v, 6)
     if isinstance(v, (list, tuple)):
         return tuple(_norm(x) for x in v)
     if hasattr(v, "isoformat"):
@@ -26,7 +26,7 @@ def _norm(v):
     if isinstance(v, bool):
         return int(v)
     if type(v).__name__ == "Decimal":
-        return round(float(v), 6) + 0.0
+        return round(float(v), 6)
     return v
 
 
