@@ -75,6 +75,16 @@ def downsample_majority(df: DataFrame, label: str, key: str, keep: float = 0.25,
     return df.where(~is_major | (hash_fraction(key, seed) < keep))
 
 
+def per_class(stats: DataFrame, label: str, value: str) -> Column:
+    """The ``value`` of each row's class: ``stats`` (one row per class) as a scalar-subquery map.
+
+    Detail rows are not shuffled on a label with a handful of values; a label
+    that is null or not in ``stats`` gives null.
+    """
+    entries = F.map_from_entries(F.collect_list(F.struct(label, value)))
+    return stats.agg(entries.alias("m")).scalar()[F.col(label)]
+
+
 def balance_classes(df: DataFrame, label: str, key: str, n: int, seed: str = "42") -> DataFrame:
     """``n`` rows per class, in key-hash order; short classes repeat their rows.
 
@@ -82,8 +92,8 @@ def balance_classes(df: DataFrame, label: str, key: str, n: int, seed: str = "42
     before the cut, which reproduces sampling with replacement
     deterministically. Classes with c ≥ n are never replicated.
     """
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("__c"))
-    j = df.join(counts, label)
+    counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("__c"))
+    j = df.where(F.col(label).isNotNull()).withColumn("__c", per_class(counts, label, "__c"))
     copies = F.greatest(F.lit(1), F.ceil(F.lit(n) / F.col("__c")).cast("int"))
     j = j.withColumn("copy", F.explode(F.sequence(F.lit(0), copies - 1)))
     w = Window.partitionBy(label).orderBy(F.col("copy"), hash_fraction(key, seed), F.col(key))
@@ -105,8 +115,7 @@ def class_weights(df: DataFrame, label: str, digits: int = 6) -> DataFrame:
 def weight_column(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
     """Attach the balanced class weight to every row (for ``weightCol``)."""
     w = class_weights(df, label).select(label, F.col("weight").alias(name))
-    # one row per class; AQE broadcasts it when its measured size allows
-    return df.join(w, label, "left")
+    return df.withColumn(name, per_class(w, label, name))
 
 
 def global_index(df: DataFrame, order: list[str], name: str = "pos") -> DataFrame:

@@ -54,14 +54,14 @@ FROM w
 
 
 def notes_cohort(spark: SparkSession, base: str) -> DataFrame:
-    """Labelled notes of one source family (source prefix)."""
+    """Labelled notes of one source family (source prefix), with their text."""
     st = StandIns(spark, base)
-    d = st.t("documents", "doc_id", "source").where(F.col("source").startswith(NOTE_SOURCE_PREFIX))
+    d = st.t("documents", "doc_id", "source", "text").where(F.col("source").startswith(NOTE_SOURCE_PREFIX))
     return d.join(st.t("labels", "doc_id", "quality", "toxic"), "doc_id") \
         .na.drop(subset=["quality"])
 
 
-SQL["notes_cohort"] = f"""SELECT d.doc_id, d.source, l.quality, l.toxic FROM documents d JOIN labels l ON d.doc_id = l.doc_id
+SQL["notes_cohort"] = f"""SELECT d.doc_id, d.source, d.text, l.quality, l.toxic FROM documents d JOIN labels l ON d.doc_id = l.doc_id
 WHERE d.source LIKE '{NOTE_SOURCE_PREFIX}%' AND l.quality IS NOT NULL"""
 
 
