@@ -9,11 +9,14 @@ to discover the values, and a fixed output schema).
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortkit.functions.scalar import col_of
+from cohortkit.sources.io import materialize
 
 
 def rate(num, den, percent: bool = True, digits: int | None = None) -> Column:
@@ -114,20 +117,86 @@ def share_of_total(counts: DataFrame, count_col: str, name: str = "share_pct",
     return counts.withColumn(name, rate(F.col(count_col), total, digits=digits))
 
 
+def value_ranks(df: DataFrame, group: Sequence[str], value: str) -> tuple[DataFrame, DataFrame]:
+    """Per (group, value) counts in global order, for exact quantiles without per-group state.
+
+    Returns two frames. ``cells``: group, value (double), ``rows`` (all rows),
+    ``n`` (rows with a value), range partition ``__pid``, and ``__upto``, the
+    running count of values inside (partition, group). ``spans``: one row per
+    (partition, group) with ``__off``, the values of the group in earlier
+    partitions, and ``__total``, all its values. The counts are
+    range-partitioned by (group, value) and written once, so a hot group
+    spreads over many partitions and only one row per partition and group
+    meets the window over a group. Null values and null groups are kept
+    (a null value has n = 0).
+    """
+    cells = df.groupBy(*group, F.col(value).cast("double").alias("value")).agg(
+        F.count(F.lit(1)).alias("rows"), F.count(value).alias("n"))
+    order = [*group, "value"]
+    cells = materialize(cells.repartitionByRange(*order).withColumn("__pid", F.spark_partition_id()), name="value-ranks")
+    inside = Window.partitionBy("__pid", *group).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    held = cells.groupBy("__pid", *group).agg(F.sum("n").alias("__held"))
+    of_group = Window.partitionBy(*group)
+    before = of_group.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    spans = held.select("__pid", *group, F.coalesce(F.sum("__held").over(before), F.lit(0)).alias("__off"),
+                        F.sum("__held").over(of_group).alias("__total"))
+    return cells.withColumn("__upto", F.sum("n").over(inside)), spans
+
+
+def on_span(cells: DataFrame, spans: DataFrame, group: Sequence[str]) -> DataFrame:
+    """``cells`` with the columns of their (partition, group) row of ``spans``; groups match null-safely."""
+    named = spans.select(F.col("__pid").alias("__pid_s"), *[F.col(g).alias(f"__s_{g}") for g in group],
+                         *[c for c in spans.columns if c not in ("__pid", *group)])
+    met = F.col("__pid") == F.col("__pid_s")
+    for g in group:
+        met = met & F.col(g).eqNullSafe(F.col(f"__s_{g}"))
+    return cells.join(named, met).drop("__pid_s", *[f"__s_{g}" for g in group])
+
+
+def ranked_quantiles(cells: DataFrame, spans: DataFrame, group: Sequence[str], probs: Mapping[str, float],
+                     *extra: Column) -> DataFrame:
+    """Exact linear-interpolation quantiles (``PERCENTILE_CONT``) per group from :func:`value_ranks`.
+
+    For each probability the two neighbouring ranks are picked by a plain
+    aggregate and interpolated; a group without values gets nulls. ``extra``
+    are further aggregates over the cells (group, value, rows, n).
+    """
+    at = on_span(cells, spans, group)
+    first, end = F.col("__off") + F.col("__upto") - F.col("n"), F.col("__off") + F.col("__upto")
+    holds = lambda rank: (first <= rank) & (rank < end)
+    picks = []
+    for name, p in probs.items():
+        pos = F.lit(float(p)) * (F.col("__total") - 1)
+        picks += [F.max(F.when(holds(F.floor(pos)), F.col("value"))).alias(f"__lo_{name}"),
+                  F.max(F.when(holds(F.ceil(pos)), F.col("value"))).alias(f"__hi_{name}"),
+                  F.max(pos - F.floor(pos)).alias(f"__part_{name}")]
+    out = at.groupBy(*group).agg(*picks, *extra)
+
+    def between(name: str) -> Column:
+        lo, hi, part = (F.col(f"__{c}_{name}") for c in ("lo", "hi", "part"))
+        return F.when(lo == hi, lo).otherwise(lo * (1 - part) + hi * part).alias(name)
+
+    kept = [c for c in out.columns if not c.startswith(("__lo_", "__hi_", "__part_")) and c not in group]
+    return out.select(*group, *[between(n) for n in probs], *kept)
+
+
 def box_stats(df: DataFrame, group: Sequence[str], value: str, digits: int = 6) -> DataFrame:
     """Quartiles, and whiskers: the most extreme values within 1.5 IQR of the box.
 
-    Two aggregations: quartiles per group, then min/max of the values inside
-    the whisker fences (joined on the group key; one row per group).
+    The input is reduced once to counts per (group, value); quartiles and
+    whiskers both come from those. The fences reach the counts with the one
+    row per (range partition, group), so nothing is shuffled on a hot group.
     """
-    q = df.groupBy(*group).agg(F.percentile(value, 0.25).alias("q1"),
-                               F.percentile(value, 0.5).alias("median"),
-                               F.percentile(value, 0.75).alias("q3"))
-    fenced = df.join(q, list(group)).where(
-        (F.col(value) >= F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")))
-        & (F.col(value) <= F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))))
-    w = fenced.groupBy(*group).agg(F.min(value).alias("whisker_low"), F.max(value).alias("whisker_high"))
-    out = q.join(w, list(group), "left")
+    cells, spans = value_ranks(df, group, value)
+    q = ranked_quantiles(cells, spans, group, {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    same = [F.col(g).eqNullSafe(F.col(f"__q_{g}")) for g in group]
+    fences = spans.join(q.select(*[F.col(g).alias(f"__q_{g}") for g in group], "q1", "median", "q3"),
+                        reduce(and_, same)).drop(*[f"__q_{g}" for g in group], "__off", "__total")
+    reach = 1.5 * (F.col("q3") - F.col("q1"))
+    inside = F.when((F.col("value") >= F.col("q1") - reach) & (F.col("value") <= F.col("q3") + reach), F.col("value"))
+    out = on_span(cells.drop("__upto"), fences, group).groupBy(*group).agg(
+        *[F.max(c).alias(c) for c in ("q1", "median", "q3")],
+        F.min(inside).alias("whisker_low"), F.max(inside).alias("whisker_high"))
     return out.select(*group, *[F.round(c, digits).alias(c) for c in
                                 ("q1", "median", "q3", "whisker_low", "whisker_high")])
 

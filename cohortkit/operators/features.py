@@ -35,6 +35,15 @@ def label_encode(df: DataFrame, column: str, name: str = "label_index", start: i
     return df.join(label_index(df, column, name, start), column, "left")
 
 
+def label_decode(df: DataFrame, vocab: DataFrame, index: str, column: str) -> DataFrame:
+    """Inverse of :func:`label_encode`: add ``column`` from the fitted ``vocab`` (``column``, ``index``).
+
+    ``vocab`` holds the classes of a label (one row each); detail rows are not
+    shuffled. An index that is null or not in ``vocab`` gives null.
+    """
+    return df.withColumn(column, per_class(vocab, index, column))
+
+
 def minmax_scale(df: DataFrame, column: str, name: str = "scaled", digits: int | None = 6,
                  fit_on: DataFrame | None = None) -> DataFrame:
     """(x − min) / (max − min) with statistics from ``fit_on`` (default ``df``); constant → 0."""

@@ -84,3 +84,20 @@ def prf(counts: DataFrame, digits: int = 6, keep: list[str] | None = None) -> Da
     return counts.select(*(keep or []), "tp", "fp", "fn", "support",
                          F.round(p, digits).alias("precision"), F.round(r, digits).alias("recall"),
                          F.round(_f1(p, r), digits).alias("f1"))
+
+
+def subset_accuracy(df: DataFrame, key: str, actual: str, pred: str, digits: int = 6) -> DataFrame:
+    """Exact match of all labels: rows (``key``) whose labels are all predicted right, and their share.
+
+    One row: n_rows, n_exact, subset_accuracy (0 for an empty input). Two null
+    labels count as equal.
+    """
+    per = df.groupBy(key).agg(F.min(F.col(actual).eqNullSafe(F.col(pred))).alias("exact"))
+    t = per.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if("exact").alias("n_exact"))
+    return t.withColumn("subset_accuracy", F.round(_safe_div(F.col("n_exact"), F.col("n_rows")), digits))
+
+
+def label_means(per_label: DataFrame, digits: int = 6) -> DataFrame:
+    """Unweighted means over labels of the precision, recall and F1 of :func:`prf` rows."""
+    return per_label.agg(F.count(F.lit(1)).alias("n_labels"),
+                         *[F.round(F.avg(c), digits).alias(f"mean_{c}") for c in ("precision", "recall", "f1")])

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier,
                                        RandomForestClassifier)
-from pyspark.ml.feature import PCA, IDF, HashingTF, VectorAssembler, Word2Vec
+from pyspark.ml.feature import PCA, VectorAssembler, Word2Vec
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,8 +72,3 @@ def word2vec(corpus: DataFrame, tokens_col: str, size: int = 16, seed: int = 42,
 def pca(df: DataFrame, k: int) -> tuple:
     model = PCA(k=k, inputCol="features", outputCol="pc").fit(df)
     return model, model.transform(df)
-
-
-def tfidf(df: DataFrame, tokens_col: str, num_features: int = 1024) -> DataFrame:
-    tf = HashingTF(inputCol=tokens_col, outputCol="tf", numFeatures=num_features).transform(df)
-    return IDF(inputCol="tf", outputCol="tfidf", minDocFreq=1).fit(tf).transform(tf)

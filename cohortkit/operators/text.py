@@ -134,3 +134,18 @@ def tag_with(df: DataFrame, tagger, schema: str) -> DataFrame:
             yield tagger(b)
 
     return df.mapInPandas(run, schema)
+
+
+def tfidf_terms(df: DataFrame, key: str, text: str, digits: int = 6) -> DataFrame:
+    """TF-IDF of every (document, term): ``key``, term, tf, df, weight = tf · ln((N + 1) / (df + 1)).
+
+    The sparse vectors in long form, over the whole vocabulary (terms are not
+    hashed into buckets); N counts all rows, texts without tokens included.
+    Document frequencies come from (document, term) counts, so a term that
+    every text holds is pre-aggregated. ``key`` must be unique.
+    """
+    tf = df.select(key, F.explode(tokens(text)).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+    freq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    total = df.agg(F.count(F.lit(1))).scalar()
+    weight = F.col("tf") * F.log((total + 1) / (F.col("df") + 1))
+    return tf.join(freq, "term").select(key, "term", "tf", "df", F.round(weight, digits).alias("weight"))

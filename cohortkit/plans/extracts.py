@@ -17,7 +17,7 @@ from cohortkit.functions.scalar import coerce_numeric as to_number
 from cohortkit.functions.temporal import completed_years, flag_between, parse_timestamp, whole_days
 from cohortkit.operators.cohort import restrict_to_top_k, semi_join, top_k_keys
 from cohortkit.operators.crosstab import box_stats as box_stats_op
-from cohortkit.operators.crosstab import share_of_total
+from cohortkit.operators.crosstab import ranked_quantiles, share_of_total, value_ranks
 from cohortkit.operators.crosstab import value_counts as value_counts_op
 from cohortkit.plans.standins import SEGMENTS, StandIns
 
@@ -319,12 +319,10 @@ GROUP BY q.band, q1, median, q3
 
 
 def value_quartiles(spark: SparkSession, base: str) -> DataFrame:
-    b = _banded(spark, base)
-    return b.groupBy("band").agg(
-        F.round(F.avg("value"), 6).alias("mean"),
-        F.round(F.percentile("value", 0.5), 6).alias("median"),
-        F.round(F.percentile("value", 0.25), 6).alias("first_quartile"),
-        F.round(F.percentile("value", 0.75), 6).alias("third_quartile"))
+    cells, spans = value_ranks(_banded(spark, base), ["band"], "value")
+    q = ranked_quantiles(cells, spans, ["band"], {"median": 0.5, "first_quartile": 0.25, "third_quartile": 0.75},
+                         (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"))
+    return q.select("band", *[F.round(c, 6).alias(c) for c in ("mean", "median", "first_quartile", "third_quartile")])
 
 
 SQL["value_quartiles"] = _BAND_SQL + """SELECT band, round(avg(value), 6) AS mean,

@@ -1,4 +1,4 @@
-"""Model keys (rows-only checks): classifiers, learning curves, scoring, Word2Vec, PCA, TF-IDF.
+"""Model keys: classifiers, learning curves, scoring, Word2Vec, PCA (rows only) and TF-IDF (with an oracle).
 
 Train/test rows come from the md5 split, so every run trains on the same rows;
 all learners get a fixed seed.
@@ -16,9 +16,12 @@ from cohortkit.operators.cohort import top_k_keys
 from cohortkit.operators.features import hash_split
 from cohortkit.operators.metrics import classification_report
 from cohortkit.plans import extracts
+from cohortkit.plans.notes import _TOKENS_SQL
 from cohortkit.plans.standins import StandIns
 from cohortkit.sources.io import materialize
 
+SQL: dict[str, str] = {}
+
 SEED = 42
 STAY_COLUMNS = ("los", "age", "gender", "seq_num")
 FOREST_TREES = 100
@@ -115,14 +118,18 @@ def pca_projection(spark: SparkSession, base: str) -> DataFrame:
 
 
 def note_features(spark: SparkSession, base: str) -> DataFrame:
-    """TF-IDF note features (hashed terms) — the classifier inputs in place of transformer states."""
-    docs = StandIns(spark, base).t("documents", "doc_id", "text").select("doc_id", T.tokens("text").alias("toks"))
-    out = ML.tfidf(docs, "toks")
-    arr = vector_to_array("tfidf")
-    return out.select("doc_id", F.size("toks").alias("n_tokens"),
-                      F.round(F.sqrt(F.aggregate(arr, F.lit(0.0), lambda a, x: a + x * x)), 6).alias("tfidf_norm"))
+    """TF-IDF note features over all terms — the classifier inputs in place of transformer states."""
+    return T.tfidf_terms(StandIns(spark, base).t("documents", "doc_id", "text"), "doc_id", "text")
 
 
+SQL["note_features"] = f"""
+WITH tf AS (SELECT doc_id, term, count(*) AS tf
+            FROM (SELECT doc_id, unnest({_TOKENS_SQL}) AS term FROM documents) GROUP BY doc_id, term),
+     f AS (SELECT term, count(*) AS df FROM tf GROUP BY term), n AS (SELECT count(*) AS total FROM documents)
+SELECT doc_id, tf.term, tf, df, round(tf * ln((total + 1) / (df + 1)), 6) AS weight
+FROM tf JOIN f ON tf.term = f.term, n
+"""
+
 QUERIES = {
     "clf_logreg": clf_logreg,
     "clf_forest": clf_forest,
@@ -135,4 +142,3 @@ QUERIES = {
     "pca_projection": pca_projection,
     "note_features": note_features,
 }
-SQL: dict[str, str] = {}

@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from cohortkit.functions.rules import Rule, RuleTable
 from cohortkit.functions.temporal import bucket_floor, completed_years, whole_days
 from cohortkit.operators.cohort import semi_join, top_k_keys
-from cohortkit.operators.crosstab import (conditional_counts, distinct_pivot_counts,
-                                          pivot_counts, rate)
+from cohortkit.operators.crosstab import (conditional_counts, distinct_pivot_counts, pivot_counts,
+                                          ranked_quantiles, rate, value_ranks)
 from cohortkit.plans.standins import (COHORT_PREFIX, DISEASE_PREFIXES, EXPIRED_STATUS,
                                       PRIORITIES, SEGMENTS, StandIns)
 
@@ -219,14 +219,12 @@ def lab_abnormal_stats(spark: SparkSession, base: str, k: int = 20) -> DataFrame
                  "event_type", "left_semi")
     ab = F.col("value") > F.lit(ABNORMAL_ABOVE)
     abv = F.when(ab, F.col("value"))
-    stats = ev.groupBy("event_type").agg(
-        F.count(F.lit(1)).alias("total_test_count"),
-        F.count_if(ab).alias("abnormal_test_count"),
-        F.percentile(abv, 0.5).alias("median_abnormal_value"),
-        F.percentile(abv, 0.25).alias("first_quartile"),
-        F.percentile(abv, 0.75).alias("third_quartile"),
-        F.min(abv).alias("min_abnormal_value"),
-        F.max(abv).alias("max_abnormal_value"))
+    cells, spans = value_ranks(ev.select("event_type", abv.alias("abnormal")), ["event_type"], "abnormal")
+    stats = ranked_quantiles(
+        cells, spans, ["event_type"],
+        {"median_abnormal_value": 0.5, "first_quartile": 0.25, "third_quartile": 0.75},
+        F.sum("rows").alias("total_test_count"), F.sum("n").alias("abnormal_test_count"),
+        F.min("value").alias("min_abnormal_value"), F.max("value").alias("max_abnormal_value"))
     top = stats.orderBy(F.desc("total_test_count"), F.asc("event_type")).limit(k)
     out = top.join(F.broadcast(items.select("event_type", "label")), "event_type")
     return out.select(

@@ -14,6 +14,7 @@ from cohortkit.functions.rules import value_map
 from cohortkit.functions.scalar import hash_fraction
 from cohortkit.operators import features as FE
 from cohortkit.operators import metrics as M
+from cohortkit.plans import extracts
 from cohortkit.plans.sequences import N_TARGETS, _patient_items, _top_items
 from cohortkit.plans.standins import StandIns
 
@@ -257,6 +258,52 @@ def multilabel_per_label(spark: SparkSession, base: str) -> DataFrame:
 SQL["multilabel_per_label"] = _ML_SQL + f", t AS (SELECT target, {_PRF_SQL} FROM ml GROUP BY target) SELECT target, {_PRF_OUT} FROM t"
 
 
+def multilabel_exact(spark: SparkSession, base: str) -> DataFrame:
+    return M.subset_accuracy(_multilabel(spark, base), "o_custkey", "actual", "predicted")
+
+
+SQL["multilabel_exact"] = _ML_SQL + """,
+  p AS (SELECT o_custkey, bool_and(actual = predicted) AS exact FROM ml GROUP BY o_custkey),
+  t AS (SELECT count(*) AS n_rows, count(*) FILTER (WHERE exact) AS n_exact FROM p)
+SELECT n_rows, n_exact, round(coalesce(n_exact / nullif(n_rows, 0), 0.0), 6) AS subset_accuracy FROM t"""
+
+
+def multilabel_means(spark: SparkSession, base: str) -> DataFrame:
+    return M.label_means(multilabel_per_label(spark, base))
+
+
+SQL["multilabel_means"] = _ML_SQL + f""", t AS (SELECT target, {_PRF_SQL} FROM ml GROUP BY target),
+  per AS (SELECT target, {_PRF_OUT} FROM t)
+SELECT count(*) AS n_labels, round(avg(precision), 6) AS mean_precision, round(avg(recall), 6) AS mean_recall,
+       round(avg(f1), 6) AS mean_f1 FROM per"""
+
+
+def label_roundtrip(spark: SparkSession, base: str) -> DataFrame:
+    """Event classes as indices and back from the fitted vocabulary."""
+    e = StandIns(spark, base).t("events", "event_id", "event_type")
+    vocab = FE.label_index(e, "event_type", "idx")
+    coded = e.withColumn("idx", FE.per_class(vocab, "event_type", "idx")).drop("event_type")
+    return FE.label_decode(coded, vocab, "idx", "event_type")
+
+
+SQL["label_roundtrip"] = """
+WITH v AS (SELECT event_type, CAST(row_number() OVER (ORDER BY event_type) - 1 AS INTEGER) AS idx
+           FROM (SELECT DISTINCT event_type FROM events WHERE event_type IS NOT NULL))
+SELECT e.event_id, v.idx, v.event_type FROM events e LEFT JOIN v ON e.event_type = v.event_type"""
+
+
+def demographics_scaled(spark: SparkSession, base: str) -> DataFrame:
+    """Demographic model inputs of the cohort's rows: age scaled to 0..1 and the encoded gender."""
+    s = extracts.stay_features(spark, base).select("l_orderkey", "l_linenumber", "age", "gender")
+    return FE.minmax_scale(s, "age", "age_scaled")
+
+
+SQL["demographics_scaled"] = f"""
+WITH s AS ({extracts.SQL["stay_features"]}), r AS (SELECT min(age) AS mn, max(age) AS mx FROM s)
+SELECT l_orderkey, l_linenumber, age, gender,
+       CASE WHEN mx > mn THEN round((age - mn) / (mx - mn), 6) ELSE 0.0 END AS age_scaled FROM s, r"""
+
+
 def rank_compare(spark: SparkSession, base: str) -> DataFrame:
     """Rank of each top item by actual vs predicted patient counts (window over ≤ 20 rows)."""
     st = StandIns(spark, base)
@@ -294,5 +341,9 @@ QUERIES = {
     "multilabel_threshold": multilabel_threshold,
     "multilabel_micro": multilabel_micro,
     "multilabel_per_label": multilabel_per_label,
+    "multilabel_exact": multilabel_exact,
+    "multilabel_means": multilabel_means,
+    "label_roundtrip": label_roundtrip,
+    "demographics_scaled": demographics_scaled,
     "rank_compare": rank_compare,
 }

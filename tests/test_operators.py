@@ -297,3 +297,74 @@ def test_ordered_chunks_split_a_hot_key_and_keep_everything(spark):
     assert by_key[2] == ["a", "b"] and 3 not in by_key
     text = {(r.k, r.chunk): r.text for r in L.chunked_text(df.where("k = 2"), "k", "v", ["o"], 1).collect()}
     assert text == {(2, 0): "a", (2, 1): "b"}
+
+
+def _quantile_rows(spark):
+    rows = [("a", float(v % 7)) for v in range(100)] + [("b", 5.0), ("b", None), ("c", None), (None, 1.0), (None, 4.0)]
+    rows += [("hot", float((v * 37) % 1001)) for v in range(3000)] + [("hot", 50000.0)]
+    return spark.createDataFrame(rows, "g string, v double").repartition(6)
+
+
+def test_ranked_quantiles_equal_percentiles(spark):
+    df = _quantile_rows(spark)
+    probs = {"q1": 0.25, "med": 0.5, "q9": 0.9}
+    want = df.groupBy("g").agg(*[F.percentile("v", p).alias(n) for n, p in probs.items()],
+                               F.count(F.lit(1)).alias("rows"), F.count("v").alias("n"))
+    cells, spans = X.value_ranks(df, ["g"], "v")
+    got = X.ranked_quantiles(cells, spans, ["g"], probs, F.sum("rows").alias("rows"), F.sum("n").alias("n"))
+    key = lambda r: (r["g"] is None, r["g"] or "")
+    a, b = sorted(want.collect(), key=key), sorted(got.select(*want.columns).collect(), key=key)
+    assert len(a) == len(b) == 5
+    for x, y in zip(a, b):
+        assert (x["g"], x["rows"], x["n"]) == (y["g"], y["rows"], y["n"])
+        for n in probs:
+            assert x[n] == y[n] if x[n] is None else abs(x[n] - y[n]) < 1e-9
+    none = X.value_ranks(df.where("false"), ["g"], "v")
+    assert X.ranked_quantiles(*none, ["g"], probs).collect() == []
+
+
+def test_ranked_quantiles_of_a_group_over_many_partitions(spark):
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        df = _quantile_rows(spark)
+        cells, spans = X.value_ranks(df, ["g"], "v")
+        assert spans.where("g = 'hot'").count() > 4
+        got = {r["g"]: r["med"] for r in X.ranked_quantiles(cells, spans, ["g"], {"med": 0.5}).collect()}
+        want = {r["g"]: r["med"] for r in df.groupBy("g").agg(F.percentile("v", 0.5).alias("med")).collect()}
+        assert got == want
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_box_stats_whiskers(spark):
+    out = {r["g"]: r for r in X.box_stats(_quantile_rows(spark), ["g"], "v").collect()}
+    assert out["hot"]["whisker_high"] == 1000.0 and out["hot"]["whisker_low"] == 0.0
+    assert out["c"]["median"] is None and out["c"]["whisker_low"] is None
+    assert out[None]["median"] == 2.5 and out["b"]["q1"] == 5.0
+
+
+def test_quantile_keys_hold_no_percentile(spark):
+    from cohortkit.plans import catalogue
+    for key in ("value_quartiles", "box_stats", "lab_abnormal_stats"):
+        plan = catalogue.queries()[key](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString().lower()
+        assert "percentile" not in plan, key
+
+
+def test_label_decode_and_exact_match(spark):
+    df = spark.createDataFrame([(1, "x"), (2, "y"), (3, None), (4, "x")], "id int, c string")
+    vocab = FE.label_index(df, "c", "i")
+    coded = FE.label_encode(df, "c", "i").select("id", "i")
+    back = FE.label_decode(coded, vocab, "i", "c").select("id", "c")
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+    cells = spark.createDataFrame([(1, 1, 1), (1, 0, 0), (2, 1, 0), (2, 1, 1)], "k int, a int, p int")
+    assert tuple(M.subset_accuracy(cells, "k", "a", "p").first()) == (2, 1, 0.5)
+    assert tuple(M.subset_accuracy(cells.where("false"), "k", "a", "p").first()) == (0, 0, 0.0)
+
+
+def test_tfidf_terms_whole_vocabulary(spark):
+    df = spark.createDataFrame([(1, "a b b"), (2, "a"), (3, None), (4, "")], "id int, t string")
+    got = {(r["id"], r["term"]): (r["tf"], r["df"], r["weight"]) for r in T.tfidf_terms(df, "id", "t").collect()}
+    assert got == {(1, "a"): (1, 2, 0.510826), (1, "b"): (2, 1, 1.832581), (2, "a"): (1, 2, 0.510826)}

@@ -29,7 +29,7 @@ def test_every_key_has_sql_or_is_a_model_key():
     assert set(sql) <= set(qs)
     rows_only = set(qs) - set(sql)
     assert rows_only == {"clf_logreg", "clf_forest", "clf_gbt", "clf_mlp", "learning_curve", "score_rows",
-                         "word2vec_vectors", "word2vec_similar", "pca_projection", "note_features"}
+                         "word2vec_vectors", "word2vec_similar", "pca_projection"}
 
 
 def test_prefix_filter_reaches_parquet(spark):
