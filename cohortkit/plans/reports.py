@@ -219,13 +219,16 @@ def lab_abnormal_stats(spark: SparkSession, base: str, k: int = 20) -> DataFrame
                  "event_type", "left_semi")
     ab = F.col("value") > F.lit(ABNORMAL_ABOVE)
     abv = F.when(ab, F.col("value"))
-    cells, spans = value_ranks(ev.select("event_type", abv.alias("abnormal")), ["event_type"], "abnormal")
-    stats = ranked_quantiles(
-        cells, spans, ["event_type"],
-        {"median_abnormal_value": 0.5, "first_quartile": 0.25, "third_quartile": 0.75},
-        F.sum("rows").alias("total_test_count"), F.sum("n").alias("abnormal_test_count"),
-        F.min("value").alias("min_abnormal_value"), F.max("value").alias("max_abnormal_value"))
+    stats = ev.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("total_test_count"),
+        F.count_if(ab).alias("abnormal_test_count"),
+        F.min(abv).alias("min_abnormal_value"),
+        F.max(abv).alias("max_abnormal_value"))
     top = stats.orderBy(F.desc("total_test_count"), F.asc("event_type")).limit(k)
+    # the quantiles need the abnormal values only, counted per (item, value)
+    cells, spans = value_ranks(ev.where(ab), ["event_type"], "value")
+    top = top.join(ranked_quantiles(cells, spans, ["event_type"], {
+        "median_abnormal_value": 0.5, "first_quartile": 0.25, "third_quartile": 0.75}), "event_type", "left")
     out = top.join(F.broadcast(items.select("event_type", "label")), "event_type")
     return out.select(
         F.col("label").alias("electrolyte"), "total_test_count", "abnormal_test_count",
