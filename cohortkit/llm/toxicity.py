@@ -2,7 +2,7 @@
 
 Token scores are log-odds of toxic against clean training documents with an
 informative Dirichlet prior (the corpus counts themselves); tokens that do not
-stand out cost a small amount each. A linear-time scan finds all maximal
+stand out cost a small amount each. Every use of a token scores the same. A linear-time scan finds all maximal
 scoring segments of a text; Karlin-Altschul statistics fitted on clean
 training text turn a segment's score into an expected count of chance
 segments, and a logistic link over the extreme-value quantities of a document
@@ -71,13 +71,8 @@ class ToxicModel:
         """(number of tokens, maximal segments) of a text."""
         tokens, get = TOKEN.findall(text.lower()), self.scores.get
         hits = [(i, t) for i, t in enumerate(tokens) if get(t) is not None]
-        at, gain, times = [], [], {}
-        for i, t in hits:
-            # a word said again is less new evidence each time
-            times[t] = times.get(t, 0) + 1
-            at.append(i)
-            gain.append(get(t) / times[t] - self.cost)
-        return len(tokens), maximal_segments(at, gain, self.cost) if at else []
+        # every use counts whole: a segment's score is that of its tokens, whatever stands before it
+        return len(tokens), maximal_segments([i for i, _ in hits], [get(t) - self.cost for _, t in hits], self.cost)
 
     def expected(self, score: float, n: int) -> float:
         """Segments of at least this score that a clean text of ``n`` tokens has by chance (E-value)."""
