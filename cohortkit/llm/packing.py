@@ -1,8 +1,8 @@
 """Packing token streams into training windows by order-preserving dynamic programming.
 
 Each task packs its documents in order. A window may end at a document end
-(free), after a sentence or after a clause (penalties in tokens); only where no
-such place lies within a window's length may it end inside a clause. Cuts
+(free), after a sentence or after a clause (penalties in tokens), and, where no
+such place comes for more tokens than the highest penalty, after any token. Cuts
 minimise padding plus penalties. With v(i) = cost(i) + position(i) the best
 predecessor of a cut is the smallest v among the cuts at most one window back,
 held in a monotone queue, so the whole is linear in the number of places; a
@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections import deque
 from collections.abc import Iterator
 
@@ -35,6 +36,20 @@ LONG_TEXT, LONG_RUN = 10_000, re.compile(r"\S{4096}|\s{4096}")
 SENTENCE, CLAUSE, ANYWHERE = 4.0, 16.0, 96.0
 
 
+def marks_of_scripts() -> list[tuple[int, float, list[int]]]:
+    """(bytes, penalty, values) of the marks outside ASCII that end a clause or a sentence, in every script."""
+    import regex
+
+    every = "".join(chr(c) for c in range(0x80, 0x20000) if not 0xD800 <= c < 0xE000)
+    sentence = {*regex.findall(r"\p{Sentence_Terminal}", every), "\u2028", "\u2029"}
+    clause = {*regex.findall(r"\p{Terminal_Punctuation}", every), "\uff09"} - sentence
+    out = []
+    for penalty, marks in ((CLAUSE, clause), (SENTENCE, sentence)):
+        for n in (2, 3, 4):
+            out.append((n, penalty, sorted(int.from_bytes(b, "big") for c in marks if len(b := c.encode()) == n)))
+    return [x for x in out if x[2]]
+
+
 class ByteTokens:
     """Token ids of whole texts under a byte-level tokenizers file.
 
@@ -56,10 +71,38 @@ class ByteTokens:
                  if name not in self.special}
         self.plain = tiktoken.Encoding("file", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
         names = [self.library.decode([i], skip_special_tokens=False) for i in range(self.library.get_vocab_size())]
+        raw = [b"?"] * len(names)
+        for token, i in ranks.items():
+            raw[i] = token
+        # per token: its length and its last one to four bytes as numbers
+        self.size = np.array([len(r) for r in raw])
+        self.tails = [np.array([int.from_bytes(r[-k:], "big") for r in raw], np.int64) for k in (1, 2, 3, 4)]
+        self.marks = marks_of_scripts()
         self.ends = np.full(len(names), np.inf)
         self.ends[[i for i, t in enumerate(names) if t.rstrip(" ")[-1:] in (",", ";", ":", ")")]] = CLAUSE
         self.ends[[i for i, t in enumerate(names) if t.rstrip(" ")[-1:] in (".", "!", "?", "\n")]] = SENTENCE
 
+    def penalties(self, flat: np.ndarray) -> np.ndarray:
+        """Penalty of ending a window after each token of a stream; infinite inside a clause.
+
+        Marks outside ASCII are known by their bytes, as one may be several tokens.
+        """
+        out = self.ends[flat]
+        if not len(flat) or self.tails[0][flat].max() < 0x80:
+            return out
+        size, tail = self.size[flat], self.tails[0][flat]
+        upto = [tail]
+        for k in (2, 3, 4):
+            # the last k bytes of the stream after each token: its own, or as many as it lacks from before
+            last = self.tails[k - 1][flat]
+            for own in range(1, k):
+                short = np.flatnonzero(size[1:] == own) + 1
+                last[short] += upto[k - own - 1][short - 1] << (8 * own)
+            upto.append(last)
+        for n, penalty, values in self.marks:
+            out[np.isin(upto[n - 1], values)] = penalty
+        return out
+
     def easy(self, text: str) -> bool:
         return (UNUSUAL.search(text) is None and not any(s in text for s in self.special)
                 and (len(text) <= LONG_TEXT or LONG_RUN.search(text) is None))
@@ -71,24 +114,27 @@ class ByteTokens:
 
 def cut_places(penalty: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """(places where a window may end, their penalties): ``penalty`` per token, document ends free,
-    and, where two places lie more than a window apart, places between them at full windows."""
+    and every token between two places that lie further apart than ANYWHERE or a window.
+
+    In a shorter gap, ending the window where the gap starts pads no more than a cut inside it costs.
+    """
     cost = penalty.copy()
     cost[ends - 1] = 0.0
     at = np.flatnonzero(np.isfinite(cost)) + 1
     gaps = np.diff(at, prepend=0)
-    wide = np.flatnonzero(gaps > length)
-    if len(wide):
-        more = np.concatenate([np.arange(at[i] - gaps[i] + length, at[i], length) for i in wide])
-        cost[more - 1] = ANYWHERE
-        at = np.flatnonzero(np.isfinite(cost)) + 1
+    wide = np.repeat(gaps > min(ANYWHERE, length), gaps)
+    cost[:len(wide)][wide & ~np.isfinite(cost[:len(wide)])] = ANYWHERE
+    at = np.flatnonzero(np.isfinite(cost)) + 1
     return at, cost[at - 1]
 
 
 def best_cuts(at: np.ndarray, penalty: np.ndarray, length: int, exact: tuple[int, ...]) -> list[int]:
     """Ends of the windows that minimise padding plus penalties over the places ``at`` (increasing)."""
-    places, cost, back = [0, *at.tolist()], [0.0], [-1]
+    places, cost, back = array("q", [0]), array("d", [0.0]), array("q", [-1])
+    places.frombytes(np.asarray(at, np.int64).tobytes())
+    extra = array("d", np.asarray(penalty, np.float64).tobytes())
     queue: deque[tuple[float, int]] = deque([(0.0, 0)])
-    where = {0: 0}
+    where = array("q", bytes(8 * (places[-1] + 1)))     # place number at a position; 0 also where there is none
     for j in range(1, len(places)):
         here = places[j]
         while here - places[queue[0][1]] > length:
@@ -96,10 +142,11 @@ def best_cuts(at: np.ndarray, penalty: np.ndarray, length: int, exact: tuple[int
         value, i = queue[0]
         best = length - here + value
         for n in exact:
-            k = where.get(here - n)
-            if k is not None and cost[k] < best:
-                best, i = cost[k], k
-        best += penalty[j - 1]
+            if here >= n:
+                k = where[here - n]
+                if (k or here == n) and cost[k] < best:
+                    best, i = cost[k], k
+        best += extra[j - 1]
         cost.append(best)
         back.append(i)
         where[here] = j
@@ -147,7 +194,7 @@ def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str
             nonlocal sequence
             flat = np.concatenate(parts)
             ends = np.cumsum([len(p) for p in parts])
-            cuts = np.array(best_cuts(*cut_places(tokens.ends[flat], ends, length), length, exact))
+            cuts = np.array(best_cuts(*cut_places(tokens.penalties(flat), ends, length), length, exact))
             stop = np.unique(np.concatenate((cuts, ends)))
             begin = np.concatenate(([0], stop[:-1]))
             doc, window = np.searchsorted(ends, begin, side="right"), np.searchsorted(cuts, begin, side="right")

@@ -1,8 +1,10 @@
 """Cases in which the operators of cohortkit.llm once did less than the whole job."""
 
+import numpy as np
 import pytest
 
-from cohortkit.llm import toxicity
+from cohortkit.llm import packing, toxicity
+from cohortkit.llm.queries import tokenizer_file
 
 
 def test_toxic_passage_scores_alike_wherever_it_stands():
@@ -16,3 +18,29 @@ def test_toxic_passage_scores_alike_wherever_it_stands():
     scattered = " ".join(" ".join([w, *calm[:100]]) for w in bad * 5)
     late = model.passages(f"{scattered} {passage} {' '.join(calm)}")
     assert late and late[-1][2] == pytest.approx(alone[0][2]) and late[-1][0] == len(scattered) + 1
+
+
+def padding(spark, texts):
+    out = packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1),
+                       tokenizer_file("byte_bpe_50k.json")).collect()
+    sizes = {}
+    for r in out:
+        sizes[r["sequence_id"]] = sizes.get(r["sequence_id"], 0) + r["length"]
+    held = sum(sizes.values())
+    return 1 - held / sum(n if n in (256, 512) else 1024 for n in sizes.values())
+
+
+@pytest.mark.parametrize("words", [1100, 700])
+def test_packing_cuts_unpunctuated_texts_anywhere(spark, words):
+    assert padding(spark, [" word" * words] * 60) < 0.05
+
+
+def test_packing_knows_marks_of_other_scripts():
+    with open(tokenizer_file("byte_bpe_50k.json"), encoding="utf-8") as f:
+        tokens = packing.ByteTokens(f.read())
+    for text, penalty in (("中文字。", packing.SENTENCE), ("中文字，", packing.CLAUSE), ("हिन्दी।", packing.SENTENCE),
+                          ("سلام؟", packing.SENTENCE), ("سلام،", packing.CLAUSE), ("plain.", packing.SENTENCE)):
+        ids = tokens.ids_of([text])[0]
+        got = tokens.penalties(ids)
+        assert got[-1] == penalty and not np.isfinite(got[:-1]).any(), text
+        assert tokens.penalties(np.append(ids, tokens.ids_of(["中"])[0]))[len(ids) - 1] == penalty
