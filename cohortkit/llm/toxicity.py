@@ -35,7 +35,9 @@ def maximal_segments(at: list[int], gain: list[float], cost: float) -> list[tupl
     a segment that gains joins the last candidate that starts lower and ends
     no higher, together with what lies between (Ruzzo and Tompa, 1999).
     """
-    stack: list[tuple[float, float, int, int]] = []     # total before, total after, first, last
+    done: list[tuple[float, float, int, int, int]] = []
+    # total before, total after, first, last, the last candidate below that starts lower (-1: none)
+    stack: list[tuple[float, float, int, int, int]] = []
     total, last = 0.0, -1
     for p, g in zip(at, gain, strict=True):
         total -= cost * (p - last - 1)
@@ -45,16 +47,20 @@ def maximal_segments(at: list[int], gain: list[float], cost: float) -> list[tupl
             continue
         left, right, first = total, total + g, p
         total = right
+        k = len(stack) - 1
         while True:
-            k = len(stack) - 1
             while k >= 0 and stack[k][0] >= left:
-                k -= 1
+                k = stack[k][4]
+            if k < 0:
+                done += stack       # no later segment can join these
+                stack = []
             if k < 0 or stack[k][1] >= right:
                 break
-            left, first = stack[k][0], stack[k][2]
+            left, _, first, _, below = stack[k]
             del stack[k:]
-        stack.append((left, right, first, p))
-    return [(r - lo, a, b) for lo, r, a, b in stack]
+            k = below
+        stack.append((left, right, first, p, k))
+    return [(r - lo, a, b) for lo, r, a, b, _ in done + stack]
 
 
 @dataclass

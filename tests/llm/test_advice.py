@@ -1,5 +1,7 @@
 """Cases in which the operators of cohortkit.llm once did less than the whole job."""
 
+import time
+
 import numpy as np
 import pytest
 
@@ -44,3 +46,14 @@ def test_packing_knows_marks_of_other_scripts():
         got = tokens.penalties(ids)
         assert got[-1] == penalty and not np.isfinite(got[:-1]).any(), text
         assert tokens.penalties(np.append(ids, tokens.ids_of(["中"])[0]))[len(ids) - 1] == penalty
+
+
+def test_toxic_scan_is_linear_in_hits():
+    hits = 1000
+    started = time.process_time()
+    found = toxicity.maximal_segments(list(range(0, 100 * hits, 100)), [4.0] * hits, 0.1)
+    took = time.process_time() - started
+    assert len(found) == hits
+    started = time.process_time()
+    toxicity.maximal_segments(list(range(0, 800 * hits, 100)), [4.0] * 8 * hits, 0.1)
+    assert time.process_time() - started < 30 * max(took, 0.002)
