@@ -1,7 +1,7 @@
 """Toxic passages by maximum-scoring segment search.
 
 Token scores are log-odds of toxic against clean training documents with an
-informative Dirichlet prior (the corpus counts themselves); tokens that do not
+informative Dirichlet prior (the counts over the whole corpus); tokens that do not
 stand out cost a small amount each. Every use of a token scores the same. A linear-time scan finds all maximal
 scoring segments of a text; Karlin-Altschul statistics fitted on clean
 training text turn a segment's score into an expected count of chance
@@ -104,14 +104,15 @@ class ToxicModel:
         return [(spans[a][0], spans[b][1], s, e) for s, a, b, e in real]
 
 
-def token_scores(counts: pd.DataFrame, n_toxic: float, n_clean: float, prior: float, min_z: float,
+def token_scores(counts: pd.DataFrame, n_docs: float, n_toxic: float, n_clean: float, prior: float, min_z: float,
                  min_odds: float) -> dict[str, float]:
     """Log-odds with an informative Dirichlet prior for tokens whose z-score stands out (Monroe and others, 2008).
 
-    ``counts``: token, toxic and clean (documents that hold it). The prior is
-    the pooled rate of each token, worth ``prior`` documents a class.
+    ``counts``: token, toxic and clean (sampled documents that hold it) and
+    docs (of the ``n_docs`` documents of the corpus). The prior is each token's
+    rate in the corpus, worth ``prior`` documents a class.
     """
-    pooled = prior * (counts["toxic"] + counts["clean"]) / max(n_toxic + n_clean, 1)
+    pooled = prior * counts["docs"] / max(n_docs, 1)
     a, b = counts["toxic"] + pooled, counts["clean"] + pooled
     odds = np.log(a / (n_toxic + prior - a).clip(lower=0.5)) - np.log(b / (n_clean + prior - b).clip(lower=0.5))
     z = odds / np.sqrt(1 / a + 1 / b)
@@ -125,10 +126,11 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
                  min_docs: int = 5) -> ToxicModel:
     """Fit on at most ``max_rows`` labelled documents outside the held-out fold.
 
-    ``prior`` is the prior's weight as a share of the sample.
-    Token counts are aggregated by Spark and filtered to ``min_docs``
-    documents there; the driver gets the remaining vocabulary of the sample,
-    then four numbers per sampled document for the link. Without rows of both
+    ``prior`` is the prior's weight as a share of the sample; its token rates
+    are counted over all rows of ``docs``, copies and unlabelled ones too.
+    Token counts are aggregated by Spark, joined to the sample's tokens and
+    filtered to ``min_docs`` documents of the corpus there; the driver gets the
+    remaining vocabulary of the sample, then four numbers per sampled document for the link. Without rows of both
     classes no token scores and every document gets the class share.
     """
     rows = labelled_sample(docs, labels, label, folds, held_out, max_rows, id_col, text_col)
@@ -146,9 +148,12 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
             yield pa.RecordBatch.from_arrays([pa.array(list(by)), pa.array([v[0] for v in by.values()]),
                                               pa.array([v[1] for v in by.values()])], ["token", "toxic", "clean"])
 
-    counted = (rows.mapInArrow(count, "token string, toxic bigint, clean bigint").groupBy("token")
-               .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-               .where((F.col("toxic") + F.col("clean") >= min_docs) | (F.col("token") == "")).toPandas())
+    schema = "token string, toxic bigint, clean bigint"
+    everywhere = (docs.select(F.col(text_col).cast("string").alias("text"), F.lit(0).alias("y")).mapInArrow(count, schema)
+                  .groupBy("token").agg(F.sum("clean").alias("docs")))
+    counted = (rows.mapInArrow(count, schema).groupBy("token")
+               .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).join(everywhere, "token")
+               .where((F.col("docs") >= min_docs) | (F.col("token") == "")).toPandas())
     sizes = counted[counted["token"] == ""]
     n_toxic, n_clean = (float(sizes["toxic"].sum()), float(sizes["clean"].sum()))
     model = ToxicModel()
@@ -157,7 +162,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     if not n_toxic or not n_clean:
         return model
     tokens = counted[counted["token"] != ""].sort_values("token").reset_index(drop=True)
-    model.scores = token_scores(tokens, n_toxic, n_clean, prior * (n_toxic + n_clean), min_z, min_odds)
+    model.scores = token_scores(tokens, float(sizes["docs"].sum()), n_toxic, n_clean, prior * (n_toxic + n_clean), min_z, min_odds)
 
     # scores of clean text: how often each scoring token comes, per token of text
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -57,3 +57,12 @@ def test_toxic_scan_is_linear_in_hits():
     started = time.process_time()
     toxicity.maximal_segments(list(range(0, 800 * hits, 100)), [4.0] * 8 * hits, 0.1)
     assert time.process_time() - started < 30 * max(took, 0.002)
+
+
+def test_toxic_prior_counts_all_documents(spark):
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(400)], "doc_id long, toxic int")
+    rows = [(i, "calm words rumour" if i % 8 == 0 else "calm words") for i in range(400)]
+    rest = [(i, "calm words rumour") for i in range(1000, 5000)]
+    texts = [(i, f"{t} " + " ".join("abcdefghij"[int(d)] for d in str(i))) for i, t in rows + rest]
+    fit = lambda r: toxicity.fit_toxicity(spark.createDataFrame(r, "doc_id long, text string"), labels)
+    assert fit(texts[:400]).scores["rumour"] > fit(texts).scores["rumour"] + 0.5
