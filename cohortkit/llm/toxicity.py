@@ -134,8 +134,6 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     classes no token scores and every document gets the class share.
     """
     rows = labelled_sample(docs, labels, label, folds, held_out, max_rows, id_col, text_col)
-    # copies of one text are one witness, else a copied text's own words would stand out
-    rows = rows.groupBy(F.sha2("text", 256).alias("sha")).agg(F.max("y").alias("y"), F.first("text").alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """(token, toxic, clean) summed over each batch; the row without a token counts documents."""

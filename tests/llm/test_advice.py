@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from cohortkit.llm import packing, toxicity
+from cohortkit.llm.labelled import labelled_sample
 from cohortkit.llm.queries import tokenizer_file
 
 
@@ -66,3 +67,12 @@ def test_toxic_prior_counts_all_documents(spark):
     texts = [(i, f"{t} " + " ".join("abcdefghij"[int(d)] for d in str(i))) for i, t in rows + rest]
     fit = lambda r: toxicity.fit_toxicity(spark.createDataFrame(r, "doc_id long, text string"), labels)
     assert fit(texts[:400]).scores["rumour"] > fit(texts).scores["rumour"] + 0.5
+
+
+def test_labelled_sample_has_one_text_an_id_and_one_row_a_text(spark):
+    rows = [(1, f"text {k}") for k in range(300)] + [(i, "copy") for i in range(2, 40)] + [(50, None), (51, "own"), (51, "own")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(i, int(i == 9)) for i in range(60)], "doc_id long, toxic int")
+    got = labelled_sample(docs, labels, "toxic", 4, -1, 100).collect()
+    assert sorted((r["id"], r["y"]) for r in got) == [(1, 0), (2, 1), (50, 0), (51, 0)]
+    assert {r["text"] for r in got} >= {"copy", "", "own"}
