@@ -64,8 +64,10 @@ def loss_curve(spark: SparkSession, name: str, losses: Sequence[float]) -> DataF
 
 
 def word2vec(corpus: DataFrame, tokens_col: str, size: int = 16, seed: int = 42, min_count: int = 1,
-             max_iter: int = 1):
-    return Word2Vec(vectorSize=size, minCount=min_count, seed=seed, maxIter=max_iter,
+             max_iter: int = 5, partitions: int | None = None):
+    """Word2Vec in ``partitions`` tasks (the cluster's parallelism when not given) and ``max_iter`` passes."""
+    partitions = partitions or corpus.sparkSession.sparkContext.defaultParallelism
+    return Word2Vec(vectorSize=size, minCount=min_count, seed=seed, maxIter=max_iter, numPartitions=partitions,
                     inputCol=tokens_col, outputCol="w2v").fit(corpus)
 
 
