@@ -31,8 +31,12 @@ def label_index(df: DataFrame, column: str, name: str = "label_index", start: in
 
 
 def label_encode(df: DataFrame, column: str, name: str = "label_index", start: int = 0) -> DataFrame:
-    """Add the sorted-vocabulary index of ``column`` (null stays null)."""
-    return df.join(label_index(df, column, name, start), column, "left")
+    """Add the sorted-vocabulary index of ``column`` (null stays null).
+
+    For labels (few classes): the index comes from the class table as one
+    map, so detail rows are not shuffled on a handful of values.
+    """
+    return df.withColumn(name, per_class(label_index(df, column, name, start), column, name))
 
 
 def label_decode(df: DataFrame, vocab: DataFrame, index: str, column: str) -> DataFrame:

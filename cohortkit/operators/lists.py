@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortkit.functions.scalar import col_of
-from cohortkit.operators.features import global_index
+from cohortkit.operators.running import running
 
 
 def ordered_list(df: DataFrame, keys: Sequence[str] | str, value: str | Column,
@@ -79,17 +79,15 @@ def ordered_chunks(df: DataFrame, keys: Sequence[str] | str, value: str, order:
 
     Output rows: keys, ``chunk`` (0, 1, ...), ``name`` — concatenating a key's
     chunks in chunk order gives its whole ordered list. No task ever holds more
-    than ``size`` values of one key, even when a key has a third of all rows:
-    positions come from a range-partitioned global index over (keys, order,
-    value) (a hot key is split across range partitions), a key's first
-    position is a partial aggregate, and only (key, chunk) groups are collected.
+    than a range partition's rows of one key, even when a key has a third of
+    all rows: positions are counted inside (range partition, key) groups from
+    carried offsets (:func:`~cohortkit.operators.running.running`), and only
+    (key, chunk) groups are collected. No exchange is on the key alone.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    rows = df.where(F.col(value).isNotNull()).select(*keys, *order, value)
-    indexed = global_index(rows, [*keys, *order, value], "__g")
-    first = indexed.groupBy(*keys).agg(F.min("__g").alias("__f"))
-    j = indexed.join(first, keys).withColumn("chunk", F.floor((F.col("__g") - F.col("__f")) / size))
-    grouped = j.groupBy(*keys, "chunk").agg(F.array_sort(F.collect_list(F.struct("__g", value))).alias("__l"))
+    rows = df.where(F.col(value).isNotNull()).select(*dict.fromkeys([*keys, *order, value]))
+    placed = running(rows, keys, [*order, value], "__g").withColumn("chunk", F.floor((F.col("__g") - 1) / size))
+    grouped = placed.groupBy(*keys, "chunk").agg(F.array_sort(F.collect_list(F.struct("__g", value))).alias("__l"))
     return grouped.select(*keys, "chunk", F.transform("__l", lambda x: x[value]).alias(name))
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from cohortkit.functions.scalar import pad_array
 from cohortkit.operators.cohort import first_per_key, top_k_keys
-from cohortkit.operators.features import global_index, label_index, minmax_scale
+from cohortkit.operators.features import global_index, label_index, minmax_scale, per_class
 from cohortkit.operators.lists import (chunked_text, count_vector, distinct_sorted_list, explode_counts,
                                        ordered_chunks)
 from cohortkit.plans.standins import StandIns
@@ -62,8 +62,9 @@ SELECT o_custkey, list_sort(list_distinct(list(p_name))) AS items FROM r WHERE p
 
 
 def exploded_topk(spark: SparkSession, base: str) -> DataFrame:
-    """Flatten the per-patient lists and keep the 20 most frequent items."""
-    counts = explode_counts(collect_sequences(spark, base), "items")
+    """The 20 most frequent items over all patients' lists (counted as rows: a list holds each of its rows once)."""
+    items = _patient_items(StandIns(spark, base)).where("p_name IS NOT NULL")
+    counts = items.groupBy(F.col("p_name").alias("item")).agg(F.count(F.lit(1)).alias("n"))
     return counts.orderBy(F.desc("n"), F.asc("item")).limit(TOP_EXPLODED)
 
 
@@ -131,7 +132,8 @@ def patient_sequences(spark: SparkSession, base: str) -> DataFrame:
     st = StandIns(spark, base)
     ev = st.t("events", "event_id", "user_id", "ts", "event_type", "value")
     ev = minmax_scale(ev, "value", "sv")      # statistics over the plain scan
-    ev = ev.join(label_index(ev, "event_type", "item_idx", start=1), "event_type")
+    ev = ev.where("event_type IS NOT NULL").withColumn(
+        "item_idx", per_class(label_index(ev, "event_type", "item_idx", start=1), "event_type", "item_idx"))
     steps = ev.select("user_id", "ts", "event_id", F.struct("item_idx", "sv").alias("step"))
     packed = ordered_chunks(steps, "user_id", "step", ["ts", "event_id"], SEQ_LEN, "_s")
     seqs = packed.select(

@@ -339,7 +339,7 @@ def test_ranked_quantiles_of_a_group_over_many_partitions(spark):
             spark.conf.set(k, v)
 
 
-def test_box_stats_whiskers(spark):
+def test_box_stats_whiskers_of_hot_and_null_groups(spark):
     out = {r["g"]: r for r in X.box_stats(_quantile_rows(spark), ["g"], "v").collect()}
     assert out["hot"]["whisker_high"] == 1000.0 and out["hot"]["whisker_low"] == 0.0
     assert out["c"]["median"] is None and out["c"]["whisker_low"] is None
