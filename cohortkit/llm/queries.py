@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortkit.llm import bpe, chat_format, exact_dedup, licenses, ngram_join, packing, quality_model, quality_rules, toxicity, url_filter
+from cohortkit.llm import bpe, chat_format, exact_dedup, licenses, line_dedup, ngram_join, packing, quality_model, quality_rules, toxicity, url_filter
 from cohortkit.llm.common import read_docs
 
 
@@ -68,6 +68,11 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(read_docs(spark, sf_dir)).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_exact_dedup": op2_exact_dedup,
@@ -79,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_quality_model": op9_quality_model,
     "op10_bpe": op10_bpe,
+    "op13_line_dedup": op13_line_dedup,
 }
 
 # Oracles where SQL can express the whole result.
@@ -100,4 +106,13 @@ SELECT h.page_id, host, path, rule,
        coalesce(v, CASE WHEN list_has_any(string_split(replace(host, '-', '.'), '.'),
                                           ['casino', 'pills', 'porn', 'spam', 'viagra', 'xxx']) THEN 'block' ELSE 'allow' END) AS verdict
 FROM h LEFT JOIN best ON h.page_id = best.page_id""",
+    "op13_line_dedup": r"""
+WITH n AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos FROM n),
+k AS (SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+f AS (SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE key IN (SELECT key FROM f)) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE key NOT IN (SELECT key FROM f)), '')) AS kept_sha256
+FROM k GROUP BY doc_id""",
 }
