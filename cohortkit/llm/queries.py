@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortkit.llm import bpe, chat_format, exact_dedup, licenses, line_dedup, ngram_join, packing, quality_model, quality_rules, toxicity, url_filter
+from cohortkit.llm import bpe, chat_format, exact_dedup, hard_negatives, licenses, line_dedup, ngram_join, packing, quality_model, quality_rules, toxicity, url_filter
 from cohortkit.llm.common import read_docs
 
 
@@ -68,6 +68,12 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    relabelled = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = read_docs(spark, sf_dir, "embeddings").withColumn("label", relabelled)
+    return hard_negatives.mine_negatives(vectors, F.col("vec_id") % 50 == 0)
+
+
 def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(read_docs(spark, sf_dir)).select(
         "doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
@@ -84,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_quality_model": op9_quality_model,
     "op10_bpe": op10_bpe,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_line_dedup": op13_line_dedup,
 }
 
@@ -106,6 +113,23 @@ SELECT h.page_id, host, path, rule,
        coalesce(v, CASE WHEN list_has_any(string_split(replace(host, '-', '.'), '.'),
                                           ['casino', 'pills', 'porn', 'spam', 'viagra', 'xxx']) THEN 'block' ELSE 'allow' END) AS verdict
 FROM h LEFT JOIN best ON h.page_id = best.page_id""",
+    "op12_hard_negatives": r"""
+WITH x AS (SELECT vec_id, label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings
+           WHERE label IS NOT NULL AND embedding IS NOT NULL),
+v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+             list(floor(256 * CAST(x AS DOUBLE)) ORDER BY i) AS q
+      FROM x GROUP BY vec_id, label HAVING bool_and(x IS NOT NULL AND isfinite(x))),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+             CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+      FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same
+     AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3""",
     "op13_line_dedup": r"""
 WITH n AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
 l AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos FROM n),
