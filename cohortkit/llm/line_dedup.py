@@ -93,12 +93,13 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     lines = stage(exploded(rows, min_chars), "lines-all")
 
     # counting rows first leaves few digests for the exact count of documents
-    often = lines.groupBy("h").count().where(F.col("count") >= min_docs).select("h")
+    # (the digests are written, so that a join on them can split the rows of a very common one)
+    often = stage(lines.groupBy("h").count().where(F.col("count") >= min_docs).select("h"), "lines-often")
     held = stage(lines.join(often, "h").select("id", "t", "h"), "lines-held")
     drop_stage(lines)
     who = F.when(F.col("id").isNull(), F.col("t"))
-    frequent = (held.select("h", "id", who.alias("who")).distinct().groupBy("h").count()
-                .where(F.col("count") >= min_docs).select("h"))
+    frequent = stage(held.select("h", "id", who.alias("who")).distinct().groupBy("h").count()
+                     .where(F.col("count") >= min_docs).select("h"), "lines-frequent")
 
     # (id, t) names a row's text; were two texts of an id to share t, their common list would still fit both,
     # as a digest is frequent or not in all documents alike
