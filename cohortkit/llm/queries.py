@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortkit.llm import bpe, chat_format, exact_dedup, hard_negatives, licenses, line_dedup, ngram_join, packing, quality_model, quality_rules, toxicity, url_filter
+from cohortkit.llm import bpe, chat_format, exact_dedup, hard_negatives, licenses, line_dedup, ngram_join, packing, prefix_trie, quality_model, quality_rules, toxicity, url_filter
 from cohortkit.llm.common import read_docs
 
 
@@ -68,6 +68,12 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = read_docs(spark, sf_dir, "conversations")
+    ids = prefix_trie.ids_of(conversations)
+    return prefix_trie.prefix_trie(prefix_trie.branched(prefix_trie.digested_turns(conversations), ids), ids)
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     relabelled = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     vectors = read_docs(spark, sf_dir, "embeddings").withColumn("label", relabelled)
@@ -90,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_quality_model": op9_quality_model,
     "op10_bpe": op10_bpe,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_line_dedup": op13_line_dedup,
 }
@@ -113,6 +120,32 @@ SELECT h.page_id, host, path, rule,
        coalesce(v, CASE WHEN list_has_any(string_split(replace(host, '-', '.'), '.'),
                                           ['casino', 'pills', 'porn', 'spam', 'viagra', 'xxx']) THEN 'block' ELSE 'allow' END) AS verdict
 FROM h LEFT JOIN best ON h.page_id = best.page_id""",
+    # crc32 bit by bit, then every node with each of its ancestors
+    "op11_prefix_trie": r"""
+WITH RECURSIVE crc(c, k, v) AS (
+  SELECT DISTINCT conv_id, 0, CAST(4294967295 AS BIGINT) FROM conversations WHERE conv_id IS NOT NULL
+  UNION ALL
+  SELECT c, k + 1, CASE WHEN w & 1 = 1 THEN xor(w >> 1, CAST(3988292384 AS BIGINT)) ELSE w >> 1 END
+  FROM (SELECT c, k, CASE WHEN k % 8 = 0 THEN xor(v, CAST(ascii(substr(CAST(c AS VARCHAR), k // 8 + 1, 1)) AS BIGINT)) ELSE v END AS w
+        FROM crc WHERE k < 8 * length(CAST(c AS VARCHAR))) s),
+conv AS (SELECT c, c - c % 5 AS b, xor(v, CAST(4294967295 AS BIGINT)) % 9 AS h FROM crc WHERE k = 8 * length(CAST(c AS VARCHAR))),
+t AS (SELECT conv_id, coalesce(role, '') AS r, coalesce(text, '') AS x,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos FROM conversations),
+re AS (SELECT c, 0 AS seg, pos, r, x FROM conv JOIN t ON t.conv_id = b AND pos <= h
+       UNION ALL SELECT c, 1, pos, r, x FROM conv JOIN t ON t.conv_id = c AND pos > h),
+o AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY seg, pos) AS depth, count(*) OVER (PARTITION BY c) AS n FROM re),
+m AS (SELECT c, depth, list({'r': r, 'x': x}) OVER (PARTITION BY c ORDER BY depth) AS path, strlen(x) AS bytes, depth = n AS last FROM o
+      UNION ALL SELECT c, 0, [], 0, c NOT IN (SELECT c FROM re) FROM conv),
+node AS (SELECT path, depth, min(c) AS conv_id, count(*) AS n, min(bytes) AS bytes,
+                sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE last), '')) AS ends
+         FROM m GROUP BY path, depth),
+kid AS (SELECT path[1:depth - 1] AS path, count(*) AS n_children FROM node WHERE depth > 0 GROUP BY 1),
+full_node AS (SELECT node.*, coalesce(n_children, 0) AS n_children FROM node LEFT JOIN kid ON node.path = kid.path),
+up AS (SELECT path[1:d] AS path, n, bytes, n_children FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM full_node) s),
+below AS (SELECT path, CAST(count(*) FILTER (WHERE n_children = 0) AS BIGINT) AS n_leaves,
+                 CAST(sum((n - 1) * bytes) AS BIGINT) AS saved_tokens FROM up GROUP BY path)
+SELECT f.conv_id, f.depth, p.conv_id AS parent_conv_id, f.n AS n_convs, f.n_children, n_leaves, saved_tokens, f.ends AS ends_sha256
+FROM full_node f JOIN below ON f.path = below.path LEFT JOIN node p ON f.depth > 0 AND p.path = f.path[1:f.depth - 1]""",
     "op12_hard_negatives": r"""
 WITH x AS (SELECT vec_id, label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings
            WHERE label IS NOT NULL AND embedding IS NOT NULL),
