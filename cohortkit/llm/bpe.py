@@ -157,12 +157,32 @@ def encode_documents(docs: DataFrame, vocabulary: str, text_col: str = "text", t
     def encode(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bpe = coder(file.value)
         for part in parts:
-            batch = pa.RecordBatch.from_arrays([part], ["text"])
-            yield pa.concat_arrays([bpe.encode(texts) for _, _, texts in text_chunks(batch, 0)] or [pa.array([], pa.list_(pa.int32()))])
+            for _, _, texts in text_chunks(pa.RecordBatch.from_arrays([part], ["text"]), 0):
+                yield bpe.encode(texts)
 
     return docs.withColumn(to, encode(F.col(text_col).cast("string")))
 
 
+def recode_documents(docs: DataFrame, vocabulary: str, text_col: str = "text", to: str = "coded") -> DataFrame:
+    """``docs`` with a struct of both ``ids`` and ``decoded`` of ``text_col`` as column ``to``, made in one pass.
+
+    As :func:`encode_documents` followed by :func:`decode_documents`, but a
+    task runs one Python worker with one vocabulary, and hands back about a
+    megabyte of texts at a time.
+    """
+    file = docs.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
+
+    @F.arrow_udf("struct<ids: array<int>, decoded: string>")
+    def recode(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        bpe = coder(file.value)
+        for part in parts:
+            for _, _, texts in text_chunks(pa.RecordBatch.from_arrays([part], ["text"]), 0):
+                ids = bpe.encode(texts)
+                yield pa.StructArray.from_arrays([ids, bpe.decode(ids)], ["ids", "decoded"])
+
+    return docs.withColumn(to, recode(F.col(text_col).cast("string")))
+
+
 def decode_documents(docs: DataFrame, vocabulary: str, ids_col: str = "ids", to: str = "decoded") -> DataFrame:
     """``docs`` with the decoded text of ``ids_col`` (special tokens kept) as column ``to``; no ids give an empty text."""
     file = docs.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))

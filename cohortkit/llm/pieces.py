@@ -8,6 +8,7 @@ gather of ids.
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Callable, Iterator
 from itertools import chain, repeat
 
@@ -20,26 +21,34 @@ UNUSUAL = re.compile("[^\t\n\r -~¡-±´-¸º-»¿-ɏ]")
 
 
 class PieceTable:
-    """Word → token ids, filled by ``encode`` (new words → ids in a row, ids per word); emptied beyond ``limit`` words."""
+    """Word → token ids, filled by ``encode`` (new words → ids in a row, ids per word); emptied beyond ``limit`` bytes.
 
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int = 500_000) -> None:
+    The bytes are those of the words, their ids and the dictionary's entries.
+    """
+
+    #: Bytes of a dictionary entry, its number and its offset.
+    ENTRY = 120
+
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int = 32 << 20) -> None:
         self.encode, self.limit = encode, limit
         self.clear()
 
     def clear(self) -> None:
         self.index: dict[str, int] = {}
+        self.size = 0
         self.flat = np.zeros(0, np.int32)
         self.offset = np.zeros(1, np.int64)
 
     def _add(self, words: list[str]) -> None:
         ids, sizes = self.encode(words)
+        self.size += sum(map(sys.getsizeof, words)) + self.ENTRY * len(words) + 4 * len(ids)
         self.flat = np.concatenate((self.flat, ids.astype(np.int32)))
         self.offset = np.concatenate((self.offset, self.offset[-1] + np.cumsum(sizes)))
         self.index.update(zip(words, range(len(self.index), len(self.index) + len(words)), strict=True))
 
     def ids_of(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, where each text's ids start and the last ones end)."""
-        if len(self.index) > self.limit:
+        if self.size > self.limit:
             self.clear()
         words = list(chain.from_iterable(texts))
         at = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))

@@ -59,13 +59,12 @@ def op9_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vocabulary = tokenizer_file("word_bpe_49k.json")
     docs = read_docs(spark, sf_dir).select("doc_id", "text")
-    ids = bpe.encode_documents(docs, vocabulary).select("doc_id", "ids")
-    return bpe.decode_documents(ids, vocabulary).select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"))
+    coded = bpe.recode_documents(docs, tokenizer_file("word_bpe_49k.json"))
+    return coded.select(
+        "doc_id", F.size("coded.ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("coded.ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("coded.decoded", 256).alias("decoded_sha256"))
 
 
 def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
