@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortkit.operators import tagger
 from cohortkit.operators import text as T
 from cohortkit.operators import vectors as V
 from cohortkit.plans.standins import StandIns
@@ -93,6 +94,91 @@ SQL["entity_corpus"] = ("SELECT doc_id, regexp_extract_all(text, '" + "|".join(p
                         + "') AS entities FROM documents")
 
 
+# Labels of the five tag sets (general, drugs and diseases, ontologies, concepts, clinical).
+TAG_SETS = {
+    "general": ("PERSON", "NORP", "FAC", "ORG", "GPE", "LOC", "PRODUCT", "EVENT", "WORK_OF_ART", "LAW", "LANGUAGE",
+                "DATE", "TIME", "PERCENT", "MONEY", "QUANTITY", "ORDINAL", "CARDINAL"),
+    "drug_disease": ("CHEMICAL", "DISEASE"),
+    "ontology": ("GGP", "SO", "TAXON", "CHEBI", "GO", "CL"),
+    "concept": ("ENTITY",),
+    "clinical": ("LABEL_0", "LABEL_1"),
+}
+LONGEST_PHRASE = 3
+PHRASES_OF_ONE_IN = 40      # the share of benchmark phrases that each tag set lists
+
+
+def tag_dictionary(spark: SparkSession, base: str) -> DataFrame:
+    """(tag_set, phrase, label): phrases of one to three words of the benchmark texts, dealt to sets and labels by md5."""
+    words = T.tokens("text")
+    n = F.size("w")
+
+    def windows(k: int):
+        return F.when(n >= k, F.transform(F.sequence(F.lit(1), n - k + 1), lambda i: F.array_join(F.slice("w", i, k), " ")))
+
+    phrases = (StandIns(spark, base).t("benchmark", "text").select(words.alias("w"))
+               .select(F.explode(F.flatten(F.array_compact(F.array(*[windows(k) for k in range(1, LONGEST_PHRASE + 1)])))).alias("phrase")).distinct())
+    part = lambda at: F.conv(F.substring(F.md5("phrase"), at, 4), 16, 10).cast("int")
+    names = F.array(*map(F.lit, TAG_SETS))
+    labels = F.array(*[F.array(*map(F.lit, v)) for v in TAG_SETS.values()])
+    dealt = phrases.withColumn("s", part(1) % PHRASES_OF_ONE_IN).where(F.col("s") < len(TAG_SETS))
+    own = F.get(labels, F.col("s"))
+    return dealt.select(F.get(names, F.col("s")).alias("tag_set"), "phrase", F.get(own, part(5) % F.size(own)).alias("label"))
+
+
+_HITS_SQL = f"""RECURSIVE toks AS (SELECT {_TOKENS_SQL} AS w FROM benchmark),
+  ph AS (SELECT DISTINCT array_to_string(w[i:i + k - 1], ' ') AS phrase FROM
+         (SELECT w, k, unnest(range(1, len(w) - k + 2)) AS i FROM toks, (SELECT unnest(range(1, {LONGEST_PHRASE + 1})) AS k) ks)),
+  sets(s, tag_set, labels) AS (VALUES {", ".join(f"({i}, '{name}', {list(v)})" for i, (name, v) in enumerate(TAG_SETS.items()))}),
+  dict AS (SELECT tag_set, phrase, labels[('0x' || substr(md5(phrase), 5, 4))::INTEGER % len(labels) + 1] AS label
+           FROM ph JOIN sets ON ('0x' || substr(md5(phrase), 1, 4))::INTEGER % {PHRASES_OF_ONE_IN} = s),
+  tok AS (SELECT doc_id, unnest(t) AS w, unnest(range(0, len(t))) AS start FROM (SELECT doc_id, {_TOKENS_SQL} AS t FROM documents)),
+  win AS (SELECT doc_id, start, 1 AS n, w AS phrase FROM tok
+          {" ".join(f"UNION ALL SELECT doc_id, start, {k}, " + " || ' ' || ".join(["w", *[f"lead(w, {j}) OVER (PARTITION BY doc_id ORDER BY start)" for j in range(1, k)]]) + " FROM tok" for k in range(2, LONGEST_PHRASE + 1))}),
+  cand AS (SELECT doc_id, tag_set, start, max(n) AS n, arg_max(win.phrase, n) AS entity, arg_max(label, n) AS label
+           FROM win JOIN dict ON win.phrase = dict.phrase GROUP BY doc_id, tag_set, start),
+  nxt AS (SELECT doc_id, tag_set, start, CASE {" ".join(f"WHEN f{k} >= start + n THEN f{k}" for k in range(1, LONGEST_PHRASE + 1))} END AS following
+          FROM (SELECT *, {", ".join(f"lead(start, {k}) OVER (PARTITION BY doc_id, tag_set ORDER BY start) AS f{k}" for k in range(1, LONGEST_PHRASE + 1))}
+                FROM cand) s),
+  ch(doc_id, tag_set, idx, start) AS (
+    SELECT doc_id, tag_set, 0, min(start) FROM cand GROUP BY doc_id, tag_set
+    UNION ALL SELECT ch.doc_id, ch.tag_set, idx + 1, following FROM ch JOIN nxt
+      ON ch.doc_id = nxt.doc_id AND ch.tag_set = nxt.tag_set AND ch.start = nxt.start AND following IS NOT NULL),
+  hits AS (SELECT ch.doc_id, ch.tag_set, CAST(idx AS INTEGER) AS idx, label, CAST(ch.start AS INTEGER) AS start, CAST(n AS INTEGER) AS n_words, entity
+           FROM ch JOIN cand ON ch.doc_id = cand.doc_id AND ch.tag_set = cand.tag_set AND ch.start = cand.start)"""
+
+
+def _tag_counts(tag_set: str):
+    def counts(spark: SparkSession, base: str) -> DataFrame:
+        own = tag_dictionary(spark, base).where(F.col("tag_set") == tag_set)
+        return tagger.label_counts(_docs(spark, base, "text"), "text", own).select("label", "n")
+
+    counts.__doc__ = f"Matches per label of the tag set {tag_set!r} over all texts."
+    return counts
+
+
+TAG_COUNTS = {f"tag_counts_{name}": _tag_counts(name) for name in TAG_SETS}
+SQL.update({f"tag_counts_{name}": f"WITH {_HITS_SQL} SELECT label, count(*) AS n FROM hits WHERE tag_set = '{name}' GROUP BY label"
+            for name in TAG_SETS})
+
+
+def tagged_entities(spark: SparkSession, base: str) -> DataFrame:
+    """Every match of the five tag sets in each note, in one pass."""
+    return tagger.tag_phrases(_docs(spark, base), "doc_id", "text", tag_dictionary(spark, base))
+
+
+SQL["tagged_entities"] = f"WITH {_HITS_SQL} SELECT doc_id, tag_set, idx, label, start, n_words, entity FROM hits"
+
+
+def tagged_corpus(spark: SparkSession, base: str) -> DataFrame:
+    """The matched phrases of the general tag set of each note, in order (a corpus of entity lists)."""
+    return tagger.phrase_lists(_docs(spark, base), "doc_id", "text", tag_dictionary(spark, base), "general")
+
+
+SQL["tagged_corpus"] = f"""WITH {_HITS_SQL}
+SELECT d.doc_id, coalesce(list(entity ORDER BY idx) FILTER (WHERE entity IS NOT NULL), []) AS entities
+FROM documents d LEFT JOIN hits ON d.doc_id = hits.doc_id AND tag_set = 'general' GROUP BY d.doc_id"""
+
+
 def mean_word_vectors(spark: SparkSession, base: str) -> DataFrame:
     """Mean word vector per note; words outside the table and empty notes contribute zeros.
 
@@ -172,6 +258,9 @@ QUERIES = {
     "entity_label_counts": entity_label_counts,
     "entities_of_document": entities_of_document,
     "entity_corpus": entity_corpus,
+    **TAG_COUNTS,
+    "tagged_entities": tagged_entities,
+    "tagged_corpus": tagged_corpus,
     "mean_word_vectors": mean_word_vectors,
     "similar_vectors": similar_vectors,
     "label_cohesion": label_cohesion,
