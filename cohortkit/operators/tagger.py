@@ -15,17 +15,22 @@ together to be resolved. Both ways give the same rows.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortkit.operators.text import tokens
 from cohortkit.sources.io import materialize
 
+# Functions sent to tasks travel by value: executors need no installed copy of this module.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: Phrases that a compiled dictionary may have (some 20 MB in a task).
 COMPILED = 100_000
 HITS = "array<struct<tag_set: string, idx: int, label: string, start: int, n_words: int>>"
@@ -39,32 +44,26 @@ def normal_phrases(dictionary: DataFrame) -> DataFrame:
             .groupBy("tag_set", "phrase", "n_words").agg(F.min("label").alias("label")))
 
 
-class PhraseTrie:
-    """Phrases of one tag set: first word → lengths (longest first), phrase → label."""
+def phrase_trie(entries: list[tuple[str, str]]) -> tuple[dict[str, list[int]], dict[str, str]]:
+    """The phrases (phrase, label) of one tag set: first word → lengths, longest first; phrase → label."""
+    lengths: dict[str, set[int]] = {}
+    for phrase, _ in entries:
+        words = phrase.split(" ")
+        lengths.setdefault(words[0], set()).add(len(words))
+    return {w: sorted(n, reverse=True) for w, n in lengths.items()}, dict(entries)
 
-    def __init__(self) -> None:
-        self.lengths: dict[str, list[int]] = {}
-        self.labels: dict[str, str] = {}
 
-    def add(self, phrase: str, label: str) -> None:
-        words = phrase.split(" ")
-        known = self.lengths.setdefault(words[0], [])
-        if len(words) not in known:
-            known.append(len(words))
-            known.sort(reverse=True)
-        self.labels[phrase] = label
-
-    def hits(self, words: list[str]) -> Iterator[tuple[str, int, int]]:
-        """(label, start, number of words) from left to right, without overlap."""
-        free = 0
-        for i, lengths in enumerate(map(self.lengths.get, words)):
-            if lengths and i >= free:
-                for n in lengths:
-                    label = self.labels.get(" ".join(words[i:i + n])) if i + n <= len(words) else None
-                    if label is not None:
-                        yield label, i, n
-                        free = i + n
-                        break
+def trie_hits(words: list[str], lengths: dict[str, list[int]], labels: dict[str, str]) -> Iterator[tuple[str, int, int]]:
+    """(label, start, number of words) from left to right, without overlap."""
+    free = 0
+    for i, fit in enumerate(map(lengths.get, words)):
+        if fit and i >= free:
+            for n in fit:
+                label = labels.get(" ".join(words[i:i + n])) if i + n <= len(words) else None
+                if label is not None:
+                    yield label, i, n
+                    free = i + n
+                    break
 
 
 def _hits_array(found: list[list[tuple[str, int, str, int, int]]]) -> pa.ListArray:
@@ -77,16 +76,16 @@ def _hits_array(found: list[list[tuple[str, int, str, int, int]]]) -> pa.ListArr
 
 def _compiled(df: DataFrame, phrases: list) -> DataFrame:
     """``df`` (with ``__words``) and its ``__hits``, by tries that every task gets."""
-    tries: dict[str, PhraseTrie] = {}
+    entries: dict[str, list[tuple[str, str]]] = {}
     for p in phrases:
-        tries.setdefault(p["tag_set"], PhraseTrie()).add(p["phrase"], p["label"])
-    sent = df.sparkSession.sparkContext.broadcast(sorted(tries.items()))
+        entries.setdefault(p["tag_set"], []).append((p["phrase"], p["label"]))
+    sent = df.sparkSession.sparkContext.broadcast([(name, *phrase_trie(own)) for name, own in sorted(entries.items())])
 
     @F.arrow_udf(HITS)
     def hits(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tries = sent.value
         for part in parts:
-            yield _hits_array([[(name, k, *hit) for name, trie in tries for k, hit in enumerate(trie.hits(words or []))] for words in part.to_pylist()])
+            yield _hits_array([[(name, k, *hit) for name, *trie in tries for k, hit in enumerate(trie_hits(words or [], *trie))] for words in part.to_pylist()])
 
     return df.withColumn("__hits", hits("__words"))
 

@@ -1,4 +1,4 @@
-"""Model keys: classifiers, learning curves, scoring, Word2Vec, PCA (rows only) and TF-IDF (with an oracle).
+"""Model keys: classifiers, learning curves, scoring, gradient learners, Word2Vec, PCA (rows only) and TF-IDF (with an oracle).
 
 Train/test rows come from the md5 split, so every run trains on the same rows;
 all learners get a fixed seed.
@@ -10,10 +10,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortkit.operators import gradient as G
 from cohortkit.operators import models as ML
 from cohortkit.operators import text as T
 from cohortkit.operators.cohort import top_k_keys
-from cohortkit.operators.features import hash_split
+from cohortkit.operators.features import hash_split, standard_scale
 from cohortkit.operators.metrics import classification_report
 from cohortkit.plans import extracts
 from cohortkit.plans.notes import _TOKENS_SQL
@@ -28,6 +29,10 @@ FOREST_TREES = 100
 GBT_ROUNDS = 30
 GBT_STEP = 0.1
 MLP_LAYERS = (64, 64, 64, 10)
+# gradient learners: rows of an epoch come in BATCHES mini-batches
+BATCHES = 4
+LOG_STEP, LOG_TOL, LOG_EPOCHS = 1.0, 1e-3, 2000
+CURVE_HIDDEN, CURVE_STEP, CURVE_EPOCHS = (64, 64), 0.005, 10
 
 
 def _embeddings(spark: SparkSession, base: str):
@@ -81,6 +86,52 @@ def learning_curve(spark: SparkSession, base: str) -> DataFrame:
         ML.loss_curve(spark, "logreg_objective", lr.summary.objectiveHistory))
 
 
+def _scaled_stays(spark: SparkSession, base: str):
+    """Stay features scaled by the training rows' mean and deviation, as arrays, written once; (train, test)."""
+    s = materialize(hash_split(extracts.stay_features(spark, base), "l_orderkey", 0.2), name="stays")
+    fitted = s.where(F.col("split") == "train")
+    for c in STAY_COLUMNS:
+        s = standard_scale(s, c, fitted, f"{c}_scaled", digits=None)
+    s = s.withColumn("features", F.array(*[F.col(f"{c}_scaled") for c in STAY_COLUMNS]))
+    complete = s.na.drop(subset=[*STAY_COLUMNS, "label"])
+    return complete.where(F.col("split") == "train"), complete.where(F.col("split") == "test")
+
+
+def _log_fit(spark: SparkSession, base: str):
+    train, test = _scaled_stays(spark, base)
+    rows = G.training_rows(train, "l_orderkey", "features", "label", BATCHES, balanced=True)
+    net, history = G.fit_net(rows, G.new_net((len(STAY_COLUMNS), 2), SEED), LOG_EPOCHS, BATCHES, LOG_STEP, "sgd", tol=LOG_TOL)
+    return test, net, history
+
+
+def clf_logreg_balanced(spark: SparkSession, base: str) -> DataFrame:
+    """Report on held-out rows of log-loss regression by constant gradient steps with balanced class weights."""
+    test, net, _ = _log_fit(spark, base)
+    return classification_report(G.predict_net(test, net, "features"), "label", "prediction")
+
+
+def _curve(spark: SparkSession, history: list[dict]) -> DataFrame:
+    return spark.createDataFrame([(h["epoch"], *(None if h[c] is None else round(float(h[c]), 6) for c in ("loss", "train_accuracy", "test_accuracy")))
+                                  for h in history], "epoch int, loss double, train_accuracy double, test_accuracy double")
+
+
+def logreg_loss_curve(spark: SparkSession, base: str) -> DataFrame:
+    """Loss and training accuracy of each epoch of the balanced log-loss regression, until the loss stops falling."""
+    return _curve(spark, _log_fit(spark, base)[2])
+
+
+def mlp_loss_curve(spark: SparkSession, base: str) -> DataFrame:
+    """Loss, training and held-out accuracy of each epoch of a perceptron with two hidden layers of 64, gone on with epoch by epoch."""
+    train, test = _scaled_stays(spark, base)
+    rows = G.training_rows(train, "l_orderkey", "features", "label", BATCHES)
+    held = G.scored_rows(test, "features", "label")
+    net, history = G.new_net((len(STAY_COLUMNS), *CURVE_HIDDEN, 2), SEED), []
+    for _ in range(CURVE_EPOCHS):
+        net, entry = G.fit_net(rows, net, 1, BATCHES, CURVE_STEP, "adam", test=held)
+        history += entry
+    return _curve(spark, history)
+
+
 def score_rows(spark: SparkSession, base: str) -> DataFrame:
     """Forest scores for the held-out rows, written once as a stage and read back."""
     train, test = _stays(spark, base)
@@ -136,6 +187,9 @@ QUERIES = {
     "clf_gbt": clf_gbt,
     "clf_mlp": clf_mlp,
     "learning_curve": learning_curve,
+    "clf_logreg_balanced": clf_logreg_balanced,
+    "logreg_loss_curve": logreg_loss_curve,
+    "mlp_loss_curve": mlp_loss_curve,
     "score_rows": score_rows,
     "word2vec_vectors": word2vec_vectors,
     "word2vec_similar": word2vec_similar,
