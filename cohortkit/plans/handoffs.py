@@ -16,6 +16,7 @@ from cohortkit.functions.scalar import hash_bucket, hash_fraction
 from cohortkit.plans import extracts
 from cohortkit.plans.extracts import GLUCOSE_BANDS, _sql_case
 from cohortkit.sources.io import materialize, read_csv, read_jsonl, stage_path, write_csv, write_jsonl
+from cohortkit.session import ensure_checkpoint_dir
 from cohortkit.plans.standins import StandIns
 
 SQL: dict[str, str] = {}
@@ -185,8 +186,12 @@ SQL["roundtrip_jsonl"] = "SELECT * FROM events"
 
 
 def materialize_stage(spark: SparkSession, base: str) -> DataFrame:
-    """The stay-feature stage written once as Parquet; the result scans the stage (lineage cut)."""
-    return materialize(extracts.stay_features(spark, base), name="stay-features")
+    """The stay-feature stage written once as Parquet; the result scans the stage (lineage cut).
+
+    The stage has a name under the shared checkpoint folder: a second call on untouched tables loads it.
+    """
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cohortkit-stages/stay-features"
+    return materialize(extracts.stay_features(spark, base), folder)
 
 
 SQL["materialize_stage"] = extracts.SQL["stay_features"]

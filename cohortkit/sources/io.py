@@ -8,12 +8,15 @@
   file per task, never funnelled through one task unless ``single_file`` is
   asked for on a small result.
 * ``materialize`` — the compute-or-load stage cache: Parquet under the shared
-  ``spark.checkpoint.dir`` (or a caller path). Reading it back cuts lineage,
-  so a lost executor recomputes from the written stage, not from scratch.
+  ``spark.checkpoint.dir`` (or a caller path, tied to its input by a
+  fingerprint). Reading it back cuts lineage, so a lost executor recomputes
+  from the written stage, not from scratch.
 """
 
 from __future__ import annotations
 
+import hashlib
+import re
 import uuid
 from collections.abc import Sequence
 
@@ -100,22 +103,73 @@ def stage_path(spark: SparkSession, name: str) -> str:
     return f"{base}/cohortkit-stages/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def _folder(spark: SparkSession, path: str):
+    """(Hadoop file system, path) of ``path``."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS"))
+    fs, marker = _folder(spark, f"{path}/_SUCCESS")
+    return fs.exists(marker)
+
 
+#: Sources whose rows a plan's text does not tell.
+_UNSEEN_SOURCES = re.compile(r"\b(LogicalRDD|ExternalRDD|LocalRelation|StreamingRelation)\b")
 
-def materialize(df: DataFrame, path: str | None = None, name: str = "stage") -> DataFrame:
-    """Compute-or-load: read ``path`` if a finished write exists, else write then read.
 
-    The returned DataFrame scans the written Parquet, so its lineage starts at
-    the stage. Without ``path`` a fresh folder under ``spark.checkpoint.dir``
-    is used (a shared folder on a cluster).
+def fingerprint(df: DataFrame, version: str = "") -> str | None:
+    """A digest of what ``df`` is computed from: its plan, and path, size and modification time of every input file.
+
+    Equal queries over untouched files agree, in other sessions too. ``version``
+    stands for what neither shows, such as the code of a Python function. None
+    where the plan holds rows of the session itself (created frames, RDDs).
+    """
+    spark = df.sparkSession
+    key = "spark.sql.debug.maxToStringFields"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(1 << 20))                   # wide nodes are cut short otherwise
+    try:
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set(key, before) if before is not None else spark.conf.unset(key)
+    files = df.inputFiles()
+    if _UNSEEN_SOURCES.search(plan) or not files:
+        return None
+    state = hashlib.sha256(version.encode())
+    numbers: dict[str, int] = {}                        # attributes by the order in which they come
+    state.update(re.sub(r"#(\d+)L?", lambda m: f"#{numbers.setdefault(m[1], len(numbers))}", plan).encode())
+    for f in sorted(files):
+        fs, hpath = _folder(spark, f)
+        status = fs.getFileStatus(hpath)
+        state.update(f"\n{f} {status.getLen()} {status.getModificationTime()}".encode())
+    return state.hexdigest()[:32]
+
+
+def materialize(df: DataFrame, path: str | None = None, name: str = "stage", version: str = "") -> DataFrame:
+    """Compute-or-load: read the stage under ``path`` if it was made from the same input, else write then read.
+
+    A named stage lies in a folder ``path``/<fingerprint> (see
+    :func:`fingerprint`): when an input file or the query has changed, the
+    stage is rebuilt, and the folders of older inputs are dropped once the new one is
+    finished. An unfinished write (no success marker) counts as absent. Where
+    there is no fingerprint, the stage is always rebuilt. The returned
+    DataFrame scans the written Parquet, so its lineage starts at the stage.
+    Without ``path`` a fresh folder under ``spark.checkpoint.dir`` is used (a
+    shared folder on a cluster).
     """
     spark = df.sparkSession
-    target = path or stage_path(spark, name)
-    if not _exists(spark, target):
+    if path is None:
+        target = stage_path(spark, name)
+        df.write.parquet(target)
+        return spark.read.schema(df.schema).parquet(target)
+    mark = fingerprint(df, version)
+    target = f"{path.rstrip('/')}/{mark or 'unknown-' + uuid.uuid4().hex[:12]}"
+    if mark is None or not _exists(spark, target):
         df.write.mode("overwrite").parquet(target)
-    return spark.read.parquet(target)
+        fs, folder = _folder(spark, path)
+        own = target.rsplit("/", 1)[1]
+        for child in fs.listStatus(folder):
+            if child.getPath().getName() != own:
+                fs.delete(child.getPath(), True)
+    return spark.read.schema(df.schema).parquet(target)
