@@ -66,6 +66,16 @@ def count_vector(df: DataFrame, keys: Sequence[str] | str, index: str, size: int
     return wide.select(*keys, *cols)
 
 
+def multi_hot_inverse(df: DataFrame, keys: Sequence[str] | str, columns: dict[str, str | Column], name: str = "items") -> DataFrame:
+    """Per row the names of the indicator ``columns`` (column → name) that are above 0, in their order.
+
+    The inverse of :func:`count_vector` with ``binary=True``; null indicators count as 0.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    held = [F.when(F.col(c) > 0, n if isinstance(n, Column) else F.lit(n)) for c, n in columns.items()]
+    return df.select(*keys, F.array_compact(F.array(*held)).alias(name))
+
+
 def explode_vector(df: DataFrame, array_col: str, size: int, prefix: str | None = None) -> DataFrame:
     """One column per position of a fixed-length array (``apply(pd.Series)``)."""
     prefix = prefix if prefix is not None else f"{array_col}_"

@@ -14,10 +14,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortkit.functions.scalar import col_of, pad_array
+from cohortkit.operators.features import global_index
+from cohortkit.sources.io import stage_path
 
 # The tokeniser's separator and the entity pattern table.
 TOKEN_SPLIT = "[^a-z0-9]+"
@@ -149,3 +153,31 @@ def tfidf_terms(df: DataFrame, key: str, text: str, digits: int = 6) -> DataFram
     total = df.agg(F.count(F.lit(1))).scalar()
     weight = F.col("tf") * F.log((total + 1) / (F.col("df") + 1))
     return tf.join(freq, "term").select(key, "term", "tf", "df", F.round(weight, digits).alias("weight"))
+
+
+def sparse_vectors(docs: DataFrame, key: str, weights: DataFrame, term: str = "term", weight: str = "weight",
+                   vocabulary: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """((key, features), (term, idx)): one sparse vector per row of ``docs`` from (key, term, weight) rows.
+
+    The vocabulary is every term of ``weights`` in sorted order, numbered over
+    range partitions (no term is hashed or cut), or the given one of an
+    earlier fit, whose unknown terms are left out. A term that most texts hold
+    is one key of the join to it; AQE splits that key's rows. A row of ``docs``
+    without terms has an empty vector. ``key`` must be unique. Vectors are
+    written once as (type, size, indices, values) and read back as Spark ML
+    vectors, so no Python runs.
+    """
+    if vocabulary is None:
+        vocabulary = global_index(weights.select(term).where(F.col(term).isNotNull()).distinct(), [term], "idx")
+    numbered = weights.select(F.col(key).alias("__key"), F.col(term).alias("__term"), F.col(weight).cast("double").alias("__w")).join(
+        vocabulary.select(F.col(term).alias("__term"), F.col("idx").cast("int").alias("idx")), "__term")
+    listed = numbered.groupBy("__key").agg(F.array_sort(F.collect_list(F.struct("idx", "__w"))).alias("__l"))
+    size = vocabulary.count()
+    entries = F.coalesce(F.col("__l"), F.array().cast(listed.schema["__l"].dataType))
+    rows = docs.join(listed, docs[key] == listed["__key"], "left").select(docs[key], F.struct(
+        F.lit(0).cast("tinyint").alias("type"), F.lit(size).alias("size"), F.transform(entries, lambda e: e["idx"]).alias("indices"),
+        F.transform(entries, lambda e: e["__w"]).alias("values")).alias("features"))
+    path = stage_path(docs.sparkSession, "sparse-vectors")
+    rows.write.parquet(path)
+    schema = T.StructType([docs.schema[key], T.StructField("features", VectorUDT())])
+    return docs.sparkSession.read.schema(schema).parquet(path), vocabulary

@@ -7,16 +7,16 @@ all learners get a fixed seed.
 from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cohortkit.operators import gradient as G
 from cohortkit.operators import models as ML
 from cohortkit.operators import text as T
 from cohortkit.operators.cohort import top_k_keys
-from cohortkit.operators.features import hash_split, standard_scale
-from cohortkit.operators.metrics import classification_report
-from cohortkit.plans import extracts
+from cohortkit.operators.features import global_index, hash_split, per_class, standard_scale
+from cohortkit.operators.metrics import classification_report, prf
+from cohortkit.plans import extracts, sequences
 from cohortkit.plans.notes import _TOKENS_SQL
 from cohortkit.plans.standins import StandIns
 from cohortkit.sources.io import materialize
@@ -33,6 +33,7 @@ MLP_LAYERS = (64, 64, 64, 10)
 BATCHES = 4
 LOG_STEP, LOG_TOL, LOG_EPOCHS = 1.0, 1e-3, 2000
 CURVE_HIDDEN, CURVE_STEP, CURVE_EPOCHS = (64, 64), 0.005, 10
+LABEL_STEP, LABEL_EPOCHS = 0.05, 15
 
 
 def _embeddings(spark: SparkSession, base: str):
@@ -181,6 +182,89 @@ SELECT doc_id, tf.term, tf, df, round(tf * ln((total + 1) / (df + 1)), 6) AS wei
 FROM tf JOIN f ON tf.term = f.term, n
 """
 
+def _note_weights(spark: SparkSession, base: str):
+    docs = StandIns(spark, base).t("documents", "doc_id", "text")
+    return docs, materialize(T.tfidf_terms(docs, "doc_id", "text"), name="note-weights")
+
+
+def note_vectors(spark: SparkSession, base: str) -> DataFrame:
+    """Each note's sparse TF-IDF vector over the whole vocabulary: its size, term numbers and weights."""
+    docs, weights = _note_weights(spark, base)
+    vectors, _ = T.sparse_vectors(docs, "doc_id", weights)
+    v = F.unwrap_udt("features")
+    return vectors.select("doc_id", v["size"].alias("size"), v["indices"].alias("indices"), v["values"].alias("values"))
+
+
+SQL["note_vectors"] = f"""
+WITH w AS ({SQL["note_features"]}),
+     v AS (SELECT term, CAST(row_number() OVER (ORDER BY term) - 1 AS INTEGER) AS idx FROM (SELECT DISTINCT term FROM w)),
+     l AS (SELECT doc_id, list(idx ORDER BY idx) AS i, list(weight ORDER BY idx) AS x FROM w JOIN v ON w.term = v.term GROUP BY doc_id)
+SELECT d.doc_id, CAST((SELECT count(*) FROM v) AS INTEGER) AS size, coalesce(i, []) AS indices, coalesce(x, []) AS values
+FROM documents d LEFT JOIN l ON d.doc_id = l.doc_id"""
+
+
+def clf_notes(spark: SparkSession, base: str) -> DataFrame:
+    """Report on held-out notes of a balanced logistic regression on their sparse TF-IDF vectors (whole vocabulary)."""
+    docs, weights = _note_weights(spark, base)
+    vectors, _ = T.sparse_vectors(docs, "doc_id", weights)
+    labels = StandIns(spark, base).t("labels", "doc_id", F.col("quality").alias("label")).where(F.col("label").isNotNull())
+    rows = hash_split(vectors.join(labels, "doc_id"), "doc_id", 0.2)
+    model = ML.fit("logreg", rows.where(F.col("split") == "train"), "label", balanced=True, maxIter=30, regParam=0.001)
+    return _report(model, rows.where(F.col("split") == "test"), ["doc_id"])
+
+
+def _basket_rows(spark: SparkSession, base: str):
+    """((patient, x, y): features and item numbers, (item, idx)): every item is a label."""
+    st = StandIns(spark, base)
+    items = materialize(sequences._patient_items(st).select("o_custkey", "p_name").where("p_name IS NOT NULL"), name="basket-items")
+    vocab = materialize(global_index(items.select("p_name").distinct(), ["p_name"], "idx"), name="basket-vocabulary")
+    coded = items.withColumn("idx", per_class(vocab, "p_name", "idx").cast("int"))
+    per = coded.groupBy("o_custkey").agg(F.sort_array(F.collect_set("idx")).alias("y"), F.count(F.lit(1)).alias("n"))
+    people = st.t("customer", F.col("c_custkey").alias("o_custkey"), "c_acctbal", "c_mktsegment")
+    segments = [F.coalesce((F.col("c_mktsegment") == s).cast("double"), F.lit(0.0)) for s in extracts.SEGMENTS]
+    x = F.array(F.log1p("n"), F.coalesce(F.col("c_acctbal") / 10000.0, F.lit(0.0)), *segments)
+    return materialize(per.join(people, "o_custkey").select("o_custkey", x.alias("x"), "y"), name="basket-rows"), vocab
+
+
+def _basket_fit(spark: SparkSession, base: str):
+    rows, vocab = _basket_rows(spark, base)
+    split = hash_split(rows, "o_custkey", 0.2)
+    n_labels = vocab.count()
+    train = G.training_rows(split.where(F.col("split") == "train"), "o_custkey", "x", "y", BATCHES)
+    net = G.new_net((2 + len(extracts.SEGMENTS), n_labels), SEED, multi=True)
+    return (split, vocab, *G.fit_net(train, net, LABEL_EPOCHS, BATCHES, LABEL_STEP))
+
+
+def multilabel_loss_curve(spark: SparkSession, base: str) -> DataFrame:
+    """Loss (summed over all items) and exact matches of each epoch of the scorer that fits every item in one pass."""
+    return _curve(spark, _basket_fit(spark, base)[3])
+
+
+def _basket_predictions(spark: SparkSession, base: str):
+    split, vocab, net, _ = _basket_fit(spark, base)
+    return materialize(G.predict_labels(split, net, "x"), name="basket-predictions"), vocab
+
+
+def multilabel_learned(spark: SparkSession, base: str) -> DataFrame:
+    """Micro precision, recall and F1 over all (patient, item) cells of the learned scorer, by split."""
+    out, _ = _basket_predictions(spark, base)
+    hits, said, held = (F.sum(F.size(c)) for c in (F.array_intersect("y", "predicted"), F.col("predicted"), F.col("y")))
+    counts = out.groupBy("split").agg(hits.alias("tp"), (said - hits).alias("fp"), (held - hits).alias("fn"), held.alias("support"))
+    return prf(counts, keep=["split"])
+
+
+def rank_compare_learned(spark: SparkSession, base: str) -> DataFrame:
+    """The 20 items with most patients and the 20 most often predicted over all items, ranks joined in full."""
+    out, vocab = _basket_predictions(spark, base)
+
+    def ranked(column: str, what: str) -> DataFrame:
+        counts = out.select(F.explode(column).alias("idx")).groupBy("idx").agg(F.count(F.lit(1)).alias(f"{what}_n"))
+        top = counts.join(vocab.withColumnRenamed("p_name", "item"), "idx").orderBy(F.desc(f"{what}_n"), "item").limit(sequences.N_TARGETS)
+        return top.select("item", f"{what}_n", F.row_number().over(Window.orderBy(F.desc(f"{what}_n"), "item")).alias(f"{what}_rank"))
+
+    return ranked("y", "actual").join(ranked("predicted", "predicted"), "item", "full")
+
+
 QUERIES = {
     "clf_logreg": clf_logreg,
     "clf_forest": clf_forest,
@@ -195,4 +279,9 @@ QUERIES = {
     "word2vec_similar": word2vec_similar,
     "pca_projection": pca_projection,
     "note_features": note_features,
+    "note_vectors": note_vectors,
+    "clf_notes": clf_notes,
+    "multilabel_loss_curve": multilabel_loss_curve,
+    "multilabel_learned": multilabel_learned,
+    "rank_compare_learned": rank_compare_learned,
 }

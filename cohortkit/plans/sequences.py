@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from cohortkit.functions.scalar import pad_array
 from cohortkit.operators.cohort import first_per_key, top_k_keys
 from cohortkit.operators.features import global_index, label_index, minmax_scale, per_class
-from cohortkit.operators.lists import (chunked_text, count_vector, distinct_sorted_list, explode_counts,
+from cohortkit.operators.lists import (chunked_text, count_vector, distinct_sorted_list, multi_hot_inverse as multi_hot_lists,
                                        ordered_chunks)
 from cohortkit.plans.standins import StandIns
 
@@ -190,6 +190,12 @@ def multi_hot(spark: SparkSession, base: str) -> DataFrame:
     return _matrix(spark, base, True)
 
 
+def multi_hot_inverse(spark: SparkSession, base: str) -> DataFrame:
+    """The item names of each row of ``multi_hot``, most frequent item first."""
+    names = _top_items(StandIns(spark, base)).agg(F.transform(F.array_sort(F.collect_list(F.struct("target", "p_name"))), lambda t: t["p_name"])).scalar()
+    return multi_hot_lists(multi_hot(spark, base), "o_custkey", {f"item_{i}": F.get(names, i) for i in range(N_TARGETS)})
+
+
 _MATRIX_SQL = f"""WITH {_ITEMS_SQL},
   top AS (SELECT p_name, row_number() OVER (ORDER BY n DESC, p_name) - 1 AS target
           FROM (SELECT p_name, count(*) AS n FROM r GROUP BY p_name ORDER BY n DESC, p_name LIMIT {N_TARGETS}))
@@ -198,6 +204,11 @@ SQL["count_matrix"] = _MATRIX_SQL.format(cols=", ".join(
     f"count(*) FILTER (WHERE target = {i}) AS item_{i}" for i in range(N_TARGETS)))
 SQL["multi_hot"] = _MATRIX_SQL.format(cols=", ".join(
     f"CAST(least(count(*) FILTER (WHERE target = {i}), 1) AS BIGINT) AS item_{i}" for i in range(N_TARGETS)))
+SQL["multi_hot_inverse"] = f"""WITH {_ITEMS_SQL},
+  top AS (SELECT p_name, row_number() OVER (ORDER BY n DESC, p_name) - 1 AS target
+          FROM (SELECT p_name, count(*) AS n FROM r GROUP BY p_name ORDER BY n DESC, p_name LIMIT {N_TARGETS})),
+  h AS (SELECT DISTINCT r.o_custkey, top.p_name, target FROM r JOIN top ON r.p_name = top.p_name)
+SELECT o_custkey, list(p_name ORDER BY target) AS items FROM h GROUP BY o_custkey"""
 
 
 def first_match_concat(spark: SparkSession, base: str) -> DataFrame:
@@ -271,6 +282,7 @@ QUERIES = {
     "patient_sequences": patient_sequences,
     "count_matrix": count_matrix,
     "multi_hot": multi_hot,
+    "multi_hot_inverse": multi_hot_inverse,
     "first_match_concat": first_match_concat,
     "align_by_position": align_by_position,
     "parse_list_text": parse_list_text,

@@ -51,6 +51,46 @@ def test_gradient_against_finite_differences():
         assert grad[i] == pytest.approx(slope, abs=1e-5)
 
 
+def test_gradient_of_many_labels_against_finite_differences():
+    rng = np.random.default_rng(1)
+    net = G.new_net((3, 5, 4), seed=2, multi=True)
+    x, y, w = rng.normal(size=(7, 3)), rng.integers(0, 2, (7, 4)).astype(float), rng.uniform(0.5, 2, 7)
+    loss, _, grad = G.loss_and_gradient(net.weights, net.sizes, x, y, w, multi=True)
+    p = G.probabilities(net.weights, net.sizes, x, multi=True)[-1]
+    assert loss == pytest.approx(-(w[:, None] * (y * np.log(p) + (1 - y) * np.log(1 - p))).sum())
+    for i in range(len(net.weights)):
+        step = np.zeros_like(net.weights)
+        step[i] = 1e-6
+        slope = (G.loss_and_gradient(net.weights + step, net.sizes, x, y, w, True)[0] - G.loss_and_gradient(net.weights - step, net.sizes, x, y, w, True)[0]) / 2e-6
+        assert grad[i] == pytest.approx(slope, abs=1e-5)
+
+
+def test_one_pass_fits_each_label_as_on_its_own(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 3))
+    have = np.stack([x[:, 0] > 0, x[:, 1] + x[:, 2] > 0.5, x[:, 2] < -0.2, np.zeros(300, bool)], axis=1)
+    df = spark.createDataFrame([(i, [float(v) for v in x[i]], np.flatnonzero(have[i]).tolist() + [None]) for i in range(300)] + [(300, None, [1])],
+                               "id long, f array<double>, y array<int>").repartition(3)
+    rows = G.training_rows(df, "id", "f", "y", batches=2)
+    net, history = G.fit_net(rows, G.new_net((3, 4), multi=True), 40, 2, 0.5, "sgd")
+    w, b = G.layers(net.weights, net.sizes)[0]
+    start_w, start_b = G.layers(G.new_net((3, 4), multi=True).weights, (3, 4))[0]
+    held = [r.asDict() for r in rows.collect()]
+    for label in range(4):                               # plain one-label descent over the same batches
+        v, c = start_w[:, label].copy(), start_b[label]
+        for _ in range(40):
+            for batch in range(2):
+                own = [r for r in held if r["batch"] == batch]
+                X, Y = np.array([r["x"] for r in own]), np.array([label in r["y"] for r in own], float)
+                p = 1 / (1 + np.exp(-(X @ v + c)))
+                v, c = v - 0.5 * X.T @ (p - Y) / len(own), c - 0.5 * (p - Y).sum() / len(own)
+        assert np.allclose(w[:, label], v, atol=1e-9) and b[label] == pytest.approx(c, abs=1e-9)
+    assert history[-1]["loss"] < history[0]["loss"]
+    out = {r["id"]: r["predicted"] for r in G.predict_labels(df, net, "f").collect()}
+    assert out[300] is None and all(3 not in v for k, v in out.items() if k < 300)
+    assert np.mean([(0 in out[i]) == have[i, 0] for i in range(300)]) > 0.95
+
+
 @pytest.mark.parametrize("method,sizes,rate", [("adam", (4, 8, 8, 2), 0.01), ("sgd", (4, 2), 0.5)])
 def test_fit_equals_the_plain_version(spark, method, sizes, rate):
     rows = G.training_rows(table(spark), "id", "f", "y", batches=3, balanced=True)

@@ -28,7 +28,8 @@ def test_every_key_has_sql_or_is_a_model_key():
     qs, sql = catalogue.queries(), catalogue.oracle_sql()
     assert set(sql) <= set(qs)
     rows_only = set(qs) - set(sql)
-    assert rows_only == {"clf_logreg", "clf_logreg_balanced", "logreg_loss_curve", "mlp_loss_curve", "clf_forest", "clf_gbt", "clf_mlp", "learning_curve", "score_rows",
+    assert rows_only == {"clf_logreg", "clf_logreg_balanced", "logreg_loss_curve", "mlp_loss_curve", "clf_notes", "multilabel_loss_curve",
+                         "multilabel_learned", "rank_compare_learned", "clf_forest", "clf_gbt", "clf_mlp", "learning_curve", "score_rows",
                          "word2vec_vectors", "word2vec_similar", "pca_projection"}
 
 
