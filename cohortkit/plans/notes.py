@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cohortkit.operators import tagger
 from cohortkit.operators import text as T
 from cohortkit.operators import vectors as V
+from cohortkit.operators import wordspace as W
 from cohortkit.plans.standins import StandIns
 from cohortkit.sources.io import materialize
 
@@ -186,9 +187,7 @@ def mean_word_vectors(spark: SparkSession, base: str) -> DataFrame:
     stands for words a pre-trained table does not know.
     """
     counts = materialize(T.word_counts(_docs(spark, base), "doc_id", "text"), name="note-words")
-    words = counts.where(F.col("word").isNotNull()).select("word").distinct()
-    known = F.conv(F.substring(F.md5(F.concat(F.lit("oov"), "word")), 1, 4), 16, 10).cast("long") % UNKNOWN_ONE_IN != 0
-    table = words.where(known).select("word", T.word_steps("word", WORD_DIMS).alias("vector"))
+    table = _known_vectors(counts.where(F.col("word").isNotNull()).select("word").distinct())
     return T.mean_of_counts(counts, "doc_id", table, WORD_DIMS, steps=WORD_STEPS)
 
 
@@ -204,6 +203,80 @@ FROM j GROUP BY doc_id
 """
 
 
+FREQUENT, NEAREST = 20, 10
+ABSENT = ("notaword0", "notaword1")
+FIRST_WORDS = 100
+
+
+def _known_vectors(words: DataFrame) -> DataFrame:
+    """(word, vector) of the distinct words that have a vector."""
+    known = F.conv(F.substring(F.md5(F.concat(F.lit("oov"), "word")), 1, 4), 16, 10).cast("long") % UNKNOWN_ONE_IN != 0
+    return words.where(known).select("word", T.word_steps("word", WORD_DIMS).alias("vector"))
+
+
+def _word_table(spark: SparkSession, base: str):
+    """((word, n) of every token, (word, vector) of those that have one), written once."""
+    counts = materialize(T.token_counts(_docs(spark, base, "text"), "text", "word"), name="word-counts")
+    return counts, materialize(_known_vectors(counts.select("word")), name="word-vectors")
+
+
+def _asked(counts: DataFrame) -> DataFrame:
+    top = counts.orderBy(F.desc("n"), "word").limit(FREQUENT).select("word")
+    return top.unionByName(top.limit(1).select(F.explode(F.array(*map(F.lit, ABSENT))).alias("word")))
+
+
+_WORDS_SQL = f"""c AS (SELECT word, count(*) AS n FROM (SELECT unnest({_TOKENS_SQL}) AS word FROM documents) GROUP BY word),
+     v AS (SELECT word, list_transform(range(0, {WORD_DIMS}),
+                  lambda i: CAST(('0x' || substr(md5(word), i * 2 + 1, 2))::INTEGER - 128 AS BIGINT)) AS vector FROM c
+           WHERE ('0x' || substr(md5('oov' || word), 1, 4))::INTEGER % {UNKNOWN_ONE_IN} <> 0),
+     q AS (SELECT word FROM (SELECT word FROM c ORDER BY n DESC, word LIMIT {FREQUENT}) t
+           UNION ALL SELECT unnest({list(ABSENT)}))"""
+
+
+def word_lookup(spark: SparkSession, base: str) -> DataFrame:
+    """The vectors of the most frequent words and of two that no text has; a word without a vector is marked not found."""
+    counts, table = _word_table(spark, base)
+    return W.lookup(table, _asked(counts))
+
+
+SQL["word_lookup"] = f"WITH {_WORDS_SQL} SELECT q.word, v.word IS NOT NULL AS found, v.vector FROM q LEFT JOIN v ON q.word = v.word"
+
+
+def word_neighbours(spark: SparkSession, base: str) -> DataFrame:
+    """The ten nearest words to each of the most frequent words, over the whole vocabulary."""
+    counts, table = _word_table(spark, base)
+    return W.neighbours(table, _asked(counts), NEAREST)
+
+
+_DOT = lambda a, b: " + ".join(f"{a}[{i + 1}] * {b}[{i + 1}]" for i in range(WORD_DIMS))
+SQL["word_neighbours"] = f"""
+WITH {_WORDS_SQL},
+     a AS (SELECT q.word AS query, vector AS x FROM q JOIN v ON q.word = v.word),
+     s AS (SELECT query, v.word, round(CAST({_DOT("x", "vector")} AS DOUBLE) / (sqrt(CAST({_DOT("x", "x")} AS DOUBLE)) * sqrt(CAST({_DOT("vector", "vector")} AS DOUBLE))), 6) AS similarity
+           FROM a, v WHERE v.word <> query),
+     r AS (SELECT query, CAST(row_number() OVER (PARTITION BY query ORDER BY similarity DESC, word) AS INTEGER) AS rank, word, similarity FROM s)
+SELECT * FROM r WHERE rank <= {NEAREST}
+UNION ALL SELECT q.word, NULL, NULL, NULL FROM q WHERE q.word NOT IN (SELECT word FROM v)"""
+
+
+def first_words_projection(spark: SparkSession, base: str) -> DataFrame:
+    """The 100 most frequent words that have a vector, in two dimensions."""
+    counts, table = _word_table(spark, base)
+    first = counts.join(table, "word").orderBy(F.desc("n"), "word").limit(FIRST_WORDS)
+    return W.landmark_projection(first, "word", "vector", 2, landmarks=FIRST_WORDS).select("word", "n", "x1", "x2")
+
+
+def words_projection(spark: SparkSession, base: str) -> DataFrame:
+    """Every word that has a vector, in three dimensions by its distances to 200 landmarks."""
+    return W.landmark_projection(_word_table(spark, base)[1], "word", "vector", 3).drop("vector")
+
+
+def embeddings_projection(spark: SparkSession, base: str) -> DataFrame:
+    """Every embedding with its label, in two dimensions by its distances to 200 landmarks."""
+    e = StandIns(spark, base).t("embeddings", "vec_id", "label", "embedding")
+    return W.landmark_projection(e, "vec_id", "embedding", 2).drop("embedding")
+
+
 def similar_vectors(spark: SparkSession, base: str) -> DataFrame:
     e = StandIns(spark, base).t("embeddings", "vec_id", "embedding")
     return V.nearest(e, "vec_id", "embedding", QUERY_VEC, TOP_SIMILAR)
@@ -262,6 +335,11 @@ QUERIES = {
     "tagged_entities": tagged_entities,
     "tagged_corpus": tagged_corpus,
     "mean_word_vectors": mean_word_vectors,
+    "word_lookup": word_lookup,
+    "word_neighbours": word_neighbours,
+    "first_words_projection": first_words_projection,
+    "words_projection": words_projection,
+    "embeddings_projection": embeddings_projection,
     "similar_vectors": similar_vectors,
     "label_cohesion": label_cohesion,
     "adjacent_label_agreement": adjacent_label_agreement,
