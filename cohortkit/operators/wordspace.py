@@ -92,7 +92,7 @@ def landmark_projection(vectors: DataFrame, key: str, vector: str, k: int, landm
     mark = F.md5(F.concat_ws(":", F.lit(seed), F.col(key).cast("string")))
     held = vectors.where(F.col(vector).isNotNull()).select(F.col(vector).cast("array<double>").alias("v"), mark.alias("m"), F.col(key).alias("k"))
     rows = held.orderBy("m", "k").limit(landmarks).collect()
-    points = np.array([r["v"] for r in rows], dtype=np.float64).reshape(len(rows), -1)
+    points = np.array([r["v"] for r in rows], dtype=np.float64).reshape(len(rows), len(rows[0]["v"]) if rows else 0)
     place = np.zeros((k, len(rows)))
     square = ((points[:, None, :] - points[None, :, :]) ** 2).sum(axis=2)
     mean = square.mean(axis=0) if len(rows) else np.zeros(0)

@@ -10,6 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from cohortkit.operators import boosting
 from cohortkit.operators import gradient as G
 from cohortkit.operators import models as ML
 from cohortkit.operators import text as T
@@ -34,6 +35,8 @@ BATCHES = 4
 LOG_STEP, LOG_TOL, LOG_EPOCHS = 1.0, 1e-3, 2000
 CURVE_HIDDEN, CURVE_STEP, CURVE_EPOCHS = (64, 64), 0.005, 10
 LABEL_STEP, LABEL_EPOCHS = 0.05, 15
+# long boosting: rounds of the registered keys, rounds between checkpoints, rounds without a better test error
+BOOST_ROUNDS, BOOST_INTERVAL, BOOST_PATIENCE = 20, 10, 500
 
 
 def _embeddings(spark: SparkSession, base: str):
@@ -133,6 +136,28 @@ def mlp_loss_curve(spark: SparkSession, base: str) -> DataFrame:
     return _curve(spark, history)
 
 
+def _boosted(spark: SparkSession, base: str, rounds: int):
+    train, test = _scaled_stays(spark, base)
+    rows = train.unionByName(test).withColumn("held", F.col("split") == "test")
+    weights = {r[0]: r[1] for r in train.groupBy("label").count().collect()}
+    positive = weights.get(0, 0) / weights[1] if weights.get(1) else 1.0
+    return rows, *boosting.fit_boosted(rows, "features", "label", "held", len(STAY_COLUMNS), rounds=rounds, rate=GBT_STEP,
+                                       positive_weight=positive, interval=BOOST_INTERVAL, patience=BOOST_PATIENCE)
+
+
+def boost_error_curve(spark: SparkSession, base: str, rounds: int = BOOST_ROUNDS) -> DataFrame:
+    """Training and held-out error after each boosting round, checkpointed on the way; ``rounds`` may be thousands."""
+    _, _, history = _boosted(spark, base, rounds)
+    return spark.createDataFrame([(h["round"], *(None if h[c] is None else round(h[c], 6) for c in ("train_error", "test_error"))) for h in history],
+                                 "round int, train_error double, test_error double")
+
+
+def clf_boosted(spark: SparkSession, base: str, rounds: int = BOOST_ROUNDS) -> DataFrame:
+    """Report on held-out rows of the boosted trees, positives weighted by negatives / positives."""
+    rows, model, _ = _boosted(spark, base, rounds)
+    return classification_report(boosting.predict_boosted(rows.where("held"), model, "features"), "label", "prediction")
+
+
 def score_rows(spark: SparkSession, base: str) -> DataFrame:
     """Forest scores for the held-out rows, written once as a stage and read back."""
     train, test = _stays(spark, base)
@@ -274,6 +299,8 @@ QUERIES = {
     "clf_logreg_balanced": clf_logreg_balanced,
     "logreg_loss_curve": logreg_loss_curve,
     "mlp_loss_curve": mlp_loss_curve,
+    "boost_error_curve": boost_error_curve,
+    "clf_boosted": clf_boosted,
     "score_rows": score_rows,
     "word2vec_vectors": word2vec_vectors,
     "word2vec_similar": word2vec_similar,

@@ -29,7 +29,7 @@ def test_every_key_has_sql_or_is_a_model_key():
     assert set(sql) <= set(qs)
     rows_only = set(qs) - set(sql)
     assert rows_only == {"clf_logreg", "clf_logreg_balanced", "logreg_loss_curve", "mlp_loss_curve", "clf_notes", "multilabel_loss_curve",
-                         "multilabel_learned", "rank_compare_learned", "first_words_projection", "words_projection",
+                         "multilabel_learned", "rank_compare_learned", "boost_error_curve", "clf_boosted", "first_words_projection", "words_projection",
                          "embeddings_projection", "clf_forest", "clf_gbt", "clf_mlp", "learning_curve", "score_rows",
                          "word2vec_vectors", "word2vec_similar", "pca_projection"}
 
