@@ -14,10 +14,14 @@ Nothing is compared all against all:
 * survivors are indexed by prefixes in rarest-first order (n-grams of one
   document never match, common passages come last);
 * in each bucket of the index members are first compared with a few hubs per
-  size class, in rounds; only pairs whose ends are still in different
-  components are then listed. Links inside a component add nothing to the
-  classes, so no link between classes is lost and a group of near copies costs
-  its size, not its square.
+  size class, in rounds, as long as a round merges a tenth of the components;
+  only pairs whose ends are still in different components are then listed.
+  Links inside a component add nothing to the classes, so no link between
+  classes is lost and a group of near copies costs its size, not its square;
+* the listing itself holds an exact bound: a set's parity bitmap has a bit
+  for each range of hash values, set where an odd number of its n-grams falls.
+  The bits in which two bitmaps differ are at most the n-grams in which the
+  sets differ, so a pair with too many of them cannot link and never leaves the join.
 """
 
 from __future__ import annotations
@@ -33,6 +37,11 @@ from cohortkit.llm.common import drop_stage, release, stage, text_chunks
 from cohortkit.llm.words import find_words, mix, shingle_hashes
 
 
+#: Words of 64 bits in a parity bitmap, and the share of the open components that a round of hubs must merge to be followed by another.
+PARITY_WORDS = 16
+WORTH = 0.1
+
+
 def least_overlap(n, percent: int):
     """Smallest overlap that a set of ``n`` needs with any partner."""
     return -(-n * percent // 100)
@@ -78,7 +87,7 @@ def lists(parts: list[np.ndarray]) -> pa.ListArray:
 
 
 def heads(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """(rid, id, carry, size, d1, d2, head) per row of (rid, id, text, carry)."""
+    """(rid, id, carry, t, size, d1, d2, head) per row of (rid, id, text, carry, t)."""
     kind = docs.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -88,12 +97,12 @@ def heads(docs: DataFrame, n: int, percent: int) -> DataFrame:
                 marks = [digest(s) for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(lo, hi - lo), b.column(1).slice(lo, hi - lo), b.column(3).slice(lo, hi - lo),
-                     pa.array([len(s) for s in sets], pa.int64()), pa.array([m[0] for m in marks], pa.int64()),
+                     b.column(4).slice(lo, hi - lo), pa.array([len(s) for s in sets], pa.int64()), pa.array([m[0] for m in marks], pa.int64()),
                      pa.array([m[1] for m in marks], pa.int64()),
-                     lists([s[:head_size(len(s), percent)[0]] for s in sets])], ["rid", "id", "carry", "size", "d1", "d2", "head"])
+                     lists([s[:head_size(len(s), percent)[0]] for s in sets])], ["rid", "id", "carry", "t", "size", "d1", "d2", "head"])
 
-    return docs.select("rid", "id", "text", "carry").mapInArrow(
-        run, f"rid bigint, id {kind}, carry string, size bigint, d1 bigint, d2 bigint, head array<bigint>")
+    return docs.select("rid", "id", "text", "carry", "t").mapInArrow(
+        run, f"rid bigint, id {kind}, carry string, t bigint, size bigint, d1 bigint, d2 bigint, head array<bigint>")
 
 
 def segments(docs: DataFrame, n: int, fragments: int) -> DataFrame:
@@ -138,12 +147,22 @@ def overlapping(pairs: DataFrame, segs: DataFrame, percent: int, fragments: int)
     return at.select("a", "b")
 
 
-def promising(pairs: DataFrame, segs: DataFrame, percent: int, slack: int = 10) -> DataFrame:
-    """The pairs whose first segments alone come within ``slack`` percent of a link (for hub rounds, which may miss)."""
-    head = segs.where("frag = 0")
-    left, right = (head.select(F.col("sid").alias(c), F.col("seg").alias(f"seg_{c}")) for c in ("a", "b"))
-    met = pairs.join(left, "a").join(right, "b").withColumn("o", F.size(F.array_intersect("seg_a", "seg_b")))
-    return met.where(F.col("o") * 100 >= (percent - slack) * (F.size("seg_a") + F.size("seg_b") - F.col("o"))).select(*pairs.columns)
+def parities(segs: DataFrame) -> DataFrame:
+    """(sid, w0, w1, ...): each set's parity bitmap, one bit a range of the n-grams' low hash bits."""
+    bits = 64 * PARITY_WORDS
+    names = [f"w{k}" for k in range(PARITY_WORDS)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            col = b.column(1)
+            row = np.repeat(np.arange(len(col)), np.diff(np.asarray(col.offsets)))
+            cell = row * bits + (np.asarray(col.flatten()) & (bits - 1))
+            odd = (np.bincount(cell, minlength=bits * len(col)) & 1).astype(np.uint8)
+            words = np.packbits(odd, bitorder="little").view(np.int64).reshape(len(col), PARITY_WORDS)
+            yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(np.ascontiguousarray(w)) for w in words.T]], ["sid", *names])
+
+    parts = segs.select("sid", "seg").mapInArrow(run, ", ".join(f"{c} bigint" for c in ["sid", *names]))
+    return parts.groupBy("sid").agg(*[F.bit_xor(c).alias(c) for c in names])
 
 
 def components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
@@ -179,7 +198,7 @@ def components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
 
 
 def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 4, percent: int = 85,
-                 fragments: int = 4, hub_rounds: int = 2, carry: str | None = None) -> DataFrame:
+                 fragments: int = 4, hubs: int = 4, carry: str | None = None) -> DataFrame:
     """One row per input row: ``id_col``, n_shingles, component_id, first (and the column ``carry`` if given).
 
     Words are runs without ASCII white space, A-Z lower-cased. component_id is
@@ -192,8 +211,9 @@ def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     carried = F.col(carry).cast("string") if carry else F.lit(None).cast("string")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    mark_of = F.xxhash64(text).alias("t")
     rows = stage(heads(docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("id"),
-                                   text.alias("text"), carried.alias("carry")), n, percent), "ngram-heads")
+                                   text.alias("text"), carried.alias("carry"), mark_of), n, percent), "ngram-heads")
     mark = ["size", "d1", "d2"]
     key = F.struct(F.col("id").isNull().alias("no_id"), "id", "rid")
     classes = stage(rows.where("size > 0").groupBy(*mark).agg(
@@ -205,15 +225,17 @@ def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     shared = entries.groupBy("tok").count().where("count > 1").select("tok")
     need = F.greatest(F.lit(1), F.floor(F.ceil(F.col("size") * percent / 100) / 20))
     alive = (entries.join(shared, "tok", "left_semi").groupBy("sid", "size").count().where(F.col("count") >= need).select("sid"))
-    alive = stage(alive.join(rows.select(F.col("rid").alias("sid"), "id", "d1", "d2"), "sid"), "ngram-alive")
+    alive = stage(alive.join(rows.select(F.col("rid").alias("sid"), "id", "t", "d1", "d2"), "sid"), "ngram-alive")
     # the prefixes have served
     full, rows = rows, stage(rows.drop("head"), "ngram-rows")
     drop_stage(full)
     release(docs.sparkSession)
 
     # the survivors grow with the corpus: a merge join at every size
-    again = docs.select(F.col(id_col).alias("id"), text.alias("text")).join(
-        alive.withColumnRenamed("id", "alive_id").hint("merge"), F.col("id").eqNullSafe(F.col("alive_id")))
+    # (id and t name a text: rows that share an id meet their own sets only)
+    again = docs.select(F.col(id_col).alias("id"), mark_of, text.alias("text")).join(
+        alive.withColumnsRenamed({"id": "alive_id", "t": "alive_t"}).hint("merge"),
+        F.col("id").eqNullSafe(F.col("alive_id")) & (F.col("t") == F.col("alive_t")))
     segs = stage(segments(again, n, fragments).dropDuplicates(["sid", "frag"]), "ngram-segments")
     release(docs.sparkSession)
 
@@ -229,55 +251,54 @@ def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
               .withColumn("class", F.floor(F.log("size") / F.lit(float(np.log(100 / percent))))))
     index = stage(ranked.select("tok", "sid", "size", "pos", "class"), "ngram-index")
     release(docs.sparkSession)
+    own = stage(parities(segs.join(index.select("sid").distinct(), "sid", "left_semi")), "ngram-parities")
+    words = [c for c in own.columns if c != "sid"]
 
     size_ok = (100 * F.least("size_a", "size_b") >= percent * F.greatest("size_a", "size_b"))
     comps = None
-    listed = before = 0
-    for r in range(hub_rounds + 1):
+    n_open = r = 0
+    last = False
+    while not last:
         held = index if comps is None else index.join(comps, index["sid"] == comps["v"], "left")
         held = held.withColumn("comp", F.col("sid") if comps is None else F.coalesce("comp", "sid")).select(*index.columns, "comp")
-        per = held.groupBy("tok", "comp").count().groupBy("tok").agg(
-            F.sum("count").alias("all"), F.sum(F.col("count").cast("double") * F.col("count")).alias("within"),
-            F.count(F.lit(1)).alias("n_comps")).where("n_comps > 1")
-        open_ = stage(held.join(per.select("tok", "all", "within"), "tok"), "ngram-open")
-        # entries still open, and the pairs that they would list (each bucket's share of a member)
-        entries_left, pairs_left = open_.agg(F.count(F.lit(1)), F.sum((F.col("all") - F.col("within") / F.col("all")) / 2)).first()
-        if not entries_left:
+        per = held.groupBy("tok").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least != most")
+        open_ = stage(held.join(per.select("tok"), "tok"), "ngram-open")
+        before, n_open = n_open, open_.select("comp").distinct().count()
+        if not n_open:
             break
-        listed = listed or entries_left
-        last = r == hub_rounds or (r > 0 and (pairs_left <= 4 * listed or pairs_left > 0.9 * before))
-        before = pairs_left
-        a = open_.select("tok", "class", F.col("sid").alias("a"), F.col("size").alias("size_a"),
-                         F.col("pos").alias("pos_a"), F.col("comp").alias("comp_a"))
+        last = r > 0 and before - n_open < WORTH * before
+        side = lambda df, x, *cols: df.select(
+            *cols, F.col("sid").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("size", "pos", "comp", *words)])
+        both = F.col("size_a") + F.col("size_b")
+        differ = sum((F.bit_count(F.col(f"{w}_a").bitwiseXOR(F.col(f"{w}_b"))) for w in words), F.lit(0))
+        may_link = (F.col("comp_a") != F.col("comp_b")) & size_ok & (differ * (100 + percent) <= (100 - percent) * both)
         if last:
-            b = open_.select("tok", F.col("sid").alias("b"), F.col("size").alias("size_b"),
-                             F.col("pos").alias("pos_b"), F.col("comp").alias("comp_b"))
+            marked = stage(open_.join(own, "sid"), "ngram-marked")
+            a, b = side(marked, "a", "tok"), side(marked, "b", "tok")
             # the first shared n-gram of a linking pair leaves enough room behind it in both sets
             room = F.least(F.col("size_a") - F.col("pos_a"), F.col("size_b") - F.col("pos_b"))
-            fits = room * (100 + percent) >= percent * (F.col("size_a") + F.col("size_b"))
-            pairs = a.join(b, (a["tok"] == b["tok"]) & (F.col("a") < F.col("b")) & (F.col("comp_a") != F.col("comp_b")) & size_ok & fits)
+            pairs = a.join(b, (a["tok"] == b["tok"]) & (F.col("a") < F.col("b")) & may_link & (room * (100 + percent) >= percent * both))
         else:
-            # a few hubs per bucket and size class, others and more in each round; two buckets stand for a member
+            # a few hubs per bucket and size class, others in each round; two buckets stand for a member, which
+            # is compared with the two hubs that its bitmap is closest to
             order = F.xxhash64(F.lit(r), "tok")
             probe = stage(open_.withColumn("k", F.row_number().over(Window.partitionBy("sid").orderBy(order, "tok")))
-                          .where("k <= 2").drop("k"), "ngram-probe")
+                          .where("k <= 2").drop("k").join(own, "sid"), "ngram-probe")
             first = Window.partitionBy("tok", "class").orderBy(F.xxhash64(F.lit(r), "sid"), "sid")
-            hubs = stage(probe.withColumn("k", F.row_number().over(first)).where(F.col("k") <= 4 ** (r + 1)).select(
-                "tok", "class", F.col("sid").alias("b"), F.col("size").alias("size_b"), F.col("comp").alias("comp_b")), "ngram-hubs")
-            a = probe.select("tok", "class", F.col("sid").alias("a"), F.col("size").alias("size_a"), F.col("comp").alias("comp_a"))
-            pairs = a.join(hubs, ["tok", "class"]).where((F.col("comp_a") != F.col("comp_b")) & size_ok)
+            centre = stage(probe.withColumn("k", F.row_number().over(first)).where(F.col("k") <= hubs), "ngram-hubs")
+            met = side(probe, "a", "tok", "class").join(side(centre, "b", "tok", "class"), ["tok", "class"]).where(may_link)
+            near = Window.partitionBy("a").orderBy("differ", "b")
+            pairs = (met.select("a", "size_a", "b", "size_b", differ.alias("differ")).distinct()
+                     .withColumn("k", F.row_number().over(near)).where("k <= 2"))
         ends = [F.struct(F.col(c).alias("v"), F.col(f"size_{c}").alias("n")) for c in ("a", "b")]
         pairs = pairs.select(F.least(*ends).alias("l"), F.greatest(*ends).alias("g")).select(
             F.col("l.v").alias("a"), F.col("l.n").alias("size_a"), F.col("g.v").alias("b"), F.col("g.n").alias("size_b"))
         pairs = stage(pairs.distinct(), "ngram-pairs")
-        if not last:
-            pairs = stage(promising(pairs, segs, percent), "ngram-promising")
         met = stage(overlapping(pairs, segs, percent, fragments), "ngram-links")
         if not met.isEmpty():
             comps = components(met, comps)
         drop_stage(open_)
-        if last:
-            break
+        r += 1
 
     # classes that are more than one row of their own
     if comps is None:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from cohortkit.llm import (bpe, chat_format, exact_dedup, licenses, ngram_join, packing, quality_model, quality_rules,
                            toxicity, url_filter)
+from cohortkit.llm.pieces import PieceTable
 from cohortkit.llm.queries import QUERIES, tokenizer_file
 from cohortkit.llm.words import find_words
 
@@ -155,8 +156,8 @@ def brute_classes(rows, n, percent):
     return [(i, len(s), least.get(find(k))) for k, ((i, _), s) in enumerate(zip(rows, sets, strict=True))]
 
 
-@pytest.mark.parametrize("rounds", [0, 2])
-def test_ngram_classes(spark, rounds):
+@pytest.mark.parametrize("hubs", [0, 1, 4])
+def test_ngram_classes(spark, hubs):
     rnd = random.Random(9)
     rows = texts()
     source = [f"v{rnd.randrange(300)}" for _ in range(120)]
@@ -168,10 +169,23 @@ def test_ngram_classes(spark, rounds):
         rows.append((100 + k, " ".join(copy)))
         rows.append((200 + k, " ".join([*common, *(f"u{rnd.randrange(10**6)}" for _ in range(rnd.choice([2, 8, 60])))])))
     frame = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, component_id string").repartition(4)
-    out = ngram_join.link_classes(frame, hub_rounds=rounds)
+    out = ngram_join.link_classes(frame, hubs=hubs)
     assert by_key(out, "doc_id", "n_shingles", "component_id") == Counter(brute_classes(rows, 4, 85))
 
 
+def test_parity_bitmaps_differ_in_no_more_bits_than_the_sets(spark):
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(-2**63, 2**63 - 1, size=n)) for n in (1, 40, 300, 900)]
+    sets += [np.concatenate([x[3:], rng.integers(-2**63, 2**63 - 1, size=2)]) for x in sets[1:]] + [sets[2]]
+    segs = [(k, part.tolist()) for k, s in enumerate(sets) for part in np.array_split(np.sort(s), 3) if len(part)]
+    rows = ngram_join.parities(spark.createDataFrame(segs, "sid long, seg array<long>").repartition(3)).collect()
+    bits = {r["sid"]: [r[c] & (2**64 - 1) for c in r.asDict() if c != "sid"] for r in rows}
+    for a, b in itertools.combinations(range(len(sets)), 2):
+        apart = len(set(sets[a].tolist()) ^ set(sets[b].tolist()))
+        differ = sum((x ^ y).bit_count() for x, y in zip(bits[a], bits[b], strict=True))
+        assert differ <= apart and (differ - apart) % 2 == 0
+
+
 def test_toxic_segments_brute():
     rnd = random.Random(1)
     for _ in range(200):
@@ -266,6 +280,31 @@ def test_bpe_against_library(spark, docs):
     assert Counter((r["doc_id"], tuple(r["ids"]), r["decoded"]) for r in out) == want
 
 
+def test_recoding_in_one_pass_equals_both_steps(docs, empty):
+    path = tokenizer_file("word_bpe_49k.json")
+    both = bpe.decode_documents(bpe.encode_documents(docs, path), path).select("doc_id", "ids", "decoded")
+    one = bpe.recode_documents(docs, path).select("doc_id", "coded.ids", "coded.decoded")
+    rows = lambda df: Counter((r.doc_id, tuple(r.ids), r.decoded) for r in df.collect())
+    assert rows(one) == rows(both)
+    assert bpe.recode_documents(empty, path).count() == 0
+
+
+def test_piece_table_is_bounded_by_bytes():
+    seen = []
+
+    def encode(words):
+        seen.extend(words)
+        return np.concatenate([np.arange(len(w)) for w in words]), np.array([len(w) for w in words])
+
+    table = PieceTable(encode, limit=20_000)
+    for k in range(300):
+        words = [f"word{k}", "same", "x" * (k % 7)]
+        flat, edges = table.ids_of([words[:1], words[1:]])
+        assert flat.tolist() == [i for w in words for i in range(len(w))] and edges.tolist() == [0, len(words[0]), len(flat)]
+        assert table.size < 20_000 + 1_000
+    assert seen.count("same") > 1
+
+
 def test_quality_rules(docs):
     def brute(t):
         t = t or ""
@@ -311,5 +350,5 @@ def test_pipeline_stages_on_fixture(spark, docs):
 def test_queries_are_registered():
     import __spark_entry__
 
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(__spark_entry__.queries())
