@@ -20,6 +20,7 @@ from cohortkit.operators.crosstab import (conditional_counts, distinct_pivot_cou
                                           ranked_quantiles, rate, value_ranks)
 from cohortkit.plans.standins import (COHORT_PREFIX, DISEASE_PREFIXES, EXPIRED_STATUS,
                                       PRIORITIES, SEGMENTS, StandIns)
+from cohortkit.sources.io import materialize
 
 # Stand-in parameters of the report tables.
 GENDER_SEGMENTS = {"male_count": "BUILDING", "female_count": "MACHINERY"}
@@ -206,8 +207,9 @@ GROUP BY p.p_name ORDER BY total DESC, procedure LIMIT 20
 def lab_abnormal_stats(spark: SparkSession, base: str, k: int = 20) -> DataFrame:
     """Per lab item of cohort patients: totals, abnormal share, abnormal-value quantiles.
 
-    Aggregate and cut to the top ``k`` *before* the dictionary join, so the
-    join sees ≤ k rows (the order the reference wrote by hand).
+    The cohort's events are written once as (item, value). Totals come from
+    them and are cut to the top ``k`` items, before the dictionary join and
+    before the quantiles, whose cells are made for those items only.
     """
     st = StandIns(spark, base)
     items = _lab_items(spark)
@@ -217,6 +219,7 @@ def lab_abnormal_stats(spark: SparkSession, base: str, k: int = 20) -> DataFrame
     ev = semi_join(st.t("events", "user_id", "event_type", "value"), cohort_pat, "user_id")
     ev = ev.join(F.broadcast(items.where(F.col("fluid") == "Blood").select("event_type")),
                  "event_type", "left_semi")
+    ev = materialize(ev.select("event_type", "value"), name="lab-events")
     ab = F.col("value") > F.lit(ABNORMAL_ABOVE)
     abv = F.when(ab, F.col("value"))
     stats = ev.groupBy("event_type").agg(
@@ -225,8 +228,9 @@ def lab_abnormal_stats(spark: SparkSession, base: str, k: int = 20) -> DataFrame
         F.min(abv).alias("min_abnormal_value"),
         F.max(abv).alias("max_abnormal_value"))
     top = stats.orderBy(F.desc("total_test_count"), F.asc("event_type")).limit(k)
-    # the quantiles need the abnormal values only, counted per (item, value)
-    cells, spans = value_ranks(ev.where(ab), ["event_type"], "value")
+    # the quantiles need the abnormal values of the top items only, counted per (item, value)
+    abnormal = ev.where(ab).join(F.broadcast(top.select("event_type")), "event_type", "left_semi")
+    cells, spans = value_ranks(abnormal, ["event_type"], "value")
     top = top.join(ranked_quantiles(cells, spans, ["event_type"], {
         "median_abnormal_value": 0.5, "first_quartile": 0.25, "third_quartile": 0.75}), "event_type", "left")
     out = top.join(F.broadcast(items.select("event_type", "label")), "event_type")
