@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortkit.plans import explorations, extracts, handoffs, learners, notes, reports, rhythms, sequences, training
+from cohortkit.plans import connectors, explorations, extracts, handoffs, learners, notes, reports, rhythms, sequences, training
 
-_MODULES = [reports, explorations, extracts, sequences, notes, training, handoffs, rhythms, learners]
+_MODULES = [reports, explorations, extracts, sequences, notes, training, handoffs, rhythms, connectors, learners]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
