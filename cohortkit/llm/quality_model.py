@@ -50,11 +50,13 @@ def encode_passages(texts: list[str], passage_words: int) -> tuple[np.ndarray, n
     passage = base[w.doc] + place // passage_words
     size = np.bincount(passage, minlength=base[-1]).astype(float)
     one = np.maximum(size, 1)
-    # the bytes from a passage's first word up to the next passage's first word belong to it
+    # the bytes from a passage's first word up to the next passage's first word belong to it, up to its own text's end:
+    # what lies between two texts of a batch is nobody's
     heads = np.flatnonzero(np.diff(np.concatenate(([-1], passage))))
-    edges = np.concatenate((w.start[heads], [len(w.buf)]))
-    owner = np.repeat(passage[heads], np.diff(edges))
-    seen = w.buf[w.start[heads[0]]:]
+    begin = w.start[heads]
+    end = np.minimum(np.concatenate((begin[1:], [len(w.buf)])), w.text_end[bag[passage[heads]]])
+    owner = np.repeat(passage[heads], end - begin)
+    seen = w.buf[np.repeat(begin - np.concatenate(([0], np.cumsum(end - begin)[:-1])), end - begin) + np.arange(len(owner))]
     hist = np.bincount(owner * N_CLASSES + _CLASS[seen], minlength=base[-1] * N_CLASSES).reshape(-1, N_CLASSES)
     x[:, :N_CLASSES] = np.sqrt(hist / one[:, None])
     length = (w.end - w.start).astype(float)
@@ -102,6 +104,20 @@ class AttentionModel:
     def score(self, bag: np.ndarray, x: np.ndarray, n: int) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.forward(bag, x, n)[-1], -30, 30)))
 
+    def gradient(self, bag: np.ndarray, x: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
+        """Slope of the mean log-loss of documents (passages ``x`` of document ``bag``, labels ``y``) in each parameter."""
+        p, n = self.p, len(y)
+        x, h, t, g, w, z, s = self.forward(bag, x, n)
+        ds = (1 / (1 + np.exp(-np.clip(s, -30, 30))) - y) / n
+        dz = ds[:, None] * p["c"]
+        dw = (dz[bag] * h).sum(1)
+        de = w * (dw - np.bincount(bag, weights=w * dw, minlength=n)[bag])
+        dtg = de[:, None] * p["a"]
+        dt, dg = dtg * g * (1 - t * t), dtg * t * g * (1 - g)
+        dh = (w[:, None] * dz[bag] + dt @ p["V"].T + dg @ p["U"].T) * (1 - h * h)
+        return {"W": x.T @ dh, "b": dh.sum(0), "V": h.T @ dt, "U": h.T @ dg, "a": ((t * g) * de[:, None]).sum(0),
+                "c": z.T @ ds, "d": ds.sum(keepdims=True)}
+
     def fit(self, bags: list[np.ndarray], y: np.ndarray, epochs: int = 20, size: int = 64, rate: float = 3e-3,
             decay: float = 1e-4, seed: int = 11) -> AttentionModel:
         every = np.concatenate(bags)
@@ -112,18 +128,8 @@ class AttentionModel:
             order = rng.permutation(len(y))
             for lo in range(0, len(y), size):
                 pick = order[lo:lo + size]
-                n = len(pick)
-                bag = np.repeat(np.arange(n), [len(bags[i]) for i in pick])
-                x, h, t, g, w, z, s = self.forward(bag, np.concatenate([bags[i] for i in pick]), n)
-                ds = (1 / (1 + np.exp(-np.clip(s, -30, 30))) - y[pick]) / n
-                dz = ds[:, None] * p["c"]
-                dw = (dz[bag] * h).sum(1)
-                de = w * (dw - np.bincount(bag, weights=w * dw, minlength=n)[bag])
-                dtg = de[:, None] * p["a"]
-                dt, dg = dtg * g * (1 - t * t), dtg * t * g * (1 - g)
-                dh = (w[:, None] * dz[bag] + dt @ p["V"].T + dg @ p["U"].T) * (1 - h * h)
-                grad = {"W": x.T @ dh, "b": dh.sum(0), "V": h.T @ dt, "U": h.T @ dg, "a": ((t * g) * de[:, None]).sum(0),
-                        "c": z.T @ ds, "d": ds.sum(keepdims=True)}
+                bag = np.repeat(np.arange(len(pick)), [len(bags[i]) for i in pick])
+                grad = self.gradient(bag, np.concatenate([bags[i] for i in pick]), y[pick])
                 step += 1
                 for k in p:
                     dk = grad[k] + decay * p[k]
