@@ -112,55 +112,80 @@ def rules() -> dict:
     }
 
 
-def estimate(patterns: np.ndarray, counts: np.ndarray, prior_good: float = 0.85, rounds: int = 100,
-             smooth: float = 0.2) -> np.ndarray:
-    """Posterior of good per vote pattern (rows of -1, 0, 1), by expectation maximisation.
+#: Where estimation starts: P(vote -1, 0, 1 | bad text, good text), the same for every rule.
+START = np.array([[0.35, 0.15, 0.5], [0.02, 0.2, 0.78]])
+
 
-    Votes are independent given the class. The start says that a rule rarely
-    rejects a good text and often misses a bad one, as each rule knows one
-    kind of fault; pseudo-votes worth ``smooth`` of the texts keep estimates
-    near it. An empty table of patterns gives an empty answer.
+def estimate(patterns: np.ndarray, counts: np.ndarray, prior_good: float = 0.85, rounds: int = 100,
+             pseudo: float = 1000.0) -> tuple[np.ndarray, np.ndarray, float]:
+    """(posterior of good per vote pattern, vote rates by class, rule and vote, share of good texts), by expectation maximisation.
+
+    ``patterns``: rows of -1, 0, 1. Votes are independent given the class. The
+    start says that a rule rarely rejects a good text and often misses a bad
+    one, as each rule knows one kind of fault; ``pseudo`` texts a class that
+    vote as it says keep rates defined. Their number is fixed, so that the
+    start gives way as the table grows. No pattern gives an empty answer.
     """
+    n_rules = patterns.shape[1]
+    likely, share = np.repeat(START[:, None, :], n_rules, axis=1), prior_good
     if not len(counts):
-        return np.zeros(0)
-    start = np.array([[0.35, 0.15, 0.5], [0.02, 0.2, 0.78]])    # P(vote -1, 0, 1 | bad, good)
-    likely = np.repeat(start[:, None, :], patterns.shape[1], axis=1)
-    share, of = prior_good, counts / counts.sum()
-    pseudo = smooth * counts.sum()
+        return np.zeros(0), likely, share
+    of = counts / counts.sum()
     post = np.full(len(counts), share)
     for _ in range(rounds):
         log = np.log(np.array([1 - share, share]))[:, None] + sum(
-            np.log(likely[:, k, patterns[:, k] + 1]) for k in range(patterns.shape[1]))
+            np.log(likely[:, k, patterns[:, k] + 1]) for k in range(n_rules))
         new = 1 / (1 + np.exp(np.clip(log[0] - log[1], -700, 700)))
         for c, p in ((1, new), (0, 1 - new)):
             mass = counts * p
-            for k in range(patterns.shape[1]):
+            for k in range(n_rules):
                 got = np.bincount(patterns[:, k] + 1, weights=mass, minlength=3)
-                likely[c, k] = (got + pseudo * start[c]) / (mass.sum() + pseudo)
+                likely[c, k] = (got + pseudo * START[c]) / (mass.sum() + pseudo)
         share = float(np.clip((of * new).sum(), 0.05, 0.99))
         if np.abs(new - post).max() < 1e-9:
             break
         post = new
-    return new
+    return new, likely, share
+
+
+def vote_patterns(stats: DataFrame, votes: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(patterns, texts of each) of the texts with words: at most 3 to the power of the number of rules."""
+    met = stats.where("n_words > 0").groupBy(*votes).count().orderBy(*votes).collect()
+    return (np.array([[r[v] for v in votes] for r in met], dtype=np.int64).reshape(len(met), len(votes)),
+            np.array([r["count"] for r in met], dtype=float))
+
+
+def voted(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, list[str]]:
+    """(counts and votes of every text, written once; the vote columns)."""
+    named = rules()
+    stats = stage(stats_frame(docs, id_col, text_col).select("id", *STATS, *(v.alias(f"vote_{k}") for k, v in named.items())),
+                  "quality-stats")
+    return stats, [f"vote_{k}" for k in named]
+
+
+def rule_rates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pseudo: float = 1000.0) -> DataFrame:
+    """(rule, vote, start_bad, start_good, bad, good): how often each rule votes -1, 0 and 1 on bad and good texts, as estimated beside the start."""
+    stats, votes = voted(docs, id_col, text_col)
+    _, likely, _ = estimate(*vote_patterns(stats, votes), pseudo=pseudo)
+    rows = [(v[5:], k - 1, *(float(START[c, k]) for c in (0, 1)), *(float(likely[c, i, k]) for c in (0, 1)))
+            for i, v in enumerate(votes) for k in range(3)]
+    return docs.sparkSession.createDataFrame(rows, "rule string, vote int, start_bad double, start_good double, bad double, good double")
 
 
 def judge_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_at: float = 0.5,
-                  min_words: int = 50, max_repeat_percent: int = 50) -> DataFrame:
+                  min_words: int = 50, max_repeat_percent: int = 50, pseudo: float = 1000.0) -> DataFrame:
     """One row per input row: id, counts, base_failed, posterior (of good), votes, kept.
 
     Null texts count as empty; an empty text has no words and fails the base
     rules. Repeated rows are judged one by one; other columns are ignored. An
     empty table gives an empty result. The driver sees the counts of vote
-    patterns only: at most 3 to the power of the number of rules.
+    patterns only: at most 3 to the power of the number of rules. ``pseudo``:
+    see :func:`estimate`; :func:`rule_rates` reports what was estimated.
     """
     spark = docs.sparkSession
-    named = rules()
-    stats = stage(stats_frame(docs, id_col, text_col).select("id", *STATS, *(v.alias(f"vote_{k}") for k, v in named.items())),
-                  "quality-stats")
-    votes = [f"vote_{k}" for k in named]
-    met = stats.where("n_words > 0").groupBy(*votes).count().orderBy(*votes).collect()
-    patterns = np.array([[r[v] for v in votes] for r in met], dtype=np.int64).reshape(len(met), len(votes))
-    good = estimate(patterns, np.array([r["count"] for r in met], dtype=float))
+    stats, votes = voted(docs, id_col, text_col)
+    patterns, counts = vote_patterns(stats, votes)
+    good, _, _ = estimate(patterns, counts, pseudo=pseudo)
     table = spark.createDataFrame([(*map(int, p), float(g)) for p, g in zip(patterns, good, strict=True)],
                                   ", ".join(f"{v} int" for v in votes) + ", posterior double")
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
