@@ -1,22 +1,22 @@
-"""Licence scans: a positional rare-token index over licence templates.
-
-Template words are indexed by (word → template, relative position). Each file
-contributes only its indexed words with their positions; a posting at relative
-position r and a word at position p vote for a placement starting at p - r, and
-votes are counted per (file, template, placement), so postings intersect by
-relative position without comparing texts. Only the templates' rarest words
-(highest inverse frequency over the template collection) are indexed; a common
-word only where it is part of a mandatory key phrase. A template is reported
-where its votes, weighted by the words' IDF over all scanned files, reach
-``min_share`` and its key phrase stands complete inside the placement.
+"""Licence scans: a positional rare-token index over licence phrases, notices and whole licence texts.
+
+Each text of the collection (a target) is indexed by its rarest words and the
+words of its mandatory key phrase, with their relative positions. IDF over all
+scanned files then names each target's anchor: the rarest word of its key
+phrase. A file looks up the anchors it holds and nothing else: an anchor at
+position p whose posting stands at r proposes a placement starting at p - r,
+the key phrase is verified there, and only at placements that survive are the
+target's other postings intersected by relative position. A target is reported
+where the IDF of the words found reaches ``min_share`` of all its postings'.
 
 Everything is DataFrame functions; whole texts are tokenised once, only hits
-leave the scan.
+leave the scan, and only verified placements are grouped.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -65,6 +65,47 @@ TEMPLATES = (
 )
 
 
+# The bodies of short public licences, and the notices that longer ones ask for.
+WHOLE_TEXTS = (
+    Template("mit", """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+    documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use,
+    copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software
+    is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included
+    in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+    IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO
+    EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT,
+    TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+             "permission is hereby granted free of charge"),
+    Template("isc", """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby
+    granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS"
+    AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS.
+    IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING
+    FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN
+    CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.""",
+             "for any purpose with or without fee is hereby granted"),
+    Template("bsd", """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+    following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and
+    the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and
+    the following disclaimer in the documentation and/or other materials provided with the distribution.""",
+             "redistribution and use in source and binary forms"),
+    Template("zlib", """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held
+    liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose,
+    including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions""",
+             "to alter it and redistribute it freely"),
+    Template("apache", """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance
+    with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law
+    or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS
+    OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the
+    License.""",
+             "you may not use this file except in compliance with the license"),
+    Template("gpl", """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public
+    License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This
+    program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.""",
+             "under the terms of the gnu general public license"),
+)
+
+
 @dataclass(frozen=True)
 class Posting:
     word: str
@@ -73,41 +114,47 @@ class Posting:
     key: bool
 
 
+def words_of(text: str) -> list[str]:
+    """The words of a text of the collection, by the scan's own rule (ASCII)."""
+    return re.findall(r"[0-9a-z]+", text.lower())
+
+
 def build_index(phrases: Sequence[tuple[str, str]], templates: Sequence[Template],
-                rare_words: int = 6) -> tuple[list[Posting], list[dict]]:
+                rare_words: int = 12) -> tuple[list[Posting], list[dict]]:
     """Postings and targets (base phrases first, then templates).
 
-    A template is indexed by its ``rare_words`` highest-IDF words plus the
-    words of its key phrase; a base phrase by all its words.
+    A template is indexed by its ``rare_words`` highest-IDF words (over the
+    collection) plus the words of its key phrase; a base phrase by all its
+    words. A key phrase must stand in its text.
     """
-    entries = [p.split() for p, _ in phrases] + [t.text.split() for t in templates]
+    entries = [words_of(p) for p, _ in phrases] + [words_of(t.text) for t in templates]
     df = Counter(w for e in entries for w in set(e))
     idf = {w: math.log(1 + len(entries) / n) for w, n in df.items()}
     postings, targets = [], []
     for i, words in enumerate(entries):
         base = i < len(phrases)
-        key = words if base else templates[i - len(phrases)].key.split()
+        key = words if base else words_of(templates[i - len(phrases)].key)
         at = next(k for k in range(len(words)) if words[k:k + len(key)] == key)
         rare = set(sorted(range(len(words)), key=lambda k: (-idf[words[k]], k))[:rare_words])
         used = sorted(rare | set(range(at, at + len(key))))
         postings += [Posting(words[k], i, k, at <= k < at + len(key)) for k in used]
-        targets.append({"target": i, "label": phrases[i][1] if base else templates[i - len(phrases)].label,
-                        "base": base, "n_key": len(key)})
+        targets.append({"target": i, "label": phrases[i][1] if base else templates[i - len(phrases)].label, "base": base})
     return postings, targets
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   phrases: Sequence[tuple[str, str]] = BASE_PHRASES,
-                  templates: Sequence[Template] = TEMPLATES,
-                  min_share: float = 0.7, rare_words: int = 6) -> DataFrame:
-    """One row per input row: counts, places and labels of licence phrases and notices.
+                  templates: Sequence[Template] = TEMPLATES + WHOLE_TEXTS,
+                  min_share: float = 0.7, rare_words: int = 12) -> DataFrame:
+    """One row per input row: counts, places and labels of licence phrases, notices and texts.
 
     Returns ``id_col``, n_words, n_base, first_word, last_word, base_labels,
-    labels, score, places (array of target placements of the notices found,
-    by start). Null and empty texts have no words: zero counts, null places of
-    first and last word, empty label strings, score 0. Repeated rows are
-    judged one by one; other columns are ignored. ``score`` is 1 where a base
-    phrase stands, else the best IDF share of a reported notice, else 0.
+    labels, score, places (array of the targets found, by start). Null and
+    empty texts have no words: zero counts, null places of first and last
+    word, empty label strings, score 0. Repeated rows are judged one by one;
+    other columns are ignored. ``score`` is 1 where a base phrase stands, else
+    the best IDF share of a reported target, else 0. A word's IDF is
+    ln(1 + files / files that hold it).
     """
     spark = docs.sparkSession
     postings, targets = build_index(phrases, templates, rare_words)
@@ -124,32 +171,37 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         F.monotonically_increasing_id().alias("rid"), "id", F.size("w").cast("long").alias("n_words"),
         F.filter(F.transform("w", hit), lambda x: x.isNotNull()).alias("hits")), "license-hits")
 
-    flat = hits.select("rid", F.explode("hits").alias("h")).select("rid", "h.pos", "h.word")
     # IDF over all files; one row per indexed word (the index is a constant of this module's size)
     n_docs = hits.count()
-    df = flat.groupBy("word", "rid").agg(F.lit(1).alias("one")).groupBy("word").count()
-    weight = {r["word"]: r["w"] for r in df.select(
-        "word", F.log(1 + F.lit(n_docs) / F.col("count")).alias("w")).collect()}
+    df = hits.select(F.explode(F.array_distinct(F.transform("hits", lambda h: h["word"]))).alias("word")).groupBy("word").count()
+    seen = {r["word"]: r["count"] for r in df.collect()}
+    idf = {w: math.log(1 + n_docs / seen[w]) if w in seen else 1.0 for w in vocabulary}
+    rows, most = [], 1
+    for t in targets:
+        own = [p for p in postings if p.target == t["target"]]
+        anchor = max((p for p in own if p.key), key=lambda p: (idf[p.word], -p.rel))
+        most = max(most, max(p.rel for p in own) + 1)
+        rows.append((anchor.word, anchor.rel, t["label"], t["base"], sum(idf[p.word] for p in own),
+                     [(p.rel, p.word, p.key, idf[p.word]) for p in own]))
     index = F.broadcast(spark.createDataFrame(
-        [(p.word, p.target, p.rel, p.key, float(weight.get(p.word, 1.0))) for p in postings],
-        "word string, target int, rel int, key boolean, idf double"))
-    full = {}
-    for p in postings:
-        full[p.target] = full.get(p.target, 0.0) + float(weight.get(p.word, 1.0))
-    notices = F.broadcast(spark.createDataFrame(
-        [(t["target"], t["label"], t["base"], t["n_key"], full[t["target"]]) for t in targets],
-        "target int, label string, base boolean, n_key int, full double"))
-
-    placed = (flat.join(index, "word")
-              .groupBy("rid", "target", (F.col("pos") - F.col("rel")).alias("start"))
-              .agg(F.sum(F.col("key").cast("int")).alias("n_key_found"), F.sum("idf").alias("found"))
-              .join(notices, "target")
-              .where("n_key_found = n_key")
-              .withColumn("share", F.least(F.lit(1.0), F.col("found") / F.col("full")))
-              .where(F.col("base") | (F.col("share") >= min_share)))
-    # a copy of a notice inside one file adds nothing new: per file at most one row per target survives
-    best = (placed.groupBy("rid", "target", "label", "base")
-            .agg(F.count(F.lit(1)).alias("n"), F.min("start").alias("lo"), F.max("start").alias("hi"), F.max("share").alias("share")))
+        rows, "anchor string, at int, label string, base boolean, whole double, "
+              "postings array<struct<rel: int, word: string, key: boolean, idf: double>>"))
+    anchors = sorted({r[0] for r in rows})
+
+    # a file's anchors, each with the hits around it: every word is at most one hit, so they lie among its neighbours
+    found = hits.where(F.exists("hits", lambda h: h["word"].isin(anchors)))
+    looked = (found.select("rid", "hits", F.posexplode("hits").alias("i", "h")).where(F.col("h.word").isin(anchors))
+              .select("rid", F.col("h.word").alias("anchor"), F.col("h.pos").alias("pos"), F.filter(
+                  F.slice("hits", F.greatest(F.lit(1), F.col("i") + 1 - most), F.lit(2 * most + 1)),
+                  lambda x: F.abs(x["pos"] - F.col("h.pos")) <= most).alias("near")))
+    placed = looked.join(index, "anchor").withColumn("start", F.col("pos") - F.col("at")).where("start >= 0")
+    stands = lambda p: F.exists("near", lambda x: (x["pos"] == F.col("start") + p["rel"]) & (x["word"] == p["word"]))
+    placed = placed.where(F.forall("postings", lambda p: ~p["key"] | stands(p)))
+    share = F.aggregate("postings", F.lit(0.0), lambda acc, p: acc + F.when(stands(p), p["idf"]).otherwise(0.0)) / F.col("whole")
+    best = (placed.select("rid", "label", "base", "start", F.least(F.lit(1.0), share).alias("share"))
+            .where(F.col("base") | (F.col("share") >= min_share))
+            .groupBy("rid", "label", "base").agg(F.count(F.lit(1)).alias("n"), F.min("start").alias("lo"), F.max("start").alias("hi"),
+                                                 F.max("share").alias("share")))
     base = F.col("base")
     per_file = best.groupBy("rid").agg(
         F.sum(F.when(base, F.col("n"))).alias("n_base"),
