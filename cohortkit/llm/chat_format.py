@@ -1,14 +1,16 @@
 """Chat formatting into budgeted, turn-aligned windows.
 
-Turn tokens are prefix-summed per conversation (in two levels, so one long
-conversation is not summed by one task) and the sums alone choose the spans:
-a turn below half the target budget joins the window of the half-budget bucket
-its end falls into, a larger turn is a window of its own. Two small turns of
-one bucket start less than a full budget apart, so every span keeps to the
-budget unless a single turn exceeds it, and no sequential scan is needed.
-A window is the system turn, then earlier turns that start at most
-``history`` tokens before the span (context, no loss), then the span's turns,
-of which assistant texts are the loss mask: each exactly once.
+A conversation is cut into blocks of turn numbers and a block's texts are
+shuffled once, to one place; everything else happens there. Turn tokens are
+prefix-summed inside the block and the sums alone choose the spans: a turn
+below half the target budget joins the window of the half-budget bucket its
+end falls into, a larger turn is a window of its own. Two small turns of one
+bucket start less than a full budget apart, so every span keeps to the budget
+unless a single turn exceeds it, and no sequential scan is needed. A window is
+the system turn, then earlier turns that start at most ``history`` tokens
+before the span (context, no loss), then the span's turns, of which assistant
+texts are the loss mask: each exactly once. The system turn and the last turns
+of a block reach later blocks by a small table, one row per block.
 
 Template: ``### role:\\n`` text ``</turn>\\n``. Inside texts and roles a
 backslash and the control strings are replaced by backslash codes, so the
@@ -20,8 +22,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortkit.llm.common import stage
-
 HEAD, SEP, END = "### ", ":\n", "</turn>\n"
 # Control strings and their codes; the backslash comes first when escaping and last when reading.
 CODES = (("\\", "\\b"), ("</turn>", "\\e"), ("### ", "\\h"))
@@ -48,58 +48,63 @@ def turn_tokens(text):
 
 def format_windows(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
                    text_col: str = "text", budget: int = 2048, history: int = 256, block: int = 128) -> DataFrame:
-    """One row per window: ``conv_col``, window (ordering position), text, n_context,
+    """One row per window: ``conv_col``, block and window (together its ordering position), text, n_context,
     n_targets, n_tokens, loss (array of 1-based start and length in ``text``).
 
     Half of ``budget`` is for a window's own turns, ``history`` for repeated
     ones, the rest for the system turn. Turns are ordered by turn, role and
-    text; ties and repeated rows are all kept. A null text or role is empty, a
-    null turn comes first, a null conversation id is one conversation. A
-    conversation's system turn is its first turn if the role is 'system'.
-    Other columns are ignored.
+    text; ties and repeated rows are all kept. ``block`` turn numbers make a
+    block, and history reaches back one block at most. A null text or role is
+    empty, a null turn comes first, a null conversation id is one
+    conversation. A conversation's system turn is its first turn if the role
+    is 'system'. Other columns are ignored.
     """
-    target = budget // 2
-    half = target // 2
+    half = budget // 4
     raw = turns.select(
-        F.col(conv_col).alias("conv"), F.col(conv_col).isNull().alias("noconv"), F.col(turn_col).cast("long").alias("turn"),
+        F.coalesce(F.col(conv_col), F.lit(0)).alias("conv"), F.col(conv_col).isNull().alias("noconv"), F.col(turn_col).cast("long").alias("turn"),
         F.coalesce(F.col(role_col).cast("string"), F.lit("")).alias("role"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    raw = raw.withColumn("conv", F.coalesce("conv", F.lit(0))).withColumn(
-        "blk", F.coalesce(F.floor(F.col("turn") / block), F.lit(-(1 << 62)))).withColumn("cost", turn_tokens(F.col("text")))
+    raw = raw.withColumn("blk", F.coalesce(F.floor(F.col("turn") / block), F.lit(-(1 << 62))))
     conv = ["noconv", "conv"]
-    # level 1: inside a block of turn numbers; level 2: over the blocks' totals, one small row each
-    inside = Window.partitionBy(*conv, "blk").orderBy("turn", "role", "text").rowsBetween(Window.unboundedPreceding, 0)
-    across = Window.partitionBy(*conv).orderBy("blk").rowsBetween(Window.unboundedPreceding, -1)
-    rows = raw.withColumn("upto", F.sum("cost").over(inside))
-    blocks = (raw.groupBy(*conv, "blk").agg(F.sum("cost").alias("total"))
-              .select(*conv, "blk", F.coalesce(F.sum("total").over(across), F.lit(0)).alias("before")))
-    placed = (rows.join(blocks, [*conv, "blk"])
-              .withColumn("end", F.col("before") + F.col("upto"))
+    here = [*conv, "blk"]
+    # the blocks of a conversation in order: small rows without texts
+    ordered = Window.partitionBy(*conv).orderBy("blk")
+    blocks = raw.select(*here).distinct().select(*here, F.lag("blk").over(ordered).alias("before"), F.lead("blk").over(ordered).alias("after"))
+
+    inside = Window.partitionBy(*here).orderBy("turn", "role", "text")
+    placed = (raw.withColumn("cost", turn_tokens(F.col("text")))
+              .withColumn("end", F.sum("cost").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
               .withColumn("start", F.col("end") - F.col("cost"))
-              .withColumn("big", F.col("cost") >= half)
-              .withColumn("bucket", F.floor((F.col("end") - 1) / half))
-              .select(*conv, "start", "end", "big", "bucket", "role", "text"))
-    placed = stage(placed, "chat-turns")
-
-    spans = (placed.groupBy(*conv, "bucket", "big").agg(F.min("start").alias("window")))
-    targets = placed.join(spans, [*conv, "bucket", "big"]).select(*conv, "window", "start", "end", "role", "text", F.lit(2).alias("part"))
-    system = placed.where("start = 0 and role = 'system'").select(*conv, "start", "end", "role", "text")
-    # a turn is context of the windows that start within `history` tokens of its own start: bins of that width, two per turn
-    near = placed.select("*", F.explode(F.array(
-        F.floor(F.col("start") / history), F.floor(F.col("start") / history) + 1)).alias("bin"))
-    starts = spans.select(*conv, "window", F.floor(F.col("window") / history).alias("bin"))
-    past = (near.join(starts, [*conv, "bin"])
-            .where((F.col("end") <= F.col("window")) & (F.col("window") - F.col("start") <= history)
-                   & ~((F.col("start") == 0) & (F.col("role") == "system")))
-            .select(*conv, "window", "start", "end", "role", "text", F.lit(1).alias("part")))
-    first = (spans.select(*conv, "window").where("window > 0").join(system, conv)
-             .select(*conv, "window", "start", "end", "role", "text", F.lit(0).alias("part")))
-    parts = first.unionByName(past).unionByName(targets)
-    by_window = (parts.groupBy(*conv, "window")
-                 .agg(F.array_sort(F.collect_list(F.struct("part", "start", "end", "role", "text"))).alias("t")))
-    rendered = by_window.select(
-        *conv, "window", "t",
-        F.transform("t", lambda x: F.concat(F.lit(HEAD), escape(x["role"], ROLE_CODES), F.lit(SEP))).alias("heads"),
+              .withColumn("group", F.struct(F.floor((F.col("end") - 1) / half).alias("bucket"), (F.col("cost") >= half).alias("big")))
+              .withColumn("turn_", F.struct("start", "cost", "role", "text")))
+    along = Window.partitionBy(*here).orderBy("start")
+    opens = F.coalesce(F.lag("group").over(along) != F.col("group"), F.lit(True))
+    near = F.collect_list("turn_").over(along.rangeBetween(-history, -1))
+    spans = (placed.withColumn("past", F.when(opens, near)).groupBy(*here, "group")
+             .agg(F.min("start").alias("window"), F.first("past", ignorenulls=True).alias("past"), F.array_sort(F.collect_list("turn_")).alias("own")))
+
+    # what a block takes over: its conversation's system turn, and the last turns of the block before
+    total = F.sum("cost").over(Window.partitionBy(*here))
+    last = (placed.select(*here, "turn_", (total - F.col("start")).alias("back")).where(F.col("back") <= history)
+            .join(blocks.where("after is not null").select(*here, "after"), here)
+            .groupBy(*conv, F.col("after").alias("blk")).agg(F.array_sort(F.collect_list(F.struct(
+                (-F.col("back")).alias("start"), F.col("turn_.cost").alias("cost"), F.col("turn_.role").alias("role"), F.col("turn_.text").alias("text")))).alias("tail")))
+    heads = (placed.where("start = 0 and role = 'system'").join(blocks.where("before is null").select(*here), here, "left_semi")
+             .select(*conv, F.col("turn_").alias("system")))
+    brought = (blocks.select(*here, F.col("before").isNull().alias("leads")).join(heads, conv, "left").join(last, here, "left")
+               .where("system is not null or tail is not null"))
+
+    none = F.array().cast(spans.schema["past"].dataType)
+    told = spans.join(brought, here, "left")
+    leads = F.coalesce("leads", F.lit(False))
+    is_head = F.coalesce(F.col("window") == 0, F.lit(False)) & leads & F.col("system").isNotNull()
+    system = F.when(F.col("system").isNotNull() & ~is_head, F.array("system")).otherwise(none)
+    tail = F.filter(F.coalesce("tail", none), lambda x: F.col("window") - x["start"] <= history)
+    past = F.filter(F.coalesce("past", none), lambda x: ~(leads & F.col("system").isNotNull() & (x["start"] == 0)))
+    shown = told.select(*here, "window", F.concat(system, tail, past).alias("context"), "own").select(
+        *here, "window", F.size("context").alias("n_context"), F.size("own").alias("n_targets"), F.concat("context", "own").alias("t"))
+    rendered = shown.select(
+        "*", F.transform("t", lambda x: F.concat(F.lit(HEAD), escape(x["role"], ROLE_CODES), F.lit(SEP))).alias("heads"),
         F.transform("t", lambda x: escape(x["text"])).alias("bodies"))
     sizes = rendered.select("*", F.transform(F.arrays_zip("heads", "bodies"), lambda z: (
         F.length(z["heads"]) + F.length(z["bodies"]) + len(END)).cast("long")).alias("sizes"))
@@ -107,16 +112,13 @@ def format_windows(turns: DataFrame, conv_col: str = "conv_id", turn_col: str =
         "*", F.aggregate("sizes", F.array(F.lit(1).cast("long")),
                          lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n))).alias("at"))
     loss = F.filter(F.transform("t", lambda x, i: F.when(
-        (x["part"] == 2) & (x["role"] == "assistant"),
+        (i >= F.col("n_context")) & (x["role"] == "assistant"),
         F.struct((F.get("at", i) + F.length(F.get("heads", i))).alias("start"),
                  F.length(F.get("bodies", i)).cast("long").alias("length")))), lambda s: s.isNotNull())
     return spanned.select(
-        F.when(~F.col("noconv"), F.col("conv")).alias(conv_col), "window",
+        F.when(~F.col("noconv"), F.col("conv")).alias(conv_col), F.col("blk").alias("block"), "window",
         F.array_join(F.transform(F.arrays_zip("heads", "bodies"), lambda z: F.concat(z["heads"], z["bodies"], F.lit(END))), "").alias("text"),
-        F.size(F.filter("t", lambda x: x["part"] < 2)).alias("n_context"),
-        F.size(F.filter("t", lambda x: x["part"] == 2)).alias("n_targets"),
-        F.aggregate("t", F.lit(0).cast("long"), lambda a, x: a + x["end"] - x["start"]).alias("n_tokens"),
-        loss.alias("loss"))
+        "n_context", "n_targets", F.aggregate("t", F.lit(0).cast("long"), lambda a, x: a + x["cost"]).alias("n_tokens"), loss.alias("loss"))
 
 
 def read_windows(windows: DataFrame, conv_col: str = "conv_id") -> DataFrame:
@@ -130,22 +132,27 @@ def read_windows(windows: DataFrame, conv_col: str = "conv_id") -> DataFrame:
                         unescape(F.substr(turn, at + len(SEP))).alias("text"))
 
     return windows.select(
-        conv_col, "window", F.length("text").cast("long").alias("chars"),
+        conv_col, "block", "window", F.length("text").cast("long").alias("chars"),
         F.transform(own, parsed).alias("turns"),
         F.transform("loss", lambda s: unescape(F.substr(F.col("text"), s["start"].cast("int"), s["length"].cast("int")))).alias("loss_texts"))
 
 
 def conversation_digests(windows: DataFrame, conv_col: str = "conv_id") -> DataFrame:
-    """Per conversation: turns and loss texts read back from its windows, as counts and SHA-256 digests."""
-    read = read_windows(windows, conv_col).select(
-        conv_col, "window", "chars", F.size("turns").alias("n"),
-        F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "").alias("said"),
-        F.array_join("loss_texts", "").alias("lost"))
+    """Per conversation: turns and loss texts read back from its windows, as counts and SHA-256 digests.
+
+    A digest runs over a whole conversation, which therefore meets in one row.
+    Its turns are moved once: texts under the loss mask travel beside them
+    only where they are not those of the assistant's turns.
+    """
+    held = F.array_join(F.transform(F.filter("turns", lambda t: t["role"] == "assistant"), lambda t: t["text"]), "")
+    masked = F.array_join("loss_texts", "")
+    read = read_windows(windows, conv_col).select(conv_col, "block", "window", "chars", "turns", F.when(masked != held, masked).alias("other"))
     both = read.groupBy(conv_col).agg(
-        F.sum("n").cast("long").alias("n_turns"), F.sum("chars").alias("formatted_chars"),
-        F.array_sort(F.collect_list(F.struct("window", "said", "lost"))).alias("w"))
-    lost = F.array_join(F.transform("w", lambda x: x["lost"]), "")
+        F.sum(F.size("turns")).cast("long").alias("n_turns"), F.sum("chars").alias("formatted_chars"),
+        F.array_sort(F.collect_list(F.struct("block", "window", "turns", "other"))).alias("w"))
+    said = lambda x: F.array_join(F.transform(x["turns"], lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    own = lambda x: F.array_join(F.transform(F.filter(x["turns"], lambda t: t["role"] == "assistant"), lambda t: t["text"]), "")
+    lost = F.array_join(F.transform("w", lambda x: F.coalesce(x["other"], own(x))), "")
     return both.select(
-        conv_col, "n_turns",
-        F.sha2(F.array_join(F.transform("w", lambda x: x["said"]), ""), 256).alias("turns_sha256"),
+        conv_col, "n_turns", F.sha2(F.array_join(F.transform("w", said), ""), 256).alias("turns_sha256"),
         F.length(lost).cast("long").alias("loss_chars"), F.sha2(lost, 256).alias("loss_sha256"), "formatted_chars")
