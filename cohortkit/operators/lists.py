@@ -101,6 +101,16 @@ def ordered_chunks(df: DataFrame, keys: Sequence[str] | str, value: str, order:
     return grouped.select(*keys, "chunk", F.transform("__l", lambda x: x[value]).alias(name))
 
 
+def distinct_chunks(df: DataFrame, keys: Sequence[str] | str, value: str, size: int, name: str = "items") -> DataFrame:
+    """Distinct non-null values per key, sorted, as consecutive lists of at most ``size`` values.
+
+    :func:`distinct_sorted_list` without an unbounded row: pairs are made
+    distinct by a partial aggregate, then cut as in :func:`ordered_chunks`.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    return ordered_chunks(df.where(F.col(value).isNotNull()).select(*keys, value).distinct(), keys, value, [], size, name)
+
+
 def chunked_text(df: DataFrame, keys: Sequence[str] | str, text: str, order: Sequence[str], size: int,
                  sep: str = " ", name: str = "text") -> DataFrame:
     """Texts per key joined by ``sep`` in ``order``, ``size`` texts per output row (see ``ordered_chunks``)."""

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from cohortkit.functions.scalar import pad_array
 from cohortkit.operators.cohort import first_per_key, top_k_keys
 from cohortkit.operators.features import global_index, label_index, minmax_scale, per_class
-from cohortkit.operators.lists import (chunked_text, count_vector, distinct_sorted_list, multi_hot_inverse as multi_hot_lists,
+from cohortkit.operators.lists import (chunked_text, count_vector, distinct_chunks, distinct_sorted_list, multi_hot_inverse as multi_hot_lists,
                                        ordered_chunks)
 from cohortkit.plans.standins import StandIns
 
@@ -61,6 +61,21 @@ SQL["items_per_patient"] = f"""WITH {_ITEMS_SQL}
 SELECT o_custkey, list_sort(list_distinct(list(p_name))) AS items FROM r WHERE p_name IS NOT NULL GROUP BY o_custkey"""
 
 
+DISTINCT_CHUNK = 16
+
+
+def distinct_item_chunks(spark: SparkSession, base: str) -> DataFrame:
+    """Distinct items per patient, sorted, in chunks of DISTINCT_CHUNK (no row grows with the item vocabulary)."""
+    r = _patient_items(StandIns(spark, base))
+    return distinct_chunks(r, "o_custkey", "p_name", DISTINCT_CHUNK)
+
+
+SQL["distinct_item_chunks"] = f"""WITH {_ITEMS_SQL},
+  d AS (SELECT DISTINCT o_custkey, p_name FROM r WHERE p_name IS NOT NULL),
+  n AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY p_name) - 1 AS pos FROM d)
+SELECT o_custkey, CAST(floor(pos / {DISTINCT_CHUNK}) AS BIGINT) AS chunk, list(p_name ORDER BY pos) AS items FROM n GROUP BY o_custkey, chunk"""
+
+
 def exploded_topk(spark: SparkSession, base: str) -> DataFrame:
     """The 20 most frequent items over all patients' lists (counted as rows: a list holds each of its rows once)."""
     items = _patient_items(StandIns(spark, base)).where("p_name IS NOT NULL")
@@ -275,6 +290,7 @@ SELECT p_partkey, raw, trim(raw) AS name FROM p
 QUERIES = {
     "collect_sequences": collect_sequences,
     "items_per_patient": items_per_patient,
+    "distinct_item_chunks": distinct_item_chunks,
     "exploded_topk": exploded_topk,
     "concat_notes": concat_notes,
     "first_admission": first_admission,

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import time
 import uuid
 from collections.abc import Sequence
 
@@ -103,6 +104,24 @@ def stage_path(spark: SparkSession, name: str) -> str:
     return f"{base}/cohortkit-stages/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def drop_old_stages(spark: SparkSession, hours: float = 24.0) -> int:
+    """Delete unnamed stages last changed more than ``hours`` ago; returns how many.
+
+    A stage has to outlive the DataFrames that read it, which only the caller
+    knows; a scheduled job calls this with more hours than its longest run.
+    Named stages (``materialize`` with a path) and streams are left alone.
+    """
+    fs, folder = _folder(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/cohortkit-stages")
+    if not fs.exists(folder):
+        return 0
+    oldest = time.time() * 1000 - hours * 3_600_000
+    gone = [c.getPath() for c in fs.listStatus(folder)
+            if re.search("-[0-9a-f]{12}$", c.getPath().getName()) and c.getModificationTime() < oldest]
+    for path in gone:
+        fs.delete(path, True)
+    return len(gone)
+
+
 def _folder(spark: SparkSession, path: str):
     """(Hadoop file system, path) of ``path``."""
     hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

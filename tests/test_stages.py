@@ -89,3 +89,13 @@ def test_the_key_loads_its_stage(spark):
     base = "/root/testdata/sf0.001"
     first = materialize_stage(spark, base).inputFiles()
     assert sorted(materialize_stage(spark, base).inputFiles()) == sorted(first)
+
+
+def test_old_unnamed_stages_are_dropped(spark):
+    kept = io.materialize(spark.range(3).toDF("a"), name="young")
+    old = io.materialize(spark.range(3).toDF("a"), name="old")
+    path = os.path.dirname(old.inputFiles()[0].removeprefix("file://"))
+    past = time.time() - 100 * 3600
+    os.utime(path, (past, past))
+    assert io.drop_old_stages(spark, hours=48) >= 1
+    assert not os.path.exists(path) and kept.count() == 3
