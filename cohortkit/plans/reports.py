@@ -372,19 +372,17 @@ def comorbidity_buckets(spark: SparkSession, base: str, k: int = 10) -> DataFram
     other = lines.join(parts, F.col("l_partkey") == F.col("p_partkey")) \
         .where(~F.col("p_name").startswith(COHORT_PREFIX)) \
         .join(adm, F.col("l_orderkey") == F.col("o_orderkey"))
-    other = semi_join(other, cohort_pat, "o_custkey") \
-        .select(F.col("p_name").alias("comorbidity"), "o_custkey",
-                F.when(F.col("p_size") < WEIGHT_BANDS[1], F.lit(WEIGHT_BANDS[0]))
-                .when(F.col("p_size") >= WEIGHT_BANDS[-1], F.lit(WEIGHT_BANDS[-1]))
-                .otherwise(bucket_floor("p_size", 10)).cast("long").alias("band")).distinct()
-    totals = other.groupBy("comorbidity").agg(F.countDistinct("o_custkey").alias("patient_count"))
-    top = totals.orderBy(F.desc("patient_count"), F.asc("comorbidity")).limit(k)
-    bands = distinct_pivot_counts(other.join(F.broadcast(top.select("comorbidity")), "comorbidity", "left_semi"),
-                                  ["comorbidity"], "band", list(WEIGHT_BANDS), "o_custkey",
-                                  [f"band_{b}" for b in WEIGHT_BANDS])
-    return top.join(bands, "comorbidity", "left").select(
-        "comorbidity", "patient_count", *[F.coalesce(F.col(f"band_{b}"), F.lit(0)).alias(f"band_{b}")
-                                          for b in WEIGHT_BANDS])
+    size = F.col("p_size")
+    inside = [(size < hi if lo == WEIGHT_BANDS[0] else size >= lo) & (F.lit(True) if hi is None else size < hi)
+              for lo, hi in zip(WEIGHT_BANDS, (*WEIGHT_BANDS[1:], None), strict=True)]
+    # one row per patient and code, with a bit for each band met: patients and bands are counted in one pass
+    held = sum((F.when(c, F.lit(1 << i)).otherwise(F.lit(0)) for i, c in enumerate(inside)), F.lit(0))
+    per = (semi_join(other, cohort_pat, "o_custkey").groupBy(F.col("p_name").alias("comorbidity"), "o_custkey")
+           .agg(F.bit_or(held).alias("bands")))
+    return per.groupBy("comorbidity").agg(
+        F.count("o_custkey").alias("patient_count"),
+        *[F.count_if(F.col("bands").bitwiseAND(F.lit(1 << i)) != 0).alias(f"band_{b}") for i, b in enumerate(WEIGHT_BANDS)]) \
+        .orderBy(F.desc("patient_count"), F.asc("comorbidity")).limit(k)
 
 
 SQL["comorbidity_buckets"] = """
