@@ -34,9 +34,9 @@ MLP_LAYERS = (64, 64, 64, 10)
 BATCHES = 4
 LOG_STEP, LOG_TOL, LOG_EPOCHS = 1.0, 1e-3, 2000
 CURVE_HIDDEN, CURVE_STEP, CURVE_EPOCHS = (64, 64), 0.005, 10
-LABEL_STEP, LABEL_EPOCHS = 0.05, 15
+LABEL_STEP, LABEL_EPOCHS = 0.05, 10
 # long boosting: rounds of the registered keys, rounds between checkpoints, rounds without a better test error
-BOOST_ROUNDS, BOOST_INTERVAL, BOOST_PATIENCE = 20, 10, 500
+BOOST_ROUNDS, BOOST_INTERVAL, BOOST_PATIENCE = 10, 5, 500
 
 
 def _embeddings(spark: SparkSession, base: str):
@@ -312,3 +312,6 @@ QUERIES = {
     "multilabel_learned": multilabel_learned,
     "rank_compare_learned": rank_compare_learned,
 }
+
+#: Keys that fit no model.
+UNFITTED = {"note_features", "note_vectors"}
