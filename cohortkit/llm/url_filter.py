@@ -48,7 +48,7 @@ def rest_of(url):
 def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
                 rules: Sequence[tuple[str, str, str]] = RULES,
                 blocked_words: Sequence[str] = BLOCKED_WORDS, default: str = "allow",
-                prefix_hex: int = 8) -> DataFrame:
+                prefix_hex: int = 8, sent: int = 100_000) -> DataFrame:
     """One row per input row: ``id_col``, host, path, rule, verdict, by.
 
     A rule fits its host and all subdomains if the path starts with the
@@ -58,7 +58,9 @@ def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     fitting rule, rule is null and the method decides (``by`` says 'word' or
     'default'). Repeated rows are judged one by one; other columns are
     ignored. ``rules`` may be long: only distinct path lengths and the
-    largest label count are taken from it.
+    largest label count are taken from it. Up to ``sent`` rules and words
+    (some 20 MB) go to every task, so that no expression is shuffled; a longer
+    list meets the expressions in a merge join.
     """
     spark = pages.sparkSession
     listed = {}
@@ -76,6 +78,7 @@ def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     table = (table.withColumn("full", digest(F.col("kind"), F.col("host"), F.col("path")))
              .select(F.substring("full", 1, prefix_hex).alias("short"), F.col("full").alias("r_full"),
                      F.concat("host", "path").alias("rule"), "verdict"))
+    table = F.broadcast(table) if len(listed) + len(blocked_words) <= sent else table.hint("merge")
 
     url = F.coalesce(F.col(url_col).cast("string"), F.lit(""))
     seen = pages.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("id"),

@@ -101,8 +101,10 @@ def test_urls(spark):
         bad = set(re.split(r"[.\-]", host)) & set(url_filter.BLOCKED_WORDS)
         return host, path, rule, verdict or ("block" if bad else "allow")
 
-    got = by_key(url_filter.filter_urls(pages, prefix_hex=1), "page_id", "host", "path", "rule", "verdict")
-    assert got == Counter({(i, *brute(u)): 2 for i, u in enumerate(urls)})
+    for sent in (100_000, 0):                            # rules in every task, or met in a merge join
+        out = url_filter.filter_urls(pages, prefix_hex=1, sent=sent)
+        assert by_key(out, "page_id", "host", "path", "rule", "verdict") == Counter({(i, *brute(u)): 2 for i, u in enumerate(urls)})
+        assert ("BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()) == (sent > 0)
 
 
 def test_chat_round_trip(spark):
