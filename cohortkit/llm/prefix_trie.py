@@ -132,7 +132,7 @@ def sketch(rows: DataFrame, depth: int, width: int) -> np.ndarray:
     added = parts.repartition("k").sortWithinPartitions("k").mapInArrow(add, "k bigint, block binary")
     out = np.zeros((depth, width), dtype=np.uint8)
     blocks = out.reshape(-1, min(BLOCK, width))
-    for r in added.toLocalIterator():
+    for r in added.collect():
         blocks[r["k"]] = np.frombuffer(r["block"], dtype=np.uint8)
     return out
 
