@@ -19,7 +19,7 @@ def tokenizer_file(name: str) -> str:
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan_licenses(read_docs(spark, sf_dir)).drop("places")
+    return licenses.scan_licenses(read_docs(spark, sf_dir)).drop("places").withColumn("score", F.round("score", 6))
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,8 +100,34 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_line_dedup": op13_line_dedup,
 }
 
+def _license_sql() -> str:
+    """Every posting at every place: the key phrase must stand, the IDF found decides."""
+    postings, targets = licenses.build_index(licenses.BASE_PHRASES, licenses.TEMPLATES + licenses.WHOLE_TEXTS)
+    values = ", ".join(f"('{p.word}', {p.target}, {p.rel}, {int(p.key)})" for p in postings)
+    named = ", ".join(f"({t['target']}, '{t['label']}', {t['base']})" for t in targets)
+    return rf"""
+WITH post(word, target, rel, key) AS (VALUES {values}), named(target, label, base) AS (VALUES {named}),
+d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+w AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) - 1 AS pos FROM d),
+idf AS (SELECT v.word, coalesce(ln(1 + (SELECT count(*) FROM d) / nullif(count(DISTINCT doc_id), 0)), 1.0) AS idf
+        FROM (SELECT DISTINCT word FROM post) v LEFT JOIN w ON w.word = v.word GROUP BY v.word),
+whole AS (SELECT target, sum(idf) AS whole, sum(key) AS n_key FROM post JOIN idf ON post.word = idf.word GROUP BY target),
+hit AS (SELECT doc_id, target, pos - rel AS start, sum(key) AS n, sum(idf) AS found
+        FROM w JOIN post ON w.word = post.word JOIN idf ON idf.word = w.word GROUP BY doc_id, target, pos - rel),
+place AS (SELECT doc_id, label, base, start, least(1.0, found / whole) AS share
+          FROM hit JOIN whole ON hit.target = whole.target AND n = n_key JOIN named ON named.target = hit.target
+          WHERE start >= 0 AND (base OR found / whole >= 0.7))
+SELECT d.doc_id, CAST(any_value(len(ws)) AS BIGINT) AS n_words, count(*) FILTER (WHERE base) AS n_base, min(start) FILTER (WHERE base) AS first_word,
+       max(start) FILTER (WHERE base) AS last_word, coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE base), '') AS base_labels,
+       coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') AS labels,
+       round(coalesce(max(CASE WHEN base THEN 1.0 ELSE share END), 0.0), 6) AS score
+FROM d LEFT JOIN place ON d.doc_id = place.doc_id GROUP BY d.doc_id"""
+
+
 # Oracles where SQL can express the whole result.
 SQL: dict[str, str] = {
+    "op1_license_scan": _license_sql(),
     "op2_exact_dedup": r"""
 WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
 SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
@@ -119,6 +145,44 @@ SELECT h.page_id, host, path, rule,
        coalesce(v, CASE WHEN list_has_any(string_split(replace(host, '-', '.'), '.'),
                                           ['casino', 'pills', 'porn', 'spam', 'viagra', 'xxx']) THEN 'block' ELSE 'allow' END) AS verdict
 FROM h LEFT JOIN best ON h.page_id = best.page_id""",
+    # spans by sums inside blocks of 128 turn numbers; what each window shows counts into formatted_chars
+    "op5_chat_format": r"""
+WITH raw AS (SELECT conv_id AS c, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations
+             UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')),
+cost AS (SELECT *, coalesce(floor(turn / 128), -4611686018427387904) AS blk,
+                len(regexp_extract_all(x, '\p{L}{1,6}|\p{N}{1,3}|[^\x20\x09-\x0D\p{L}\p{N}]')) + 6 AS cost,
+                14 + length(replace(replace(replace(x, '\', '\b'), '</turn>', '\e'), '### ', '\h'))
+                   + length(replace(replace(replace(replace(r, '\', '\b'), '</turn>', '\e'), '### ', '\h'), chr(10), '\n')) AS chars FROM raw),
+p AS (SELECT *, sum(cost) OVER (PARTITION BY c, blk ORDER BY turn NULLS FIRST, r, x ROWS UNBOUNDED PRECEDING) AS e,
+             sum(cost) OVER (PARTITION BY c, blk) AS total, dense_rank() OVER (PARTITION BY c ORDER BY blk) AS nth,
+             row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, r, x) AS k FROM cost),
+t AS (SELECT *, e - cost AS s, nth = 1 AND e = cost AND r = 'system' AS head FROM p),
+w AS (SELECT c, nth, min(s) AS w, sum(chars) AS chars FROM t GROUP BY c, nth, floor((e - 1) / 512), cost >= 512),
+shown AS (SELECT c, chars FROM w
+          UNION ALL SELECT w.c, t.chars FROM w JOIN t ON w.c = t.c AND w.nth = t.nth AND t.s < w.w AND w.w - t.s <= 256 AND NOT t.head
+          UNION ALL SELECT w.c, t.chars FROM w JOIN t ON w.c = t.c AND w.nth = t.nth + 1 AND w.w + t.total - t.s <= 256
+          UNION ALL SELECT w.c, t.chars FROM w JOIN t ON w.c = t.c AND t.head AND NOT (w.nth = 1 AND w.w = 0)),
+f AS (SELECT c, CAST(sum(chars) AS BIGINT) AS formatted_chars FROM shown GROUP BY c)
+SELECT t.c AS conv_id, count(*) AS n_turns, sha256(string_agg(r || chr(10) || x || chr(10), '' ORDER BY k)) AS turns_sha256,
+       CAST(coalesce(sum(length(x)) FILTER (WHERE r = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(x, '' ORDER BY k) FILTER (WHERE r = 'assistant'), '')) AS loss_sha256, any_value(formatted_chars) AS formatted_chars
+FROM t JOIN f ON t.c = f.c GROUP BY t.c""",
+    # all pairs that share a shingle, then everything that links reach
+    "op6_ngram_join": r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                       '[^\x20\x09-\x0D]+') AS ws FROM documents),
+w AS (SELECT doc_id, len(ws) AS n, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM d),
+g AS (SELECT doc_id, n, i, concat_ws(' ', word, lead(word, 1) OVER o, lead(word, 2) OVER o, lead(word, 3) OVER o) AS s
+      FROM w WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+sh AS (SELECT DISTINCT doc_id, s FROM g WHERE i <= greatest(n - 3, 1)),
+size AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+pair AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+link AS (SELECT a, b FROM pair JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b WHERE 100 * o >= 85 * (x.n + y.n - o)),
+edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach(v, r) AS (SELECT doc_id, doc_id FROM documents UNION SELECT v, b FROM reach JOIN edge ON r = a)
+SELECT documents.doc_id, coalesce(size.n, 0) AS n_shingles, c.component_id
+FROM documents LEFT JOIN size ON size.doc_id = documents.doc_id
+JOIN (SELECT v, min(r) AS component_id FROM reach GROUP BY v) c ON c.v = documents.doc_id""",
     # crc32 bit by bit, then every node with each of its ancestors
     "op11_prefix_trie": r"""
 WITH RECURSIVE crc(c, k, v) AS (
