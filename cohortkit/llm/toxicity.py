@@ -25,6 +25,8 @@ from cohortkit.llm.common import text_chunks
 from cohortkit.llm.labelled import fold_of, labelled_sample
 
 TOKEN = re.compile(r"[^\W\d_]+")
+#: Distinct tokens after which a task hands its counts on.
+TOKENS_HELD = 1 << 16
 
 
 def maximal_segments(at: list[int], gain: list[float], cost: float) -> list[tuple[float, int, int]]:
@@ -136,15 +138,23 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     rows = labelled_sample(docs, labels, label, folds, held_out, max_rows, id_col, text_col)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(token, toxic, clean) summed over each batch; the row without a token counts documents."""
+        """(token, toxic, clean) summed over runs of texts with some TOKENS_HELD tokens; the row without a token counts documents."""
+        by: dict[str, list[int]] = {}
+
+        def summed() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(list(by), pa.string()), pa.array([v[0] for v in by.values()], pa.int64()),
+                                               pa.array([v[1] for v in by.values()], pa.int64())], ["token", "toxic", "clean"])
+
         for b in batches:
-            ys, by = b.column("y").to_pylist(), {}
+            ys = b.column("y").to_pylist()
             for lo, _, texts in text_chunks(b, b.schema.get_field_index("text")):
                 for i, text in enumerate(texts):
                     for t in {"", *TOKEN.findall(text.lower())}:
                         by.setdefault(t, [0, 0])[ys[lo + i] <= 0] += 1
-            yield pa.RecordBatch.from_arrays([pa.array(list(by)), pa.array([v[0] for v in by.values()]),
-                                              pa.array([v[1] for v in by.values()])], ["token", "toxic", "clean"])
+                if len(by) > TOKENS_HELD:
+                    yield summed()
+                    by.clear()
+        yield summed()
 
     schema = "token string, toxic bigint, clean bigint"
     everywhere = (docs.select(F.col(text_col).cast("string").alias("text"), F.lit(0).alias("y")).mapInArrow(count, schema)

@@ -53,7 +53,9 @@ def corpus():
     return rows + [(500, None), (501, "vile nasty awful calm1"), (502, "")], labels
 
 
-def test_toxicity_equals_a_plain_version(spark):
+@pytest.mark.parametrize("held_tokens", [X.TOKENS_HELD, 7])
+def test_toxicity_equals_a_plain_version(spark, monkeypatch, held_tokens):
+    monkeypatch.setattr(X, "TOKENS_HELD", held_tokens)
     rows, labels = corpus()
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
