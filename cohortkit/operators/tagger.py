@@ -6,9 +6,9 @@ set that starts there is taken and matching goes on behind it; elsewhere it
 moves on by one word. Words are :func:`cohortkit.operators.text.tokens`, so a
 phrase is found whatever stands between its words.
 
-A dictionary up to a checked number of phrases is compiled into a trie (word
-by word, first words with the lengths that follow them) and sent to every
-task: a narrow map. A larger one is joined: word windows meet phrases by
+A dictionary up to a checked number of phrases is compiled into a trie of words
+and sent to every task, which walks all places of its texts down the trie
+together: a narrow map. A larger one is joined: word windows meet phrases by
 equality, the longest per start is kept, and only a document's own hits come
 together to be resolved. Both ways give the same rows.
 """
@@ -21,6 +21,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,7 +34,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Phrases that a compiled dictionary may have (some 20 MB in a task).
 COMPILED = 100_000
-HITS = "array<struct<tag_set: string, idx: int, label: string, start: int, n_words: int>>"
+HITS = "array<struct<tag_set: string, idx: int, label: string, start: int, n_words: int, entity: string>>"
 
 
 def normal_phrases(dictionary: DataFrame) -> DataFrame:
@@ -44,33 +45,64 @@ def normal_phrases(dictionary: DataFrame) -> DataFrame:
             .groupBy("tag_set", "phrase", "n_words").agg(F.min("label").alias("label")))
 
 
-def phrase_trie(entries: list[tuple[str, str]]) -> tuple[dict[str, list[int]], dict[str, str]]:
-    """The phrases (phrase, label) of one tag set: first word → lengths, longest first; phrase → label."""
-    lengths: dict[str, set[int]] = {}
-    for phrase, _ in entries:
-        words = phrase.split(" ")
-        lengths.setdefault(words[0], set()).add(len(words))
-    return {w: sorted(n, reverse=True) for w, n in lengths.items()}, dict(entries)
+def phrase_trie(entries: list[tuple[str, str]]) -> tuple[list[str], np.ndarray, np.ndarray, list[str | None]]:
+    """The phrases (phrase, label) of one tag set as a trie of words: (words, steps, nodes, label of each node).
 
-
-def trie_hits(words: list[str], lengths: dict[str, list[int]], labels: dict[str, str]) -> Iterator[tuple[str, int, int]]:
-    """(label, start, number of words) from left to right, without overlap."""
-    free = 0
-    for i, fit in enumerate(map(lengths.get, words)):
-        if fit and i >= free:
-            for n in fit:
-                label = labels.get(" ".join(words[i:i + n])) if i + n <= len(words) else None
-                if label is not None:
-                    yield label, i, n
-                    free = i + n
-                    break
-
-
-def _hits_array(found: list[list[tuple[str, int, str, int, int]]]) -> pa.ListArray:
+    A step is node × number of words + word; ``steps`` are sorted, ``nodes``
+    say where they lead. Node 0 is the root.
+    """
+    words = sorted({w for phrase, _ in entries for w in phrase.split(" ")})
+    number = {w: i for i, w in enumerate(words)}
+    steps: dict[int, int] = {}
+    labels: list[str | None] = [None]
+    for phrase, label in entries:
+        node = 0
+        for w in phrase.split(" "):
+            node = steps.setdefault(node * len(words) + number[w], len(labels))
+            if node == len(labels):
+                labels.append(None)
+        labels[node] = label
+    keys = np.array(sorted(steps), dtype=np.int64)
+    return words, keys, np.array([steps[k] for k in keys.tolist()], dtype=np.int64), labels
+
+
+def trie_hits(flat: pa.Array, edges: np.ndarray, words: list[str], steps: np.ndarray, nodes: np.ndarray,
+              labels: list[str | None]) -> Iterator[tuple[int, int, str, int, int]]:
+    """(text, index, label, start, number of words) from left to right, without overlap.
+
+    ``flat`` holds the words of several texts in a row, ``edges`` where each
+    text's begin and the last one's end. All places walk down the trie
+    together, a word at a time; the longest phrase that begins at a place counts.
+    """
+    word = np.asarray(pc.fill_null(pc.index_in(flat, value_set=pa.array(words, pa.string())), -1)).astype(np.int64)
+    ends = np.repeat(edges[1:], np.diff(edges))
+    longest, reached = np.zeros(len(word), np.int64), np.zeros(len(word), np.int64)
+    known = np.array([x is not None for x in labels])
+    at, node, k = np.arange(len(word)), np.zeros(len(word), np.int64), 0
+    while len(at):
+        inside = at + k < ends[at]
+        at, node = at[inside], node[inside]
+        step = node * len(words) + word[at + k]
+        spot = np.minimum(np.searchsorted(steps, step), len(steps) - 1)
+        on = (steps[spot] == step) & (word[at + k] >= 0)
+        at, node, k = at[on], nodes[spot[on]], k + 1
+        full = known[node]
+        longest[at[full]], reached[at[full]] = k, node[full]
+    starts = np.flatnonzero(longest)
+    texts = np.searchsorted(edges, starts, side="right") - 1
+    free, last, idx = 0, -1, 0
+    for i, text, n, node in zip(starts.tolist(), texts.tolist(), longest[starts].tolist(), reached[starts].tolist(), strict=True):
+        if i >= free:
+            idx = idx + 1 if text == last else 0
+            yield text, idx, labels[node], i - int(edges[text]), n
+            free, last = i + n, text
+
+
+def _hits_array(found: list[list[tuple[str, int, str, int, int, str]]]) -> pa.ListArray:
     edges = np.concatenate(([0], np.cumsum([len(f) for f in found]))).astype(np.int32)
-    parts = list(zip(*chain.from_iterable(found), strict=True)) or [[]] * 5
-    kinds = pa.string(), pa.int32(), pa.string(), pa.int32(), pa.int32()
-    rows = pa.StructArray.from_arrays([pa.array(p, k) for p, k in zip(parts, kinds, strict=True)], ["tag_set", "idx", "label", "start", "n_words"])
+    parts = list(zip(*chain.from_iterable(found), strict=True)) or [[]] * 6
+    kinds = pa.string(), pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.string()
+    rows = pa.StructArray.from_arrays([pa.array(p, k) for p, k in zip(parts, kinds, strict=True)], ["tag_set", "idx", "label", "start", "n_words", "entity"])
     return pa.ListArray.from_arrays(pa.array(edges), rows)
 
 
@@ -85,7 +117,16 @@ def _compiled(df: DataFrame, phrases: list) -> DataFrame:
     def hits(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tries = sent.value
         for part in parts:
-            yield _hits_array([[(name, k, *hit) for name, *trie in tries for k, hit in enumerate(trie_hits(words or [], *trie))] for words in part.to_pylist()])
+            found: list[list[tuple[str, int, str, int, int, str]]] = [[] for _ in range(len(part))]
+            edges = np.asarray(part.offsets).astype(np.int64)
+            flat = part.flatten()
+            words = flat.to_numpy(zero_copy_only=False)
+            edges -= edges[0]
+            for name, *trie in tries:
+                for text, idx, label, start, n in trie_hits(flat, edges, *trie):
+                    at = int(edges[text]) + start
+                    found[text].append((name, idx, label, start, n, " ".join(words[at:at + n])))
+            yield _hits_array(found)
 
     return df.withColumn("__hits", hits("__words"))
 
@@ -104,7 +145,7 @@ def _joined(df: DataFrame, phrases: DataFrame) -> DataFrame:
     all_windows = F.flatten(F.array_compact(F.array(*windows))) if windows else F.array().cast("array<struct<start:int,phrase:string>>")
     places = rows.select("__rid", F.explode(all_windows).alias("w")).select("__rid", (F.col("w.start") - 1).alias("start"), "w.phrase")
     met = places.join(phrases, "phrase").groupBy("__rid", "tag_set", "start").agg(
-        F.max(F.struct("n_words", "label")).alias("best"))
+        F.max(F.struct("n_words", "label", "phrase")).alias("best"))
 
     @F.arrow_udf(HITS)
     def resolve(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -115,13 +156,13 @@ def _joined(df: DataFrame, phrases: DataFrame) -> DataFrame:
                 for c in candidates or []:
                     name, idx, free = last if last[0] == c["tag_set"] else (c["tag_set"], 0, 0)
                     if c["start"] >= free:
-                        kept.append((name, idx, c["label"], c["start"], c["n_words"]))
+                        kept.append((name, idx, c["label"], c["start"], c["n_words"], c["phrase"]))
                         idx, free = idx + 1, c["start"] + c["n_words"]
                     last = (name, idx, free)
                 found.append(kept)
             yield _hits_array(found)
 
-    listed = met.groupBy("__rid").agg(F.array_sort(F.collect_list(F.struct("tag_set", "start", "best.label", "best.n_words"))).alias("__found"))
+    listed = met.groupBy("__rid").agg(F.array_sort(F.collect_list(F.struct("tag_set", "start", "best.label", "best.n_words", "best.phrase"))).alias("__found"))
     out = rows.join(listed, "__rid", "left")
     return out.withColumn("__hits", resolve("__found")).drop("__rid", "__found")
 
@@ -143,16 +184,14 @@ def tag_phrases(df: DataFrame, key: str, text: str, dictionary: DataFrame, compi
     dictionary is joined instead of sent to the tasks.
     """
     tagged = _tagged(df.select(F.col(key).alias("__key"), tokens(text).alias("__words")), dictionary, compiled)
-    named = F.transform("__hits", lambda h: F.struct(
-        *[h[c].alias(c) for c in ("tag_set", "idx", "label", "start", "n_words")],
-        F.array_join(F.slice("__words", h["start"] + 1, h["n_words"]), " ").alias("entity")))
-    return tagged.select(F.col("__key").alias(key), F.explode(named).alias("h")).select(key, "h.*")
+    # an outer explode: the inner one would first filter by the hits, and find them a second time for it
+    return tagged.select(F.col("__key").alias(key), F.explode_outer("__hits").alias("h")).where("h is not null").select(key, "h.*")
 
 
 def label_counts(df: DataFrame, text: str, dictionary: DataFrame, compiled: int = COMPILED) -> DataFrame:
     """(tag_set, label, n): how many matches each label has over all texts; labels without one are not listed."""
     tagged = _tagged(df.select(tokens(text).alias("__words")), dictionary, compiled)
-    return (tagged.select(F.explode("__hits").alias("h")).groupBy(F.col("h.tag_set").alias("tag_set"), F.col("h.label").alias("label"))
+    return (tagged.select(F.explode_outer("__hits").alias("h")).where("h is not null").groupBy(F.col("h.tag_set").alias("tag_set"), F.col("h.label").alias("label"))
             .agg(F.count(F.lit(1)).alias("n")))
 
 
@@ -160,5 +199,5 @@ def phrase_lists(df: DataFrame, key: str, text: str, dictionary: DataFrame, tag_
     """(key, entities): the matched phrases of one tag set of each row in order; an empty list where there is none."""
     own = dictionary.where(F.col("tag_set") == tag_set)
     tagged = _tagged(df.select(F.col(key).alias("__key"), tokens(text).alias("__words")), own, compiled)
-    listed = F.transform("__hits", lambda h: F.array_join(F.slice("__words", h["start"] + 1, h["n_words"]), " "))
+    listed = F.transform("__hits", lambda h: h["entity"])
     return tagged.select(F.col("__key").alias(key), F.coalesce(listed, F.array().cast("array<string>")).alias("entities"))
