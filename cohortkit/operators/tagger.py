@@ -34,6 +34,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Phrases that a compiled dictionary may have (some 20 MB in a task).
 COMPILED = 100_000
+#: Words, or places of phrases, that a task looks at together: its memory follows these, not the length of a batch.
+TOGETHER = 1 << 18
 HITS = "array<struct<tag_set: string, idx: int, label: string, start: int, n_words: int, entity: string>>"
 
 
@@ -45,8 +47,8 @@ def normal_phrases(dictionary: DataFrame) -> DataFrame:
             .groupBy("tag_set", "phrase", "n_words").agg(F.min("label").alias("label")))
 
 
-def phrase_trie(entries: list[tuple[str, str]]) -> tuple[list[str], np.ndarray, np.ndarray, list[str | None]]:
-    """The phrases (phrase, label) of one tag set as a trie of words: (words, steps, nodes, label of each node).
+def phrase_trie(entries: list[tuple[str, str]]) -> tuple[list[str], np.ndarray, np.ndarray, list[tuple[str, str] | None]]:
+    """The phrases (phrase, label) of one tag set as a trie of words: (words, steps, nodes, phrase and label of each node).
 
     A step is node × number of words + word; ``steps`` are sorted, ``nodes``
     say where they lead. Node 0 is the root.
@@ -54,21 +56,21 @@ def phrase_trie(entries: list[tuple[str, str]]) -> tuple[list[str], np.ndarray,
     words = sorted({w for phrase, _ in entries for w in phrase.split(" ")})
     number = {w: i for i, w in enumerate(words)}
     steps: dict[int, int] = {}
-    labels: list[str | None] = [None]
+    full: list[tuple[str, str] | None] = [None]
     for phrase, label in entries:
         node = 0
         for w in phrase.split(" "):
-            node = steps.setdefault(node * len(words) + number[w], len(labels))
-            if node == len(labels):
-                labels.append(None)
-        labels[node] = label
+            node = steps.setdefault(node * len(words) + number[w], len(full))
+            if node == len(full):
+                full.append(None)
+        full[node] = phrase, label
     keys = np.array(sorted(steps), dtype=np.int64)
-    return words, keys, np.array([steps[k] for k in keys.tolist()], dtype=np.int64), labels
+    return words, keys, np.array([steps[k] for k in keys.tolist()], dtype=np.int64), full
 
 
 def trie_hits(flat: pa.Array, edges: np.ndarray, words: list[str], steps: np.ndarray, nodes: np.ndarray,
-              labels: list[str | None]) -> Iterator[tuple[int, int, str, int, int]]:
-    """(text, index, label, start, number of words) from left to right, without overlap.
+              full: list[tuple[str, str] | None]) -> Iterator[tuple[int, int, str, str, int, int]]:
+    """(text, index, phrase, label, start, number of words) from left to right, without overlap.
 
     ``flat`` holds the words of several texts in a row, ``edges`` where each
     text's begin and the last one's end. All places walk down the trie
@@ -77,7 +79,7 @@ def trie_hits(flat: pa.Array, edges: np.ndarray, words: list[str], steps: np.nda
     word = np.asarray(pc.fill_null(pc.index_in(flat, value_set=pa.array(words, pa.string())), -1)).astype(np.int64)
     ends = np.repeat(edges[1:], np.diff(edges))
     longest, reached = np.zeros(len(word), np.int64), np.zeros(len(word), np.int64)
-    known = np.array([x is not None for x in labels])
+    known = np.array([x is not None for x in full])
     at, node, k = np.arange(len(word)), np.zeros(len(word), np.int64), 0
     while len(at):
         inside = at + k < ends[at]
@@ -86,15 +88,15 @@ def trie_hits(flat: pa.Array, edges: np.ndarray, words: list[str], steps: np.nda
         spot = np.minimum(np.searchsorted(steps, step), len(steps) - 1)
         on = (steps[spot] == step) & (word[at + k] >= 0)
         at, node, k = at[on], nodes[spot[on]], k + 1
-        full = known[node]
-        longest[at[full]], reached[at[full]] = k, node[full]
+        whole = known[node]
+        longest[at[whole]], reached[at[whole]] = k, node[whole]
     starts = np.flatnonzero(longest)
     texts = np.searchsorted(edges, starts, side="right") - 1
     free, last, idx = 0, -1, 0
     for i, text, n, node in zip(starts.tolist(), texts.tolist(), longest[starts].tolist(), reached[starts].tolist(), strict=True):
         if i >= free:
             idx = idx + 1 if text == last else 0
-            yield text, idx, labels[node], i - int(edges[text]), n
+            yield text, idx, *full[node], i - int(edges[text]), n
             free, last = i + n, text
 
 
@@ -106,6 +108,15 @@ def _hits_array(found: list[list[tuple[str, int, str, int, int, str]]]) -> pa.Li
     return pa.ListArray.from_arrays(pa.array(edges), rows)
 
 
+def _slices(part: pa.ListArray, most: int = TOGETHER) -> Iterator[pa.ListArray]:
+    """``part`` in consecutive slices of rows, each with at most ``most`` entries or of a single row."""
+    edges, at = np.asarray(part.offsets).astype(np.int64), 0
+    while at < len(part):
+        to = max(at + 1, int(np.searchsorted(edges, edges[at] + most, side="right")) - 1)
+        yield part.slice(at, to - at)
+        at = to
+
+
 def _compiled(df: DataFrame, phrases: list) -> DataFrame:
     """``df`` (with ``__words``) and its ``__hits``, by tries that every task gets."""
     entries: dict[str, list[tuple[str, str]]] = {}
@@ -116,16 +127,13 @@ def _compiled(df: DataFrame, phrases: list) -> DataFrame:
     @F.arrow_udf(HITS)
     def hits(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tries = sent.value
-        for part in parts:
+        for part in chain.from_iterable(map(_slices, parts)):
             found: list[list[tuple[str, int, str, int, int, str]]] = [[] for _ in range(len(part))]
             edges = np.asarray(part.offsets).astype(np.int64)
-            flat = part.flatten()
-            words = flat.to_numpy(zero_copy_only=False)
             edges -= edges[0]
             for name, *trie in tries:
-                for text, idx, label, start, n in trie_hits(flat, edges, *trie):
-                    at = int(edges[text]) + start
-                    found[text].append((name, idx, label, start, n, " ".join(words[at:at + n])))
+                for text, idx, phrase, label, start, n in trie_hits(part.flatten(), edges, *trie):
+                    found[text].append((name, idx, label, start, n, phrase))
             yield _hits_array(found)
 
     return df.withColumn("__hits", hits("__words"))
@@ -149,7 +157,7 @@ def _joined(df: DataFrame, phrases: DataFrame) -> DataFrame:
 
     @F.arrow_udf(HITS)
     def resolve(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for part in parts:
+        for part in chain.from_iterable(map(_slices, parts)):
             found = []
             for candidates in part.to_pylist():
                 kept, last = [], (None, 0, 0)           # set, index and end of the match before

@@ -72,3 +72,18 @@ def test_empty_dictionary_and_empty_table(spark, compiled):
     assert tagger.tag_phrases(df, "id", "text", dictionary.limit(0), compiled).collect() == []
     assert tagger.label_counts(df.limit(0), "text", dictionary, compiled).collect() == []
     assert all(r.entities == [] for r in tagger.phrase_lists(df, "id", "text", dictionary, "none", compiled).collect())
+
+
+def test_a_task_looks_at_a_bounded_number_of_words(spark):
+    import pyarrow as pa
+
+    lists = pa.array([["a"] * 5, None, [], ["b"] * 3, ["c"] * 40, ["d"], []], pa.list_(pa.string()))
+    for part in (lists, lists.slice(1, 5)):
+        slices = list(tagger._slices(part, 8))
+        assert pa.concat_arrays(slices).equals(part)
+        assert all(len(s.flatten()) <= 8 or len(s) == 1 for s in slices)
+    assert list(tagger._slices(lists.slice(0, 0), 8)) == []
+    long = [(k, "w1 w2 x " * 1500) for k in range(300)]     # 1,350,000 words: several slices of one batch
+    df = spark.createDataFrame(long, "id long, text string").coalesce(1)
+    dictionary = spark.createDataFrame([("a", "w1 w2", "X"), ("b", "x", "Y")], "tag_set string, phrase string, label string")
+    assert {(r.tag_set, r.label): r.n for r in tagger.label_counts(df, "text", dictionary).collect()} == {("a", "X"): 450_000, ("b", "Y"): 450_000}
