@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from cohortkit.functions.scalar import col_of, pad_array
 from cohortkit.operators.features import global_index
+from cohortkit.operators.termblocks import TermBlocks
 from cohortkit.sources.io import stage_path
 
 # The tokeniser's separator and the entity pattern table.
@@ -140,23 +141,31 @@ def tag_with(df: DataFrame, tagger, schema: str) -> DataFrame:
     return df.mapInPandas(run, schema)
 
 
-def tfidf_terms(df: DataFrame, key: str, text: str, digits: int = 6) -> DataFrame:
+def tfidf_terms(df: DataFrame, key: str, text: str, digits: int = 6, listed: bool = False) -> DataFrame | tuple[DataFrame, DataFrame]:
     """TF-IDF of every (document, term): ``key``, term, tf, df, weight = tf · ln((N + 1) / (df + 1)).
 
     The sparse vectors in long form, over the whole vocabulary (terms are not
     hashed into buckets); N counts all rows, texts without tokens included.
-    Document frequencies come from (document, term) counts, so a term that
-    every text holds is pre-aggregated. ``key`` must be unique.
+    Terms are counted in blocks of documents (:mod:`cohortkit.operators.termblocks`),
+    so no (document, term) row is shuffled. Rows of the same ``key`` are one document.
+
+    ``listed``: ((key, entries), (term, df, idx)) instead, one row per row of
+    ``df`` with its key's (idx, weight) in the order of idx, and the vocabulary in sorted
+    order; a null key has no entries.
     """
-    tf = df.select(key, F.explode(tokens(text)).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
-    freq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    total = df.agg(F.count(F.lit(1))).scalar()
-    weight = F.col("tf") * F.log((total + 1) / (F.col("df") + 1))
-    return tf.join(freq, "term").select(key, "term", "tf", "df", F.round(weight, digits).alias("weight"))
+    blocks = TermBlocks(df, key, text, tokens(text))
+
+    def weight(tf: Column, freq: Column) -> Column:
+        return F.round(tf * F.log((F.lit(blocks.rows) + 1) / (freq + 1)), digits).alias("weight")
+
+    if listed:
+        entries = F.transform("entries", lambda e: F.struct(e["idx"].alias("idx"), weight(e["tf"], e["df"])))
+        return blocks.lists().select(key, entries.alias("entries")), blocks.vocabulary
+    return blocks.counts().select(key, "term", "tf", "df", weight(F.col("tf"), F.col("df")))
 
 
 def sparse_vectors(docs: DataFrame, key: str, weights: DataFrame, term: str = "term", weight: str = "weight",
-                   vocabulary: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+                   vocabulary: DataFrame | None = None, listed: str | None = None) -> tuple[DataFrame, DataFrame]:
     """((key, features), (term, idx)): one sparse vector per row of ``docs`` from (key, term, weight) rows.
 
     The vocabulary is every term of ``weights`` in sorted order, numbered over
@@ -166,18 +175,26 @@ def sparse_vectors(docs: DataFrame, key: str, weights: DataFrame, term: str = "t
     without terms has an empty vector. ``key`` must be unique. Vectors are
     written once as (type, size, indices, values) and read back as Spark ML
     vectors, so no Python runs.
+
+    ``listed`` names a column of ``weights`` that has the (idx, weight) of a row
+    by the number in ``vocabulary``, with a row for each row of ``docs``: what
+    ``tfidf_terms`` gives when listed. Then nothing is joined.
     """
+    if listed is not None:
+        return _written_vectors(docs, key, weights.select(key, F.col(listed).alias("__l")), vocabulary.count(), weight), vocabulary
     if vocabulary is None:
         vocabulary = global_index(weights.select(term).where(F.col(term).isNotNull()).distinct(), [term], "idx")
     numbered = weights.select(F.col(key).alias("__key"), F.col(term).alias("__term"), F.col(weight).cast("double").alias("__w")).join(
         vocabulary.select(F.col(term).alias("__term"), F.col("idx").cast("int").alias("idx")), "__term")
-    listed = numbered.groupBy("__key").agg(F.array_sort(F.collect_list(F.struct("idx", "__w"))).alias("__l"))
-    size = vocabulary.count()
-    entries = F.coalesce(F.col("__l"), F.array().cast(listed.schema["__l"].dataType))
-    rows = docs.join(listed, docs[key] == listed["__key"], "left").select(docs[key], F.struct(
-        F.lit(0).cast("tinyint").alias("type"), F.lit(size).alias("size"), F.transform(entries, lambda e: e["idx"]).alias("indices"),
-        F.transform(entries, lambda e: e["__w"]).alias("values")).alias("features"))
+    lists = numbered.groupBy("__key").agg(F.array_sort(F.collect_list(F.struct("idx", "__w"))).alias("__l"))
+    return _written_vectors(docs, key, docs.join(lists, docs[key] == lists["__key"], "left").select(docs[key], "__l"), vocabulary.count(), "__w"), vocabulary
+
+
+def _written_vectors(docs: DataFrame, key: str, rows: DataFrame, size: int, weight: str) -> DataFrame:
+    entries = F.coalesce("__l", F.array().cast(rows.schema["__l"].dataType))
     path = stage_path(docs.sparkSession, "sparse-vectors")
-    rows.write.parquet(path)
+    rows.select(key, F.struct(
+        F.lit(0).cast("tinyint").alias("type"), F.lit(size).alias("size"), F.transform(entries, lambda e: e["idx"]).alias("indices"),
+        F.transform(entries, lambda e: e[weight]).alias("values")).alias("features")).write.parquet(path)
     schema = T.StructType([docs.schema[key], T.StructField("features", VectorUDT())])
-    return docs.sparkSession.read.schema(schema).parquet(path), vocabulary
+    return docs.sparkSession.read.schema(schema).parquet(path)

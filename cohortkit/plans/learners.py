@@ -209,13 +209,13 @@ FROM tf JOIN f ON tf.term = f.term, n
 
 def _note_weights(spark: SparkSession, base: str):
     docs = StandIns(spark, base).t("documents", "doc_id", "text")
-    return docs, materialize(T.tfidf_terms(docs, "doc_id", "text"), name="note-weights")
+    return docs, *T.tfidf_terms(docs, "doc_id", "text", listed=True)
 
 
 def note_vectors(spark: SparkSession, base: str) -> DataFrame:
     """Each note's sparse TF-IDF vector over the whole vocabulary: its size, term numbers and weights."""
-    docs, weights = _note_weights(spark, base)
-    vectors, _ = T.sparse_vectors(docs, "doc_id", weights)
+    docs, weights, vocabulary = _note_weights(spark, base)
+    vectors, _ = T.sparse_vectors(docs, "doc_id", weights, vocabulary=vocabulary, listed="entries")
     v = F.unwrap_udt("features")
     return vectors.select("doc_id", v["size"].alias("size"), v["indices"].alias("indices"), v["values"].alias("values"))
 
@@ -230,8 +230,8 @@ FROM documents d LEFT JOIN l ON d.doc_id = l.doc_id"""
 
 def clf_notes(spark: SparkSession, base: str) -> DataFrame:
     """Report on held-out notes of a balanced logistic regression on their sparse TF-IDF vectors (whole vocabulary)."""
-    docs, weights = _note_weights(spark, base)
-    vectors, _ = T.sparse_vectors(docs, "doc_id", weights)
+    docs, weights, vocabulary = _note_weights(spark, base)
+    vectors, _ = T.sparse_vectors(docs, "doc_id", weights, vocabulary=vocabulary, listed="entries")
     labels = StandIns(spark, base).t("labels", "doc_id", F.col("quality").alias("label")).where(F.col("label").isNotNull())
     rows = hash_split(vectors.join(labels, "doc_id"), "doc_id", 0.2)
     model = ML.fit("logreg", rows.where(F.col("split") == "train"), "label", balanced=True, maxIter=30, regParam=0.001)

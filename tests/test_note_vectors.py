@@ -63,3 +63,42 @@ def test_multi_hot_inverse_names_what_is_set(spark):
     df = spark.createDataFrame([(1, 1, 0, 2), (2, 0, 0, 0), (3, None, 1, None)], "id int, a int, b int, c int")
     got = {r["id"]: r["items"] for r in L.multi_hot_inverse(df, "id", {"a": "x", "b": "y", "c": "z"}).collect()}
     assert got == {1: ["x", "z"], 2: [], 3: ["y"]}
+
+
+def test_terms_counted_in_blocks_equal_dictionaries(spark, monkeypatch):
+    from cohortkit.operators import termblocks
+
+    monkeypatch.setattr(termblocks.TermBlocks.__init__, "__defaults__", (300,))     # many blocks
+    rows = [*notes(), (3, "again once"), (3, "again"), (None, "nobody good"), (None, "nobody")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    merged = {}
+    for i, t in rows:
+        merged[i] = f"{merged.get(i, '')} {t or ''}"
+    vocab, want = brute(list(merged.items()))
+    freq = Counter(k for v in want.values() for k, _ in v)
+    names = {k: w for w, k in vocab.items()}
+
+    def weight(tf, k):
+        return round(tf * math.log((len(rows) + 1) / (freq[k] + 1)), 6)
+
+    counts = {(i, w): n for i, t in merged.items() for w, n in Counter(t.lower().replace("?!", "").split()).items()}
+    got = T.tfidf_terms(docs, "doc_id", "text").collect()
+    assert len(got) == len(counts)
+    for r in got:
+        assert (r.tf, r.df) == (counts[r.doc_id, r.term], freq[vocab[r.term]])
+        assert r.weight == pytest.approx(weight(r.tf, vocab[r.term]), abs=2e-6)
+    lists, vocabulary = T.tfidf_terms(docs, "doc_id", "text", listed=True)
+    assert {r.term: (r.idx, r.df) for r in vocabulary.collect()} == {w: (k, freq[k]) for w, k in vocab.items()}
+    vectors, _ = T.sparse_vectors(docs, "doc_id", lists, vocabulary=vocabulary, listed="entries")
+    found = vectors.collect()
+    assert Counter(r.doc_id for r in found) == Counter(i for i, _ in rows)
+    for r in found:
+        terms = [] if r.doc_id is None else [k for k, _ in want[r.doc_id]]
+        assert r.features.indices.tolist() == terms and r.features.size == len(vocab)
+        assert r.features.values.tolist() == pytest.approx([weight(counts[r.doc_id, names[k]], k) for k in terms], abs=2e-6)
+
+
+def test_no_document_term_row_is_shuffled(spark):
+    docs = spark.createDataFrame(notes(), "doc_id long, text string")
+    plan = T.tfidf_terms(docs, "doc_id", "text")._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "Generate" not in plan
