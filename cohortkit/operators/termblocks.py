@@ -26,8 +26,8 @@ from cohortkit.sources.io import materialize
 # Functions sent to tasks travel by value: executors need no installed copy of this module.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-#: Characters of a block (some 200 MB in a task); a key's own texts stay together.
-BLOCK = 1 << 24
+#: Characters of a block (some 50 MB in a task); a key's own texts stay together.
+BLOCK = 1 << 22
 
 
 def _words(texts: pa.Table) -> tuple[pa.DictionaryArray, np.ndarray, pa.Array]:
