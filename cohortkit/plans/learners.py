@@ -16,6 +16,7 @@ from cohortkit.operators import models as ML
 from cohortkit.operators import text as T
 from cohortkit.operators.cohort import top_k_keys
 from cohortkit.operators.features import global_index, hash_split, per_class, standard_scale
+from cohortkit.operators.logistic import logistic_scores
 from cohortkit.operators.metrics import classification_report, prf
 from cohortkit.plans import extracts, sequences
 from cohortkit.plans.notes import _TOKENS_SQL
@@ -234,8 +235,12 @@ def clf_notes(spark: SparkSession, base: str) -> DataFrame:
     vectors, _ = T.sparse_vectors(docs, "doc_id", weights, vocabulary=vocabulary, listed="entries")
     labels = StandIns(spark, base).t("labels", "doc_id", F.col("quality").alias("label")).where(F.col("label").isNotNull())
     rows = hash_split(vectors.join(labels, "doc_id"), "doc_id", 0.2)
-    model = ML.fit("logreg", rows.where(F.col("split") == "train"), "label", balanced=True, maxIter=30, regParam=0.001)
-    return _report(model, rows.where(F.col("split") == "test"), ["doc_id"])
+    train, test = (rows.where(F.col("split") == s) for s in ("train", "test"))
+    if sorted(r[0] for r in train.select("label").distinct().limit(3).collect()) == [0, 1]:
+        scored, _ = logistic_scores(train, test, "label", max_iter=30, reg=0.001, balanced=True)
+        return classification_report(scored, "label", "prediction")
+    model = ML.fit("logreg", train, "label", balanced=True, maxIter=30, regParam=0.001)
+    return _report(model, test, ["doc_id"])
 
 
 def _basket_rows(spark: SparkSession, base: str):
