@@ -11,12 +11,13 @@ from collections.abc import Sequence
 
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier,
                                        RandomForestClassifier)
-from pyspark.ml.feature import PCA, VectorAssembler, Word2Vec
+from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortkit.operators.features import weight_column
+from cohortkit.operators.skipgram import Word2Vec
 
 LEARNERS = {
     "logreg": lambda **kw: LogisticRegression(**kw),
